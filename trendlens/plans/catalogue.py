@@ -6,15 +6,7 @@ from . import batch  # noqa: F401  (registers batch queries)
 from .registry import REGISTRY
 
 
-def _load_optional():
-    for mod in ("features", "streams"):
-        __import__(f"{__package__}.{mod}")
-
-
-try:
-    _load_optional()
-except ModuleNotFoundError:  # modules added incrementally
-    pass
+from . import streams  # noqa: F401,E402  (registers streaming queries)
 
 
 def queries():
