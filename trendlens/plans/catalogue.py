@@ -6,7 +6,7 @@ from . import batch  # noqa: F401  (registers batch queries)
 from .registry import REGISTRY
 
 
-from . import streams  # noqa: F401,E402  (registers streaming queries)
+from . import features, streams  # noqa: F401,E402  (register model and stream queries)
 
 
 def queries():
