@@ -119,8 +119,7 @@ def one_hot_stages(cols) -> list:
     """M3: one-hot; dropLast removes only the unseen slot (unseen -> all zero)."""
     cols = list(cols)
     return [OneHotEncoder(inputCols=[c + "_idx" for c in cols],
-                          outputCols=[c + "_ohe" for c in cols], dropLast=True,
-                          handleInvalid="keep")]
+                          outputCols=[c + "_ohe" for c in cols], dropLast=True)]
 
 
 def text_stages(spec: FeatureSpec) -> tuple[list, str]:
