@@ -174,23 +174,30 @@ def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None =
 # ---------------------------------------------------------- correlation
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair, long format, one pass.
-
-    One aggregate row of ``C*(C+1)/2`` ``corr`` values (partial per task), then
-    unpivoted; the matrix is symmetric by construction.
+    """Pearson correlation of every ordered pair, long format.
+
+    Each row is unpivoted map-side into one ``(col_a, col_b, x, y)`` tuple per
+    unordered pair (diagonal included) and ``corr`` runs grouped by pair: the
+    partial aggregate holds C*(C+1)/2 small groups per task, whole-stage
+    codegen stays on (one wide row of 6-field buffers per pair would exceed the
+    codegen field limit), and NULLs are dropped pairwise as ``corr`` does.
+    The matrix is symmetric by construction.
     """
-    aggs, names = [], {}
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            alias = f"c_{i}_{j}"
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(alias))
-            names[(a, b)] = names[(b, a)] = alias
-    one = df.agg(*aggs)
-    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                     F.col(names[(a, b)]).alias("corr"))
-            for a in cols for b in cols]
-    return one.select(F.inline(F.array(*rows)))
+    base = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                      F.col(f"v{i}").alias("x"), F.col(f"v{j}").alias("y"))
+             for i in range(len(cols)) for j in range(i, len(cols))]
+    upper = (base.select(F.inline(F.array(*pairs)))
+             .groupBy("i", "j").agg(F.corr("x", "y").alias("corr")))
+    names = F.array(*[F.lit(c) for c in cols])
+    both = F.filter(F.array(
+        F.struct(F.col("i").alias("a"), F.col("j").alias("b"), "corr"),
+        F.when(F.col("i") != F.col("j"),
+               F.struct(F.col("j").alias("a"), F.col("i").alias("b"), "corr"))),
+        lambda e: e.isNotNull())
+    return (upper.select(F.inline(both))
+            .select(F.element_at(names, F.col("a") + 1).alias("col_a"),
+                    F.element_at(names, F.col("b") + 1).alias("col_b"), "corr"))
 
 
 # ----------------------------------------------------- pairwise density
