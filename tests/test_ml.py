@@ -78,10 +78,11 @@ def test_compaction_keeps_linear_predictions(spark, featurized):
     m_full = M.train_linear(ftr, features="raw_features", solver="l-bfgs")
     p_full = [r.prediction for r in m_full.transform(fte).orderBy("video_id", "l_linenumber").collect()]
 
-    compact, width = M.fit_features(spec, tr)
+    compact, width, rows = M.fit_features(spec, tr, keep=["comments_ratio"])
     assert width > 8192
-    ctr = compact.transform(tr).withColumn("label", F.col("comments_ratio"))
+    ctr = rows.withColumn("label", F.col("comments_ratio"))
     assert ctr.first()["features"].size < width
+    assert compact.transform(tr).first()["features"].size == ctr.first()["features"].size
     m_c = M.train_linear(ctr, solver="l-bfgs")
     p_c = [r.prediction for r in m_c.transform(compact.transform(te))
            .orderBy("video_id", "l_linenumber").collect()]

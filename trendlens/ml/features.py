@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, OneHotEncoder,
                                 StringIndexer, VectorAssembler, VectorSlicer)
@@ -185,7 +186,8 @@ def document_frequency(df: DataFrame, doc_col: str, terms_col: str,
             .select("term", "df", F.log((m + 1).cast("double") / (F.col("df") + 1)).alias("idf")))
 
 
-def fit_features(spec: FeatureSpec, train: DataFrame) -> tuple[PipelineModel, int]:
+def fit_features(spec: FeatureSpec, train: DataFrame,
+                 keep: list[str] | None = None) -> tuple[PipelineModel, int, DataFrame]:
     """Fit the pipeline on training rows and drop feature columns that are zero
     on every training row.
 
@@ -195,16 +197,20 @@ def fit_features(spec: FeatureSpec, train: DataFrame) -> tuple[PipelineModel, in
     prediction - but Spark's tree learner bins every column of every row, and
     L-BFGS carries every coefficient, so the compact vector is far cheaper.
     The non-zero counts come from one JVM-side ``Summarizer`` pass (a dense
-    array the size of the model, merged as a tree).  Returns the fitted model
-    (with the slicer appended) and the uncompacted width.
+    array the size of the model, merged as a tree).
+
+    Returns the fitted model (slicer appended), the uncompacted width and the
+    training rows (``features`` plus ``keep``), persisted; the caller
+    unpersists them.
     """
+    keep = list(keep or [])
     pm = feature_pipeline(spec).fit(train)
     raw = pm.transform(train).select(RAW_FEATURES)
     nnz = (raw.select(Summarizer.metrics("numNonZeros").summary(F.col(RAW_FEATURES)).alias("s"))
            .first()["s"]["numNonZeros"])
     width = int(nnz.size)
-    active = [int(i) for i in np.nonzero(nnz.toArray())[0]]
-    if not active:
-        active = [0]
+    active = [int(i) for i in np.nonzero(nnz.toArray())[0]] or [0]
     slicer = VectorSlicer(inputCol=RAW_FEATURES, outputCol="features", indices=active)
-    return PipelineModel(pm.stages + [slicer]), width
+    model = PipelineModel(pm.stages + [slicer])
+    rows = model.transform(train).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
+    return model, width, rows

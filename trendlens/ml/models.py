@@ -83,20 +83,24 @@ class Fitted:
 
 def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpec(),
                   split_key: str | None = "video_id", kind: str = "linear",
-                  reg_param: float = 0.0, label_fn=None, seed: int = 101) -> Fitted:
+                  reg_param: float = 0.0, label_fn=None, seed: int = 101,
+                  persist_input: bool = False) -> Fitted:
     """Fit the feature pipeline once on train rows, then one model per target.
 
     ``label_fn`` maps a target column to the label expression (e.g. log1p, M12).
     The transformed training rows are persisted for the iterative solvers and
     released at the end.
     """
-    train_raw, test_raw = split(featurized, split_key, 0.7, seed)
-    pm, width = fit_features(spec, train_raw)
+    base = featurized
+    level = featurized.storageLevel
+    own = persist_input and not (level.useMemory or level.useDisk)
+    if own:  # the join and projections behind the features run once
+        base = featurized.persist(StorageLevel.MEMORY_AND_DISK)
+    train_raw, test_raw = split(base, split_key, 0.7, seed)
+    pm, width, train = fit_features(spec, train_raw, keep=list(targets))
     # keep the solver the full width would get, although the vector is compact
     solver = "l-bfgs" if width > NORMAL_SOLVER_MAX_FEATURES else "auto"
-    keep = ["features", *targets]
-    train = pm.transform(train_raw).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    test = pm.transform(test_raw).select(*keep)
+    test = pm.transform(test_raw).select("features", *targets)
     fitted = Fitted(pm)
     results = []
     try:
@@ -115,6 +119,8 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
         fitted.report = _materialize(model_report(results))
     finally:
         train.unpersist()
+        if own:
+            base.unpersist()
     return fitted
 
 
@@ -157,7 +163,7 @@ def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = Fe
     try:
         for r in regions:
             part = feats if r is None else feats.where(F.col(region_col) == r)
-            fitted = train_targets(part, list(targets), spec, split_key)
+            fitted = train_targets(part, list(targets), spec, split_key, persist_input=False)
             out[r or "ALL"] = fitted
             if out_path:
                 save_models(fitted, f"{out_path}/{r or 'ALL'}")
