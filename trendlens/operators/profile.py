@@ -94,17 +94,16 @@ def percentile(df: DataFrame, col: str, p: float = 0.75, approx: bool = False,
     if approx:
         return x.agg(F.percentile_approx("x", p, accuracy).alias(out))
     vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = cumulative_before(vc, [F.col("x").asc()], weight="cnt")
-    n = vc.agg(F.sum("cnt")).scalar()
-    pos = (n - F.lit(1)).cast("double") * F.lit(float(p))
+    ranked = cumulative_before(vc, [F.col("x").asc()], weight="cnt", total_out="n")
+    pos = (F.col("n") - F.lit(1)).cast("double") * F.lit(float(p))
     lo, hi = F.floor(pos), F.ceil(pos)
     covers = lambda r: (F.col("cum_before") <= r) & (r < F.col("cum_before") + F.col("cnt"))
     picked = ranked.where(covers(lo) | covers(hi)).agg(
         F.min(F.when(covers(lo), F.col("x"))).alias("v_lo"),
-        F.max(F.when(covers(hi), F.col("x"))).alias("v_hi"))
-    frac = pos - lo
+        F.max(F.when(covers(hi), F.col("x"))).alias("v_hi"),
+        F.first(pos - lo).alias("frac"))
     return picked.select(
-        (F.col("v_lo") + frac * (F.col("v_hi") - F.col("v_lo"))).alias(out))
+        (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias(out))
 
 
 # ------------------------------------------------------------ histogram

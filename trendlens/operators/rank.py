@@ -23,11 +23,13 @@ PID = "_tl_pid"
 
 
 def cumulative_before(df: DataFrame, order: list[Column], weight: str | None = None,
-                      out: str = "cum_before", partitions: int | None = None) -> DataFrame:
+                      out: str = "cum_before", partitions: int | None = None,
+                      total_out: str | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 per row if None) over rows strictly ahead.
 
     ``order`` must be a total order (add a tie-break column) for the result to
-    be deterministic.
+    be deterministic.  ``total_out`` also adds the total weight of all rows
+    (from the per-partition totals, no extra pass over the data).
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -41,10 +43,13 @@ def cumulative_before(df: DataFrame, order: list[Column], weight: str | None = N
     totals = tagged.groupBy(PID).agg(F.sum("_tl_w").alias("_tl_tot"))
     before_parts = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(PID, F.coalesce(F.sum("_tl_tot").over(before_parts),
-                                            F.lit(0)).alias("_tl_off"))
+                                            F.lit(0)).alias("_tl_off"),
+                            F.sum("_tl_tot").over(Window.partitionBy()).alias("_tl_all"))
 
     local = Window.partitionBy(PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     with_local = tagged.withColumn("_tl_local", F.coalesce(F.sum("_tl_w").over(local), F.lit(0)))
-    return (with_local.join(F.broadcast(offsets), PID)
-            .withColumn(out, (F.col("_tl_off") + F.col("_tl_local")).cast("long"))
-            .drop(PID, "_tl_w", "_tl_off", "_tl_local"))
+    res = (with_local.join(F.broadcast(offsets), PID)
+           .withColumn(out, (F.col("_tl_off") + F.col("_tl_local")).cast("long")))
+    if total_out:
+        res = res.withColumn(total_out, F.col("_tl_all").cast("long"))
+    return res.drop(PID, "_tl_w", "_tl_off", "_tl_local", "_tl_all")
