@@ -75,7 +75,7 @@ def test_compaction_keeps_linear_predictions(spark, featurized):
     full = feature_pipeline(spec).fit(tr)
     ftr = full.transform(tr).withColumn("label", F.col("comments_ratio"))
     fte = full.transform(te)
-    m_full = M.train_linear(ftr, features="raw_features", solver="l-bfgs")
+    m_full = M.train_linear(ftr, features="features", solver="l-bfgs")
     p_full = [r.prediction for r in m_full.transform(fte).orderBy("video_id", "l_linenumber").collect()]
 
     compact, width, rows = M.fit_features(spec, tr, keep=["comments_ratio"])

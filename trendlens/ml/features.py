@@ -137,20 +137,26 @@ def text_stages(spec: FeatureSpec) -> tuple[list, str]:
     raise ValueError(f"unknown text encoding {spec.text}")
 
 
-RAW_FEATURES = "raw_features"
+def encoding_pipeline(spec: FeatureSpec = FeatureSpec()) -> tuple[Pipeline, str]:
+    """M8 without the final assembly: index -> one-hot -> text vector.
 
-
-def feature_pipeline(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
-    """M8: index -> one-hot -> text vector -> assemble (tags first, M7).
-
-    The assembled vector is ``raw_features``; ``fit_features`` appends the
-    slicer that produces ``features``.
+    Returns the pipeline and the name of its text-vector column.
     """
     cats = list(spec.categorical)
     text, text_col = text_stages(spec)
-    assembler = VectorAssembler(inputCols=[text_col] + [c + "_ohe" for c in cats],
-                                outputCol=RAW_FEATURES, handleInvalid="keep")
-    return Pipeline(stages=index_stages(cats) + one_hot_stages(cats) + text + [assembler])
+    return Pipeline(stages=index_stages(cats) + one_hot_stages(cats) + text), text_col
+
+
+def assembler(spec: FeatureSpec, text_col: str) -> VectorAssembler:
+    """M7: tags first, then the one-hot blocks."""
+    return VectorAssembler(inputCols=[text_col] + [c + "_ohe" for c in spec.categorical],
+                           outputCol="features", handleInvalid="keep")
+
+
+def feature_pipeline(spec: FeatureSpec = FeatureSpec()) -> Pipeline:
+    """M8: index -> one-hot -> text vector -> assemble, without compaction."""
+    enc, text_col = encoding_pipeline(spec)
+    return Pipeline(stages=enc.getStages() + [assembler(spec, text_col)])
 
 
 # ------------------------------------------------ distributed label tables
@@ -188,29 +194,34 @@ def document_frequency(df: DataFrame, doc_col: str, terms_col: str,
 
 def fit_features(spec: FeatureSpec, train: DataFrame,
                  keep: list[str] | None = None) -> tuple[PipelineModel, int, DataFrame]:
-    """Fit the pipeline on training rows and drop feature columns that are zero
-    on every training row.
+    """Fit the feature pipeline on training rows, dropping text-vector columns
+    that are zero on every training row.
 
     Hashing to 262144 buckets leaves almost all of them empty.  A column that
     is zero on all training rows cannot be split on by a tree and gets a zero
     coefficient from standardized least squares, so removing it changes no
-    prediction - but Spark's tree learner bins every column of every row, and
-    L-BFGS carries every coefficient, so the compact vector is far cheaper.
-    The non-zero counts come from one JVM-side ``Summarizer`` pass (a dense
-    array the size of the model, merged as a tree).
-
-    Returns the fitted model (slicer appended), the uncompacted width and the
-    training rows (``features`` plus ``keep``), persisted; the caller
-    unpersists them.
+    prediction - but Spark's tree learner bins every column of every row,
+    L-BFGS carries every coefficient, and assembling a 262144-wide vector
+    writes one metadata attribute per slot into the schema.  So the text
+    vector is sliced *before* assembly; one-hot slots need no check (every
+    label of a fitted indexer occurs in the training rows).  The non-zero
+    counts come from one JVM-side ``Summarizer`` pass (a dense array of the
+    text width, merged as a tree).
+
+    Returns the fitted model (slicer and assembler appended), the width the
+    uncompacted vector would have, and the training rows (``features`` plus
+    ``keep``), persisted; the caller unpersists them.
     """
     keep = list(keep or [])
-    pm = feature_pipeline(spec).fit(train)
-    raw = pm.transform(train).select(RAW_FEATURES)
-    nnz = (raw.select(Summarizer.metrics("numNonZeros").summary(F.col(RAW_FEATURES)).alias("s"))
+    enc, text_col = encoding_pipeline(spec)
+    pm = enc.fit(train)
+    text = pm.transform(train).select(text_col)
+    nnz = (text.select(Summarizer.metrics("numNonZeros").summary(F.col(text_col)).alias("s"))
            .first()["s"]["numNonZeros"])
-    width = int(nnz.size)
     active = [int(i) for i in np.nonzero(nnz.toArray())[0]] or [0]
-    slicer = VectorSlicer(inputCol=RAW_FEATURES, outputCol="features", indices=active)
-    model = PipelineModel(pm.stages + [slicer])
+    indexer = pm.stages[0]
+    width = int(nnz.size) + sum(len(labels) for labels in indexer.labelsArray)
+    slicer = VectorSlicer(inputCol=text_col, outputCol=text_col + "_active", indices=active)
+    model = PipelineModel(pm.stages + [slicer, assembler(spec, text_col + "_active")])
     rows = model.transform(train).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
     return model, width, rows

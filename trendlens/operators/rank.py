@@ -48,7 +48,7 @@ def cumulative_before(df: DataFrame, order: list[Column], weight: str | None = N
 
     local = Window.partitionBy(PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     with_local = tagged.withColumn("_tl_local", F.coalesce(F.sum("_tl_w").over(local), F.lit(0)))
-    res = (with_local.join(F.broadcast(offsets), PID)
+    res = (with_local.join(F.broadcast(offsets), PID)   # one row per partition: bounded
            .withColumn(out, (F.col("_tl_off") + F.col("_tl_local")).cast("long")))
     if total_out:
         res = res.withColumn(total_out, F.col("_tl_all").cast("long"))

@@ -32,7 +32,7 @@ def category_dim(spark, sf_dir):
     """Category dimension with names and regions: nation joined to region."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(joins.maybe_broadcast(r), n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("categoryId"), F.col("n_name").alias("categoryTitle"),
         F.col("r_name").alias("region"))
 
@@ -47,7 +47,7 @@ def records(spark, sf_dir):
     sup = read_table(spark, sf_dir, "supplier").select(
         "s_suppkey", F.col("s_name").alias("channelTitle"),
         F.col("s_nationkey").alias("categoryId"))
-    sup = sup.join(F.broadcast(category_dim(spark, sf_dir).select("categoryId", "region")),
+    sup = sup.join(joins.maybe_broadcast(category_dim(spark, sf_dir).select("categoryId", "region")),
                    "categoryId", "left")
     facts = li.select(
         F.col("l_orderkey").alias("video_id"), "l_linenumber", "l_partkey", "l_suppkey",
@@ -221,8 +221,8 @@ def q_batch_score(spark, sf_dir):
         F.col("channelTitle").alias("channel_title"), "title", "tags",
         F.col("categoryId").alias("cat_id"),
         F.date_format("publishedAt", "yyyy-MM-dd HH:mm:ss").alias("publish_dt"))
-    requests = requests.join(F.broadcast(dim.select(F.col("categoryId").alias("cat_id"),
-                                                    F.col("categoryTitle").alias("category_name"))),
-                             "cat_id", "left").drop("cat_id")
+    names = dim.select(F.col("categoryId").alias("cat_id"),
+                       F.col("categoryTitle").alias("category_name"))
+    requests = requests.join(joins.maybe_broadcast(names), "cat_id", "left").drop("cat_id")
     scored = M.score(requests, loaded, dim, id_col="request_id")
     return scored
