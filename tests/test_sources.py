@@ -73,3 +73,20 @@ def test_category_join_keeps_unmatched(spark, tmp_dir):
 def test_requests_to_df(spark):
     df = requests_to_df(spark, [(1, "CA", "Chan", "A title", "x|y", "Music", "2021-01-02 03:04:05")])
     assert df.count() == 1 and df.schema["request_id"].dataType.typeName() == "long"
+
+
+def test_read_all_regions_and_land(spark, tmp_dir):
+    from trendlens.sources.records import land_records, read_all_regions
+    row = ('v{i},t{i},2020-08-12T04:31:41Z,c,Chan,10,20.13.08,a|b,100,5,1,2,http://x,False,False,\n')
+    paths = {}
+    for i, region in enumerate(["CA", "GB", "US"]):
+        paths[region] = _write(os.path.join(tmp_dir, f"{region}.csv"), HEADER + row.format(i=i) * (i + 1))
+    df = read_all_regions(spark, paths)
+    assert {(r.region, r["count"]) for r in df.groupBy("region").count().collect()} == \
+        {("CA", 1), ("GB", 2), ("US", 3)}
+    out = os.path.join(tmp_dir, "landed")
+    land_records(df.drop("_corrupt_record"), out)
+    assert {d for d in os.listdir(out) if d.startswith("region=")} == \
+        {"region=CA", "region=GB", "region=US"}
+    back = spark.read.parquet(out).where("region = 'US'")
+    assert back.count() == 3

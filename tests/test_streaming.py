@@ -73,3 +73,34 @@ def test_running_top_k_and_stop_all(spark, tmp_dir):
            spark.table(name).orderBy(F.desc("count"), "event_type").collect()]
     assert got == want
     assert S.stop_all(spark) == 0
+
+
+def test_region_fan_out_from_topic_folders(spark, tmp_dir):
+    """One stream for all regions; counts per (region, category) and tag."""
+    import json
+    payloads = {
+        "US": [("Music", "a|b"), ("Music", "a"), ("Gaming", "x")],
+        "CA": [("Music", "a|a"), (None, "")],
+        "GB": [("Sports", "b")],
+    }
+    root = os.path.join(tmp_dir, "topics")
+    for region, rows in payloads.items():
+        d = os.path.join(root, f"youtube_{region}")
+        os.makedirs(d)
+        with open(os.path.join(d, "part-0.txt"), "w") as f:
+            for cat, tags in rows:
+                f.write(json.dumps({"categoryTitle": cat, "tags": tags, "view_count": 1}) + "\n")
+    raw = S.read_file_stream(spark, root + "/*", "*.txt", None, fmt="text", region_from_dir=True)
+    events = S.decode_events(raw)
+    by_cat, by_tag = S.unique_name("t_cat"), S.unique_name("t_tag")
+    S.drain(S.start_running_query(S.running_counts_by_category(events), by_cat, available_now=True,
+                                  checkpoint=os.path.join(tmp_dir, "c1")))
+    S.drain(S.start_running_query(S.running_counts_by_tag(events), by_tag, available_now=True,
+                                  checkpoint=os.path.join(tmp_dir, "c2")))
+    cats = {(r.region, r.categoryTitle): r["count"] for r in spark.table(by_cat).collect()}
+    assert cats == {("US", "Music"): 2, ("US", "Gaming"): 1, ("CA", "Music"): 1,
+                    ("CA", None): 1, ("GB", "Sports"): 1}
+    tags = {(r.region, r.tag): r["count"] for r in spark.table(by_tag).collect()}
+    assert tags[("US", "a")] == 2 and tags[("CA", "a")] == 2 and tags[("CA", "")] == 1
+    top = [(r.region, r.tag) for r in S.snapshot(spark, by_tag, "tag", k=1, keys=["region"]).collect()]
+    assert top == [("CA", "a"), ("GB", "b"), ("US", "a")]

@@ -67,14 +67,25 @@ def read_kafka_events(spark: SparkSession, servers: str, regions: list[str],
 
 
 def read_file_stream(spark: SparkSession, directory: str, file_glob: str,
-                     schema: T.StructType, fmt: str = "parquet",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file source (Parquet / JSON lines) standing in for the broker."""
-    r = (spark.readStream.format(fmt).schema(schema)
-         .option("pathGlobFilter", file_glob))
+                     schema: T.StructType | None, fmt: str = "parquet",
+                     max_files_per_trigger: int | None = None,
+                     region_from_dir: bool = False) -> DataFrame:
+    """A file source (Parquet, or ``text`` with one JSON payload per line)
+    standing in for the broker.
+
+    With ``region_from_dir`` the files live under ``<directory>/<topic>/`` and
+    ``region`` is taken from the topic folder name, as from a Kafka topic.
+    """
+    r = spark.readStream.format(fmt).option("pathGlobFilter", file_glob)
+    if schema is not None:
+        r = r.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(directory)
+    df = r.load(directory)
+    if region_from_dir:
+        topic = F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1)
+        df = df.withColumn("region", F.regexp_replace(topic, f"^{TOPIC_PREFIX}", ""))
+    return df
 
 
 def decode_events(raw: DataFrame, schema: T.StructType = EVENT_SCHEMA,
