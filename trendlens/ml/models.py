@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import parse_publish_time
 from ..operators.joins import lookup_category_id
 from ..operators.sampling import random_split, split_by_key
+from ..session import new_scratch_path
 from .features import FeatureSpec, Roles, build_features, fit_features
 
 PAIR_TARGETS = ("comments_ratio", "likes_ratio")
@@ -151,24 +152,31 @@ def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = Fe
               region_col: str | None = "region", out_path: str | None = None) -> dict:
     """Clean records -> features -> fit per region -> optional save.
 
-    ``records`` must already be cleaned (``clean_records``).  Returns
+    ``records`` must already be cleaned (``clean_records``).  The featurized
+    records are written once as Parquet partitioned by region under the shared
+    checkpoint folder: each region's fit then reads only its own partition
+    (partition pruning), and the lineage back to the joins is cut, so a lost
+    executor re-reads files instead of recomputing the input.  Returns
     ``{region: Fitted}``; the number of regions is the configured set (a few).
     """
-    feats = build_features(records, roles).persist(StorageLevel.MEMORY_AND_DISK)
-    if region_col and region_col in feats.columns:
-        regions = [r[0] for r in feats.select(region_col).distinct().orderBy(region_col).collect()]
+    spark = records.sparkSession
+    feats = build_features(records, roles)
+    by_region = bool(region_col and region_col in feats.columns)
+    path = new_scratch_path(spark, "train-features")
+    writer = feats.write.mode("overwrite")
+    (writer.partitionBy(region_col) if by_region else writer).parquet(path)
+    landed = spark.read.parquet(path)
+    if by_region:
+        regions = [r[0] for r in landed.select(region_col).distinct().orderBy(region_col).collect()]
     else:
         regions = [None]
     out = {}
-    try:
-        for r in regions:
-            part = feats if r is None else feats.where(F.col(region_col) == r)
-            fitted = train_targets(part, list(targets), spec, split_key, persist_input=False)
-            out[r or "ALL"] = fitted
-            if out_path:
-                save_models(fitted, f"{out_path}/{r or 'ALL'}")
-    finally:
-        feats.unpersist()
+    for r in regions:
+        part = landed if r is None else landed.where(F.col(region_col) == r)
+        fitted = train_targets(part, list(targets), spec, split_key)
+        out[r or "ALL"] = fitted
+        if out_path:
+            save_models(fitted, f"{out_path}/{r or 'ALL'}")
     return out
 
 
