@@ -123,3 +123,13 @@ def test_repeated_entities_and_counts_by(spark):
     got = [(r.v, r["count"]) for r in profile.repeated_entities(df, "v").collect()]
     assert got == [("c", 3), ("a", 2)]
     assert [r.v for r in profile.counts_by(df, ["v"]).collect()] == ["a", "b", "c"]
+
+
+def test_approximate_options(spark):
+    v = _values(2000)
+    df = spark.createDataFrame([(float(x), int(i % 97)) for i, x in enumerate(v)], "x double, k int")
+    exact = profile.percentile(df, "x", 0.75).first()[0]
+    approx = profile.percentile(df, "x", 0.75, approx=True, accuracy=10000).first()[0]
+    assert abs(approx - exact) <= np.ptp(v) * 0.01
+    r = profile.distinct_count(df, "k", approx=True).first()
+    assert r.rows == 2000 and abs(r.distinct_keys - 97) <= 3
