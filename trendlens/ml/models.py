@@ -85,7 +85,7 @@ class Fitted:
 def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpec(),
                   split_key: str | None = "video_id", kind: str = "linear",
                   reg_param: float = 0.0, label_fn=None, seed: int = 101,
-                  persist_input: bool = False) -> Fitted:
+                  persist_input: bool = True) -> Fitted:
     """Fit the feature pipeline once on train rows, then one model per target.
 
     ``label_fn`` maps a target column to the label expression (e.g. log1p, M12).
@@ -101,7 +101,7 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
     pm, width, train = fit_features(spec, train_raw, keep=list(targets))
     # keep the solver the full width would get, although the vector is compact
     solver = "l-bfgs" if width > NORMAL_SOLVER_MAX_FEATURES else "auto"
-    test = pm.transform(test_raw).select("features", *targets)
+    test = pm.transform(test_raw).select("features", *targets).persist(StorageLevel.MEMORY_AND_DISK)
     fitted = Fitted(pm)
     results = []
     try:
@@ -120,6 +120,7 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
         fitted.report = _materialize(model_report(results))
     finally:
         train.unpersist()
+        test.unpersist()
         if own:
             base.unpersist()
     return fitted
@@ -173,7 +174,7 @@ def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = Fe
     out = {}
     for r in regions:
         part = landed if r is None else landed.where(F.col(region_col) == r)
-        fitted = train_targets(part, list(targets), spec, split_key)
+        fitted = train_targets(part, list(targets), spec, split_key, persist_input=False)
         out[r or "ALL"] = fitted
         if out_path:
             save_models(fitted, f"{out_path}/{r or 'ALL'}")
