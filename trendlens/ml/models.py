@@ -150,7 +150,8 @@ def compare_feature_sets(featurized: DataFrame, target: str, specs: dict[str, Fe
 
 def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = FeatureSpec(),
               targets=PAIR_TARGETS, split_key: str | None = "video_id",
-              region_col: str | None = "region", out_path: str | None = None) -> dict:
+              region_col: str | None = "region", out_path: str | None = None,
+              parallel_regions: int = 4) -> dict:
     """Clean records -> features -> fit per region -> optional save.
 
     ``records`` must already be cleaned (``clean_records``).  The featurized
@@ -171,14 +172,18 @@ def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = Fe
         regions = [r[0] for r in landed.select(region_col).distinct().orderBy(region_col).collect()]
     else:
         regions = [None]
-    out = {}
-    for r in regions:
+    def fit_region(r):
         part = landed if r is None else landed.where(F.col(region_col) == r)
         fitted = train_targets(part, list(targets), spec, split_key, persist_input=False)
-        out[r or "ALL"] = fitted
         if out_path:
             save_models(fitted, f"{out_path}/{r or 'ALL'}")
-    return out
+        return r or "ALL", fitted
+
+    # Regional fits are independent; their (small, iterative) jobs are
+    # submitted concurrently so the cluster is not idle between iterations.
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_regions, len(regions)))) as pool:
+        return dict(pool.map(fit_region, regions))
 
 
 def save_models(fitted: Fitted, path: str) -> None:
