@@ -7,6 +7,7 @@ distributed aggregate, not Python dicts.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -85,7 +86,7 @@ class Fitted:
 def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpec(),
                   split_key: str | None = "video_id", kind: str = "linear",
                   reg_param: float = 0.0, label_fn=None, seed: int = 101,
-                  persist_input: bool = True) -> Fitted:
+                  persist_input: bool = True, parallel: int = 4) -> Fitted:
     """Fit the feature pipeline once on train rows, then one model per target.
 
     ``label_fn`` maps a target column to the label expression (e.g. log1p, M12).
@@ -103,21 +104,25 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
     solver = "l-bfgs" if width > NORMAL_SOLVER_MAX_FEATURES else "auto"
     test = pm.transform(test_raw).select("features", *targets).persist(StorageLevel.MEMORY_AND_DISK)
     fitted = Fitted(pm)
-    results = []
+
+    def fit_target(t):
+        lab = label_fn(F.col(t)) if label_fn else F.col(t).cast("double")
+        tr, te = train.withColumn("label", lab), test.withColumn("label", lab)
+        if kind == "linear":
+            m = train_linear(tr, reg_param=reg_param, solver=solver)
+        elif kind == "gbt":
+            m = train_gbt(tr, seed=seed)
+        else:
+            raise ValueError(kind)
+        return t, m, rmse_r2(m.transform(te))
+
     try:
-        for t in targets:
-            lab = label_fn(F.col(t)) if label_fn else F.col(t).cast("double")
-            tr, te = train.withColumn("label", lab), test.withColumn("label", lab)
-            if kind == "linear":
-                m = train_linear(tr, reg_param=reg_param, solver=solver)
-            elif kind == "gbt":
-                m = train_gbt(tr, seed=seed)
-            else:
-                raise ValueError(kind)
-            fitted.models[t] = m
-            results.append((t, rmse_r2(m.transform(te))))
+        # targets share the cached rows read-only; their fits are independent
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(targets)))) as pool:
+            done = list(pool.map(fit_target, targets))
+        fitted.models = {t: m for t, m, _ in done}
         # metrics are computed now so the cached rows can be released
-        fitted.report = _materialize(model_report(results))
+        fitted.report = _materialize(model_report([(t, met) for t, _, met in done]))
     finally:
         train.unpersist()
         test.unpersist()
@@ -133,13 +138,22 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 def compare_feature_sets(featurized: DataFrame, target: str, specs: dict[str, FeatureSpec],
                          split_key: str | None = "video_id", reg_params: dict | None = None,
-                         kind: str = "linear") -> DataFrame:
+                         kind: str = "linear", parallel: int = 3) -> DataFrame:
     """Same target and split under several feature encodings -> report."""
-    rows = []
-    for name, spec in specs.items():
+    def one(item):
+        name, spec = item
         f = train_targets(featurized, [target], spec, split_key, kind=kind,
                           reg_param=(reg_params or {}).get(name, 0.0))
-        rows.append(f.report.withColumn("target", F.lit(name)))
+        return f.report.withColumn("target", F.lit(name))
+
+    # the encodings are independent fits on one shared, persisted input
+    shared = featurized.persist(StorageLevel.MEMORY_AND_DISK)
+    featurized = shared
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
+            rows = list(pool.map(one, specs.items()))
+    finally:
+        shared.unpersist()
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
@@ -181,7 +195,6 @@ def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = Fe
 
     # Regional fits are independent; their (small, iterative) jobs are
     # submitted concurrently so the cluster is not idle between iterations.
-    from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_regions, len(regions)))) as pool:
         return dict(pool.map(fit_region, regions))
 
