@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from .bpe import op3_bpe
 from .packing import op9_pack
+from .simhash import op2_simhash
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op9_pack": op9_pack,
 }
