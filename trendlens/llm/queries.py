@@ -5,10 +5,12 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .packing import op9_pack
 from .simhash import op2_simhash
+from .urls import op5_urls
 
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
+    "op5_urls": op5_urls,
     "op9_pack": op9_pack,
 }
 
