@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .bpe import op3_bpe
 from .packing import op9_pack
+from .pii import op1_pii
 from .simhash import op2_simhash
 from .urls import op5_urls
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op5_urls": op5_urls,
