@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op3_bpe
 from .packing import op9_pack
 from .pii import op1_pii
+from .quality import op7_quality
 from .simhash import op2_simhash
 from .urls import op5_urls
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
     "op5_urls": op5_urls,
+    "op7_quality": op7_quality,
     "op9_pack": op9_pack,
 }
 
