@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op3_bpe
 from .langid import op6_langid
+from .lines import op4_lines
 from .packing import op9_pack
 from .pii import op1_pii
 from .quality import op7_quality
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_simhash": op2_simhash,
     "op3_bpe": op3_bpe,
+    "op4_lines": op4_lines,
     "op5_urls": op5_urls,
     "op6_langid": op6_langid,
     "op7_quality": op7_quality,
