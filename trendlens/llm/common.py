@@ -26,19 +26,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, n_col: str, total: int) -> DataFrame:
-    """Inner join of ``left`` with ``right`` (one row per key, ``n_col`` = how many left rows
-    have the key) where a few keys may hold most of ``left``.
+def join_hot(left: DataFrame, right: DataFrame, key: str | list[str], n_col: str, total: int, how: str = "inner") -> DataFrame:
+    """Inner or left join of ``left`` with ``right`` (one row per key, ``n_col`` = how many left
+    rows have the key) where a few keys may hold most of ``left``.
 
     Keys with at least ``total / HOT_SHARE`` rows (at most ``HOT_SHARE`` of them) are joined
     by broadcast and never shuffled; the others are shuffled and none of them is large.
     """
+    keys = [key] if isinstance(key, str) else key
     least = max(2, -(-total // HOT_SHARE))
     hot = F.broadcast(right.filter(F.col(n_col) >= least))
-    rest = left.join(hot.select(key), key, "left_anti").join(
-        right.filter(F.col(n_col) < least), key)
-    cols = [key, *[c for c in left.columns if c != key], *[c for c in right.columns if c != key]]
-    return left.join(hot, key).select(*cols).unionByName(rest.select(*cols))
+    rest = left.join(hot.select(*keys), keys, "left_anti").join(
+        right.filter(F.col(n_col) < least), keys, how)
+    cols = [*keys, *[c for x in (left, right) for c in x.columns if c not in keys]]
+    return left.join(hot, keys).select(*cols).unionByName(rest.select(*cols))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

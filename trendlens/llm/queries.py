@@ -9,6 +9,7 @@ from .packing import op9_pack
 from .pii import op1_pii
 from .quality import op7_quality
 from .simhash import op2_simhash
+from .suffixes import op10_repeats
 from .urls import op5_urls
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_langid": op6_langid,
     "op7_quality": op7_quality,
     "op9_pack": op9_pack,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES: dict[str, str] = {}
