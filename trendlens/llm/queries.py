@@ -9,6 +9,7 @@ from .packing import op9_pack
 from .pii import op1_pii
 from .quality import op7_quality
 from .simhash import op2_simhash
+from .spotsigs import op8_spotsigs
 from .suffixes import op10_repeats
 from .urls import op5_urls
 
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_urls": op5_urls,
     "op6_langid": op6_langid,
     "op7_quality": op7_quality,
+    "op8_spotsigs": op8_spotsigs,
     "op9_pack": op9_pack,
     "op10_repeats": op10_repeats,
 }
