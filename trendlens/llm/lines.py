@@ -104,7 +104,7 @@ def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([rows.schema[k] for k in keep] + [T.StructField("_u_text", T.StringType()), T.StructField("_u_spans", span),
                                                             T.StructField("_u_units", T.LongType()), T.StructField("_u_removed", T.LongType())])
-    return rows.join(gone, "_u_row", "left").select(*columns, "_u_gone").mapInArrow(run, schema)
+    return rows.join(gone, "_u_row", "left").select(*[F.col(f"`{c}`") for c in columns], "_u_gone").mapInArrow(run, schema)
 
 
 def runs(units: list[tuple], gone: set[int], min_words: int) -> list[tuple[int, int]]:

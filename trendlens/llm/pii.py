@@ -18,7 +18,7 @@ costs linear time and no recursion.
 
 Defined results: null and empty texts have no spans (counts 0, empty string); repeated rows each
 get a row; an empty table gives no rows; without candidates the model adds nothing; ``keep``
-columns are carried under their own names, others are dropped.
+columns keep their names, the operator's own begin with ``_``, others are dropped.
 """
 
 from __future__ import annotations
@@ -138,7 +138,7 @@ def found_spans(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     spans = let(F.concat(*base), lambda b: F.struct(b.alias("base"), F.filter(
         more, lambda c: ~F.exists(b, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))).alias("more")))
     rows = docs.select(*[F.col(f"`{k}`") for k in keep], spans.alias("_s"))
-    return written(rows.select(*keep, F.col("_s.base").alias("_base"), F.col("_s.more").alias("_more")), "pii")
+    return written(rows.select(*[F.col(f"`{k}`") for k in keep], F.col("_s.base").alias("_base"), F.col("_s.more").alias("_more")), "pii")
 
 
 def votes(s: Column) -> dict[str, Column]:
@@ -224,14 +224,14 @@ def train(found: DataFrame, rounds: int = ROUNDS) -> Model:
 
 
 def with_spans(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``base`` and ``spans``: arrays of struct<k, start, end> in order of kind
-    and start.  ``spans`` holds the base spans and those that the classifier adds."""
+    """``keep`` columns, ``_s_base`` and ``_s_all``: arrays of struct<k, start, end> in order of
+    kind and start; ``_s_all`` holds the base spans and those that the classifier adds."""
     found = found_spans(docs, text, list(keep))
     model = train(found)
     place = lambda a: F.transform(a, lambda s: F.struct(s["k"].alias("k"), s["start"].alias("start"), s["end"].alias("end")))
     added = F.filter("_more", lambda s: model.log_odds(s) > 0)
-    return found.select(*keep, F.array_sort(place(F.col("_base"))).alias("base"),
-                        F.array_sort(place(F.concat("_base", added))).alias("spans"))
+    return found.select(*[F.col(f"`{k}`") for k in keep], F.array_sort(place(F.col("_base"))).alias("_s_base"),
+                        F.array_sort(place(F.concat("_base", added))).alias("_s_all"))
 
 
 def _joined(spans: Column) -> Column:
@@ -239,8 +239,8 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["k"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(spans: DataFrame, text: str = "text") -> Column:
-    """The text with every span replaced by its kind in angle brackets; of spans that overlap, the
+def redacted(text: str = "text") -> Column:
+    """For a row of ``with_spans``: its text with every span replaced by its kind in angle brackets; of spans that overlap, the
     first (then the longest) stands for all."""
     def step(acc: Column, s: Column) -> Column:
         cut = F.col(f"`{text}`").substr(acc["at"] + 1, s["start"] - acc["at"])
@@ -248,15 +248,15 @@ def redact(spans: DataFrame, text: str = "text") -> Column:
         return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), put.alias("out"))).otherwise(
             F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
 
-    by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["end"].alias("end"), s["k"].alias("k"))))
+    by_place = F.array_sort(F.transform("_s_all", lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("less"), s["end"].alias("end"), s["k"].alias("k"))))
     done = F.aggregate(by_place, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), step)
     whole = let(done, lambda d: F.concat(F.array_join(d["out"], ""), F.col(f"`{text}`").substr(d["at"] + 1, F.length(F.col(f"`{text}`")))))
-    return F.when(F.size("spans") > 0, whole).otherwise(F.col(f"`{text}`"))
+    return F.when(F.size("_s_all") > 0, whole).otherwise(F.col(f"`{text}`"))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     spans = with_spans(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(BASE)]
-    return spans.select("doc_id", *counts, F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"),
-                        _joined(F.col("spans")).alias("spans"))
+    counts = [F.size(F.filter("_s_base", _of_kind(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(BASE)]
+    return spans.select("doc_id", *counts, F.sha2(_joined(F.col("_s_base")).cast("binary"), 256).alias("base_sha256"),
+                        _joined(F.col("_s_all")).alias("spans"))

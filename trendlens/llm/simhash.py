@@ -58,15 +58,18 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, keep: list[str] = ()) -> DataFrame:
+    """(doc_id, fp) of every row, and its ``keep`` columns (whole numbers)."""
+    ids = ["doc_id", *keep]
+
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array((fingerprint(x.as_py(), shingle) for x in batch.column("_text")), pa.int64())],
-                ["doc_id", "fp"])
+                [*(batch.column(c) for c in ids), pa.array((fingerprint(x.as_py(), shingle) for x in batch.column("_text")), pa.int64())],
+                [*ids, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*[F.col(c).cast("long").alias(c) for c in ids], F.col(f"`{text}`").alias("_text")) \
+        .mapInArrow(run, ", ".join(f"{c} long" for c in [*ids, "fp"]))
 
 
 class VantageTree:
@@ -204,17 +207,18 @@ def links(nodes: DataFrame, n: int, max_bits: int = 3, leaf: int = LEAF, sample:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = 3, max_bits: int = 3,
-                    leaf: int = LEAF, sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
-    """(doc_id, fp, component_id) for every row: the smallest doc_id reachable over links."""
-    rows = written(fingerprints(docs, text, shingle), "simhash")
+                    leaf: int = LEAF, sample: int = SAMPLE, block: int = BLOCK, keep: list[str] = ()) -> DataFrame:
+    """(doc_id, ``keep``, fp, component_id, root) for every row: the smallest doc_id and the
+    smallest fingerprint reachable over links."""
+    rows = written(fingerprints(docs, text, shingle, keep), "simhash")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-nodes")
     n, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     stars = components(links(nodes, n, max_bits, leaf, sample, block))
     root = nodes.join(stars, nodes["fp"] == stars["u"], "left").select("fp", "least", "n", F.coalesce("v", "fp").alias("root"))
     least = root.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
     classes = written(join_hot(root.select("root", "fp", "n"), least, "root", "members", n)
-                      .select("fp", "n", "component_id"), "simhash-classes")
-    return join_hot(rows, classes, "fp", "n", total).select("doc_id", "fp", "component_id")
+                      .select("fp", "n", "component_id", "root"), "simhash-classes")
+    return join_hot(rows, classes, "fp", "n", total).select("doc_id", *keep, "fp", "component_id", "root")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
