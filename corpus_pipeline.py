@@ -24,7 +24,9 @@ def _columns(docs: DataFrame) -> list[Column]:
 
 def _with_text(docs: DataFrame, changed: DataFrame, text: Column) -> DataFrame:
     """``changed`` with the columns of ``docs``, ``text`` as their text and its length."""
-    new = {"text": text, "n_chars": F.length(text).cast("long")}
+    # Computed on its own: beside a new "text", names in it could mean that one.
+    changed = changed.withColumn("_p_text", text)
+    new = {"text": F.col("_p_text"), "n_chars": F.length("_p_text").cast("long")}
     return changed.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -143,7 +143,7 @@ def matching_statistics(parts: list[bytes]) -> list[np.ndarray]:
     packed = np.zeros(n, np.int64)
     for k in range(7):
         packed *= 257
-        packed[:n - k] += t[k:]
+        packed[:max(n - k, 0)] += t[k:]
     sa = suffix_array(t, packed)
     bwt = t[sa - 1]
     bwt[sa == 0] = -1  # nothing stands before the first
