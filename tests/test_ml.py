@@ -125,3 +125,72 @@ def test_save_load_score(spark, featurized, tmp_dir):
     # the saved models give the same predictions as the in-memory ones
     same = M.score(req.where("request_id = 1"), {region: fitted[region]}, dim).first()
     assert same.pred_comments_ratio == pytest.approx(out[1].pred_comments_ratio, rel=1e-12)
+
+
+def _requests(spark, rows):
+    return spark.createDataFrame(rows, "request_id long, region string, channel_title string, title string, tags string, "
+                                       "category_name string, publish_dt string")
+
+
+def test_every_request_comes_back_once(spark):
+    """No model, NULL region and duplicate titles neither lose nor double a request."""
+    recs = PF.records(spark, SF_SMALL)
+    fitted = M.train_job(recs, PF.ROLES, FeatureSpec(text=None, categorical=("publish_month_str",)), split_key="video_id", regions=["ASIA"])
+    assert list(fitted) == ["ASIA"] and fitted["ASIA"].report.first().n > 0
+    dim = spark.createDataFrame([("ASIA", "Music", 1, 0), ("ASIA", "Music", 2, 1), ("MOON", "Music", 3, 2)],
+                                "region string, categoryTitle string, categoryId int, pos int")
+    when = "1995-03-04 05:06:07"
+    req = _requests(spark, [(1, "ASIA", "c", "t", "a|b", "Music", when), (2, "MOON", "c", "t", "a|b", "Music", when),
+                            (3, None, "c", "t", "a|b", "Music", when), (4, "ASIA", "c", "t", None, None, when)])
+    out = {r.request_id: r for r in M.score(req, fitted, dim, order_col="pos").collect()}
+    assert M.score(req, fitted, dim).count() == 4 and sorted(out) == [1, 2, 3, 4]
+    assert out[1].error is None and out[1].pred_likes_ratio is not None
+    assert out[2].error == "no model for region MOON" and out[2].pred_likes_ratio is None
+    assert out[3].error == "unknown category Music" and out[4].error == "unknown category NULL"
+    null_dim = dim.withColumn("region", F.lit(None).cast("string"))
+    assert M.score(req.where("request_id = 2"), {}, dim).first().error == "no model for region MOON"
+    from trendlens.operators.joins import lookup_category_id
+    got = lookup_category_id(req.where("request_id = 1"), dim, order_col="pos").collect()
+    assert [(r.categoryId, r.error) for r in got] == [(2, None)]
+    assert null_dim.count() == 3
+
+
+def test_null_region_trains_no_model_and_one_model_for_all(spark):
+    recs = PF.records(spark, SF_SMALL)
+    spec = FeatureSpec(text=None, categorical=("publish_month_str",))
+    some = recs.withColumn("region", F.when(F.col("region") == "ASIA", F.col("region")))
+    assert list(M.train_job(some, PF.ROLES, spec, split_key="video_id")) == ["ASIA"]
+    every = M.train_job(recs, PF.ROLES, spec, split_key="video_id", region_col=None)
+    assert list(every) == ["ALL"]
+    dim = spark.createDataFrame([("X", "Music", 1)], "region string, categoryTitle string, categoryId int")
+    req = _requests(spark, [(1, "X", "c", "t", "a", "Music", "1995-03-04 05:06:07")])
+    assert M.score(req, every, dim, regional=False).first().error is None
+
+
+def test_empty_test_half_raises(spark, featurized):
+    one = featurized.where(F.col("video_id") == featurized.first().video_id)
+    tr, te = M.split(one, "video_id")
+    with pytest.raises(ValueError, match="empty"):
+        M.train_targets(tr if te.isEmpty() else one.limit(0), ["likes"], FeatureSpec(text=None, categorical=("publish_month_str",)), "video_id")
+
+
+def test_whole_vocabulary_is_kept(spark):
+    """More terms than the old cap of 262,144."""
+    from trendlens.ml.features import vocabulary_size
+    n = 270_000
+    docs = spark.range(n // 100).select(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("t"), (F.col("id") * 100 + i).cast("string"))).alias("tag_array_lower"))
+    spec = FeatureSpec(text="count", categorical=())
+    assert vocabulary_size(spec, docs) == n
+    assert vocabulary_size(spec.with_(min_df=2.0), docs) == 1    # one at least
+    model, width, rows = M.fit_features(spec, docs.limit(50))
+    rows.unpersist()
+    assert width == 50 * 100
+
+
+def test_vector_entries_of_sparse_dense_and_null(spark):
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+    rows = [(1, Vectors.sparse(9, [2, 5], [1.0, 3.0])), (2, Vectors.dense([0.0, 4.0])), (3, None)]
+    df = spark.createDataFrame(rows, T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", VectorUDT())]))
+    got = {r.id: r.e and [(e["index"], e["value"]) for e in r.e] for r in df.select("id", vector_entries("v").alias("e")).collect()}
+    assert got == {1: [(2, 1.0), (5, 3.0)], 2: [(1, 4.0)], 3: None}

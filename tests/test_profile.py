@@ -67,7 +67,7 @@ def test_histogram_matches_numpy(spark):
 def test_density_matches_brute_force(spark):
     v = np.array([1, 1, 2, 3, 3, 3, 7, 10], dtype=float)
     df = spark.createDataFrame([(float(x),) for x in v], "x double")
-    got = profile.density(df, "x", grid=11).orderBy("point").collect()
+    got = profile.density(df, "x", grid=11, bins=None).orderBy("point").collect()
     h = v.std(ddof=1) * len(v) ** -0.2
     g = np.linspace(v.min(), v.max(), 11)
     want = np.exp(-0.5 * ((g[:, None] - v[None, :]) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
@@ -98,7 +98,42 @@ def test_pairwise_density_totals(spark):
                                "a double, b double, c double")
     out = profile.pairwise_density(df, ["a", "b", "c"], bins=4)
     tot = {(r.col_a, r.col_b): r["sum(count)"] for r in out.groupBy("col_a", "col_b").sum("count").collect()}
-    assert tot == {("a", "b"): 30, ("a", "c"): 30, ("b", "c"): 30}
+    assert tot == {("a", "b"): 30, ("a", "c"): 30, ("b", "c"): 30, ("a", "a"): 30, ("b", "b"): 30, ("c", "c"): 30}
+
+
+def test_pairwise_density_skips_nulls(spark):
+    df = spark.createDataFrame([(None, 10.0), (10.0, None), (1.0, 1.0), (5.0, 5.0), (None, None)], "a double, b double")
+    tot = {(r.col_a, r.col_b): r["sum(count)"] for r in
+           profile.pairwise_density(df, ["a", "b"], bins=4).groupBy("col_a", "col_b").sum("count").collect()}
+    assert tot == {("a", "b"): 2, ("a", "a"): 3, ("b", "b"): 3}
+
+
+def test_binned_density_is_close_to_the_exact_one(spark):
+    v = _values(3000)
+    df = spark.createDataFrame([(float(x),) for x in v], "x double")
+    exact, binned = ([r.density for r in profile.density(df, "x", bins=b).orderBy("point").collect()] for b in (None, 512))
+    assert np.allclose(exact, binned, rtol=0.02, atol=max(exact) * 0.01)
+
+
+def test_correlation_with_nulls_is_pairwise(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(rng.normal() + 1e6), None if i % 7 == 0 else float(rng.normal()), None if i % 5 == 0 else float(i), 3.0) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double")
+    m = {(r.col_a, r.col_b): r.corr for r in profile.correlation_matrix(df, ["a", "b", "c", "k"]).collect()}
+    for x, y in (("a", "b"), ("a", "c"), ("b", "c"), ("c", "b"), ("b", "b")):
+        want = df.selectExpr(f"corr({x}, {y})").first()[0]
+        assert m[(x, y)] == pytest.approx(want, abs=1e-9)
+    assert m[("a", "k")] is None
+
+
+def test_percentile_of_skewed_values_and_narrow_brackets(spark, monkeypatch):
+    monkeypatch.setattr(profile, "BRACKET_ROWS", 20)
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.normal(size=3000), np.full(2000, 0.25), rng.pareto(1.0, 1000)])
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,)], "x double")
+    for p in (0.0, 0.1, 0.5, 0.55, 0.75, 0.999, 1.0):
+        assert profile.percentile(df, "x", p).first()[0] == pytest.approx(np.quantile(v, p), abs=1e-12)
+    assert profile.percentile(df.limit(0), "x", 0.5).first()[0] is None
 
 
 def test_results_unchanged_under_repartition(spark):

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from trendlens.streaming import running as S
@@ -29,7 +30,7 @@ def test_stream_equals_batch_three_files(spark, tmp_dir):
     q = S.drain(S.start_running_query(counts, name, available_now=True,
                                       checkpoint=os.path.join(tmp_dir, "chk")))
     assert len(q.recentProgress) >= 3
-    got = {r.event_type: r["count"] for r in S.snapshot(spark, name, "event_type").collect()}
+    got = {r.event_type: r["count"] for r in S.snapshot(spark, name, os.path.join(tmp_dir, "chk")).collect()}
     assert got == _batch_counts(ev, "event_type")
 
 
@@ -46,7 +47,7 @@ def test_stream_restart_from_checkpoint(spark, tmp_dir):
     n2 = S.unique_name("t_tag")
     S.drain(S.start_running_query(S.running_counts_by_tag(tagged(stream()), keys=[]), n2,
                                   available_now=True, checkpoint=chk))
-    got = {r.tag: r["count"] for r in spark.table(n2).collect()}
+    got = {r.tag: r["count"] for r in S.snapshot(spark, n2, chk).collect()}
     assert got["x"] == 2 * ev.count()
 
 
@@ -60,19 +61,34 @@ def test_decode_events_bytes(spark):
     assert dec["CA"].video_id is None
 
 
-def test_running_top_k_and_stop_all(spark, tmp_dir):
+def test_running_top_k_and_memory_sink(spark, tmp_dir):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    stream = S.read_file_stream(spark, SF_SMALL, "events.parquet", ev.schema)
-    top = S.running_top_k(S.running_counts_by_category(stream, "event_type", keys=[]),
-                          "event_type", 2)
-    name = S.unique_name("t_top")
-    S.drain(S.start_running_query(top, name, available_now=True,
-                                  checkpoint=os.path.join(tmp_dir, "chk")))
-    want = sorted(_batch_counts(ev, "event_type").items(), key=lambda kv: (-kv[1], kv[0]))[:2]
-    got = [(r.event_type, r["count"]) for r in
-           spark.table(name).orderBy(F.desc("count"), "event_type").collect()]
-    assert got == want
-    assert S.stop_all(spark) == 0
+    stream = lambda: S.read_file_stream(spark, SF_SMALL, "events.parquet", ev.schema)
+    counts = lambda: S.running_counts_by_category(stream(), "event_type", keys=[])
+    name, table = S.unique_name("t_top"), S.unique_name("t_mem")
+    S.drain(S.start_running_query(counts(), name, available_now=True))
+    S.drain(S.start_running_query(counts(), table, available_now=True, sink="memory"))
+    want = sorted(_batch_counts(ev, "event_type").items(), key=lambda kv: (-kv[1], kv[0]))
+    top = S.running_top_k(S.snapshot(spark, name), "event_type", 2)
+    assert [(r.event_type, r["count"]) for r in top.collect()] == want[:2]
+    assert {(r.event_type, r["count"]) for r in spark.table(table).collect()} == set(want)
+
+
+def test_top_k_within_keys(spark):
+    counts = spark.createDataFrame([("US", "a", 3), ("US", "b", 3), ("US", "c", 9), ("CA", "z", 1)], "region string, tag string, count long")
+    got = [(r.region, r.tag, r["rank"]) for r in S.running_top_k(counts, "tag", 2, ["region"]).orderBy("region", "rank").collect()]
+    assert got == [("CA", "z", 1), ("US", "c", 1), ("US", "a", 2)]
+    with pytest.raises(ValueError):
+        S.running_top_k(counts, "tag", S.MOST_PER_KEY + 1, ["region"])
+
+
+def test_stop_all_stops_a_running_query(spark, tmp_dir):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    counts = S.running_counts_by_category(S.read_file_stream(spark, SF_SMALL, "events.parquet", ev.schema), "event_type", keys=[])
+    q = S.start_running_query(counts, S.unique_name("t_stop"), trigger="1 second", checkpoint=os.path.join(tmp_dir, "chk"))
+    assert q.isActive
+    q.processAllAvailable()
+    assert S.stop_all(spark) >= 1 and not q.isActive and S.stop_all(spark) == 0
 
 
 def test_region_fan_out_from_topic_folders(spark, tmp_dir):
@@ -97,10 +113,11 @@ def test_region_fan_out_from_topic_folders(spark, tmp_dir):
                                   checkpoint=os.path.join(tmp_dir, "c1")))
     S.drain(S.start_running_query(S.running_counts_by_tag(events), by_tag, available_now=True,
                                   checkpoint=os.path.join(tmp_dir, "c2")))
-    cats = {(r.region, r.categoryTitle): r["count"] for r in spark.table(by_cat).collect()}
+    cats = {(r.region, r.categoryTitle): r["count"] for r in S.snapshot(spark, by_cat, os.path.join(tmp_dir, "c1")).collect()}
     assert cats == {("US", "Music"): 2, ("US", "Gaming"): 1, ("CA", "Music"): 1,
                     ("CA", None): 1, ("GB", "Sports"): 1}
-    tags = {(r.region, r.tag): r["count"] for r in spark.table(by_tag).collect()}
+    state = S.snapshot(spark, by_tag, os.path.join(tmp_dir, "c2"))
+    tags = {(r.region, r.tag): r["count"] for r in state.collect()}
     assert tags[("US", "a")] == 2 and tags[("CA", "a")] == 2 and tags[("CA", "")] == 1
-    top = [(r.region, r.tag) for r in S.snapshot(spark, by_tag, "tag", k=1, keys=["region"]).collect()]
+    top = [(r.region, r.tag) for r in S.running_top_k(state, "tag", 1, keys=["region"]).orderBy("region").collect()]
     assert top == [("CA", "a"), ("GB", "b"), ("US", "a")]

@@ -10,17 +10,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (IDF, CountVectorizer, HashingTF, OneHotEncoder,
                                 StringIndexer, VectorAssembler, VectorSlicer)
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (as_string, drop_blank, lower_all, ratio, split_on,
-                                 text_length, time_part, word_count_single_space)
+from ..functions.columns import (as_string, drop_blank, lower_all, ratio, split_on, text_length,
+                                 time_part, word_count_single_space, word_count_whitespace)
+from ..operators.clean import as_categorical
+from .vectors import vector_entries
 
 
 @dataclass(frozen=True)
@@ -48,10 +48,13 @@ TARGETS = ["comments_ratio", "likes_ratio", "view_count", "likes", "dislikes", "
 
 
 def build_features(df: DataFrame, roles: Roles = VIDEO_ROLES,
-                   drop_blank_tags: bool = False) -> DataFrame:
+                   drop_blank_tags: bool = False, whitespace_words: bool = False) -> DataFrame:
     """M1: every derived column in one projection.
 
     Targets missing from ``df`` (a scoring request) are skipped.
+    ``drop_blank_tags`` removes blank tags (P8) and ``whitespace_words`` counts
+    words between any white space (F3); training and scoring must use the same
+    values (``train_job`` and ``score`` take them as ``builder``).
     """
     cols = set(df.columns)
     pub = F.col(roles.published)
@@ -61,7 +64,7 @@ def build_features(df: DataFrame, roles: Roles = VIDEO_ROLES,
         lowered = drop_blank(lowered)
     new = {
         "title_length": text_length(roles.title),
-        "word_count": word_count_single_space(roles.title),
+        "word_count": (word_count_whitespace if whitespace_words else word_count_single_space)(roles.title),
         "publish_year": time_part(pub, "year"),
         "publish_month": time_part(pub, "month"),
         "publish_dayofweek": time_part(pub, "dayofweek"),
@@ -82,22 +85,16 @@ def build_features(df: DataFrame, roles: Roles = VIDEO_ROLES,
         new["dislikes_ratio"] = ratio(roles.dislikes, roles.views, 10)
     if {"view_count", "comment_count"} <= have.keys():
         new["comments_ratio"] = ratio(roles.comments, roles.views)
-    out = df.withColumns(new)
-    return out.withColumns({
-        "title_length_str": as_string("title_length"),
-        "word_count_str": as_string("word_count"),
-        "publish_month_str": as_string("publish_month"),
-        "publish_dayofweek_str": as_string("publish_dayofweek"),
-        "publish_hour_str": as_string("publish_hour"),
-    })
+    return as_categorical(df.withColumns(new), ["title_length", "word_count", "publish_month",
+                                                "publish_dayofweek", "publish_hour"])
 
 
 @dataclass(frozen=True)
 class FeatureSpec:
     """How tags and categoricals become one vector."""
-    text: str = "hashing"            # hashing | count | tfidf
+    text: str | None = "hashing"     # hashing | count | tfidf | None (categoricals only)
     num_features: int = 262144       # hashing width
-    vocab_size: int = 1 << 18        # count / tfidf vocabulary cap
+    vocab_size: int | None = None    # count / tfidf: None keeps every term of min_df documents
     min_df: float = 1.0              # count / tfidf minimum document frequency
     categorical: tuple = tuple(CATEGORICAL)
     tags_col: str = "tag_array_lower"
@@ -123,13 +120,22 @@ def one_hot_stages(cols) -> list:
                           outputCols=[c + "_ohe" for c in cols], dropLast=True)]
 
 
-def text_stages(spec: FeatureSpec) -> tuple[list, str]:
-    """M4-M6: hashed term counts, exact vocabulary counts, or TF-IDF."""
+def text_stages(spec: FeatureSpec, vocab_size: int | None = None) -> tuple[list, str | None]:
+    """M4-M6: hashed term counts, exact vocabulary counts, or TF-IDF.
+
+    ``CountVectorizer`` holds its vocabulary on the driver and in the model, as
+    ``StringIndexer`` its labels; ``document_frequency`` and ``label_index`` are
+    the distributed tables for vocabularies beyond that, hashing needs none.
+    """
+    if spec.text is None:
+        return [], None
     if spec.text == "hashing":
         return [HashingTF(inputCol=spec.tags_col, outputCol="tag_vec",
                           numFeatures=spec.num_features)], "tag_vec"
+    if not (vocab_size or spec.vocab_size):
+        raise ValueError("count and tfidf need vocab_size, or fit_features, which takes it from the rows")
     cv = CountVectorizer(inputCol=spec.tags_col, outputCol="tag_counts",
-                         vocabSize=spec.vocab_size, minDF=spec.min_df)
+                         vocabSize=vocab_size or spec.vocab_size, minDF=spec.min_df)
     if spec.text == "count":
         return [cv], "tag_counts"
     if spec.text == "tfidf":
@@ -137,19 +143,26 @@ def text_stages(spec: FeatureSpec) -> tuple[list, str]:
     raise ValueError(f"unknown text encoding {spec.text}")
 
 
-def encoding_pipeline(spec: FeatureSpec = FeatureSpec()) -> tuple[Pipeline, str]:
+def vocabulary_size(spec: FeatureSpec, train: DataFrame) -> int:
+    """Terms that occur in at least ``min_df`` of the training documents (one at least)."""
+    docs = train.select(F.lit(0).alias("_d"), spec.tags_col)
+    return max(1, document_frequency(docs, "_d", spec.tags_col, spec.min_df).count())
+
+
+def encoding_pipeline(spec: FeatureSpec = FeatureSpec(),
+                      vocab_size: int | None = None) -> tuple[Pipeline, str | None]:
     """M8 without the final assembly: index -> one-hot -> text vector.
 
     Returns the pipeline and the name of its text-vector column.
     """
     cats = list(spec.categorical)
-    text, text_col = text_stages(spec)
-    return Pipeline(stages=index_stages(cats) + one_hot_stages(cats) + text), text_col
+    text, text_col = text_stages(spec, vocab_size)
+    return Pipeline(stages=(index_stages(cats) + one_hot_stages(cats) if cats else []) + text), text_col
 
 
-def assembler(spec: FeatureSpec, text_col: str) -> VectorAssembler:
+def assembler(spec: FeatureSpec, text_col: str | None) -> VectorAssembler:
     """M7: tags first, then the one-hot blocks."""
-    return VectorAssembler(inputCols=[text_col] + [c + "_ohe" for c in spec.categorical],
+    return VectorAssembler(inputCols=([text_col] if text_col else []) + [c + "_ohe" for c in spec.categorical],
                            outputCol="features", handleInvalid="keep")
 
 
@@ -192,36 +205,50 @@ def document_frequency(df: DataFrame, doc_col: str, terms_col: str,
             .select("term", "df", F.log((m + 1).cast("double") / (F.col("df") + 1)).alias("idf")))
 
 
+def active_buckets(spec: FeatureSpec, train: DataFrame) -> list[int]:
+    """Hash buckets that some training tag falls into: at most ``num_features``.
+
+    The distinct tags are hashed, not the rows' vectors, and only distinct
+    bucket numbers meet.
+    """
+    tags = train.select(F.explode(spec.tags_col).alias("t")).distinct().select(F.array("t").alias(spec.tags_col))
+    (stage,), col = text_stages(spec)
+    hit = stage.transform(tags).select(F.explode(vector_entries(col)).alias("e")).select(F.col("e.index").alias("i")).distinct()
+    return sorted(r.i for r in hit.collect())
+
+
 def fit_features(spec: FeatureSpec, train: DataFrame,
                  keep: list[str] | None = None) -> tuple[PipelineModel, int, DataFrame]:
-    """Fit the feature pipeline on training rows, dropping text-vector columns
-    that are zero on every training row.
+    """Fit the feature pipeline on training rows, without empty hash buckets.
 
     Hashing to 262144 buckets leaves almost all of them empty.  A column that
     is zero on all training rows cannot be split on by a tree and gets a zero
     coefficient from standardized least squares, so removing it changes no
-    prediction - but Spark's tree learner bins every column of every row,
-    L-BFGS carries every coefficient, and assembling a 262144-wide vector
-    writes one metadata attribute per slot into the schema.  So the text
-    vector is sliced *before* assembly; one-hot slots need no check (every
-    label of a fitted indexer occurs in the training rows).  The non-zero
-    counts come from one JVM-side ``Summarizer`` pass (a dense array of the
-    text width, merged as a tree).
-
-    Returns the fitted model (slicer and assembler appended), the width the
-    uncompacted vector would have, and the training rows (``features`` plus
-    ``keep``), persisted; the caller unpersists them.
+    prediction - but Spark's tree learner bins every column of every row, the
+    linear solvers carry every coefficient, and assembling a 262144-wide vector
+    writes one metadata attribute per slot into the schema.  So the hashed
+    vector is sliced *before* assembly to the buckets of the training tags.
+    Every term of a fitted vocabulary and every label of a fitted indexer occurs
+    in the training rows, so those need no slicing.
+
+    Returns the fitted model, the width the uncompacted vector would have, and
+    the training rows (``features`` plus ``keep``), persisted; the caller
+    unpersists them.
     """
     keep = list(keep or [])
-    enc, text_col = encoding_pipeline(spec)
+    counted = spec.text in ("count", "tfidf")
+    vocab = (spec.vocab_size or vocabulary_size(spec, train)) if counted else None
+    enc, text_col = encoding_pipeline(spec, vocab)
     pm = enc.fit(train)
-    text = pm.transform(train).select(text_col)
-    nnz = (text.select(Summarizer.metrics("numNonZeros").summary(F.col(text_col)).alias("s"))
-           .first()["s"]["numNonZeros"])
-    active = [int(i) for i in np.nonzero(nnz.toArray())[0]] or [0]
-    indexer = pm.stages[0]
-    width = int(nnz.size) + sum(len(labels) for labels in indexer.labelsArray)
-    slicer = VectorSlicer(inputCol=text_col, outputCol=text_col + "_active", indices=active)
-    model = PipelineModel(pm.stages + [slicer, assembler(spec, text_col + "_active")])
+    width = sum(next((st.categorySizes for st in pm.stages if hasattr(st, "categorySizes")), []))
+    stages = list(pm.stages)
+    if spec.text == "hashing":
+        stages.append(VectorSlicer(inputCol=text_col, outputCol=text_col + "_active",
+                                   indices=active_buckets(spec, train) or [0]))
+        width += spec.num_features
+        text_col += "_active"
+    elif counted:
+        width += next(len(st.vocabulary) for st in pm.stages if hasattr(st, "vocabulary"))
+    model = PipelineModel(stages + [assembler(spec, text_col)])
     rows = model.transform(train).select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
     return model, width, rows

@@ -17,27 +17,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_publish_time
+from ..operators.clean import rename_target
 from ..operators.joins import lookup_category_id
 from ..operators.sampling import random_split, split_by_key
-from ..session import new_scratch_path
-from .features import FeatureSpec, Roles, build_features, fit_features
+from ..session import ensure_checkpoint_dir, new_scratch_path, remove_path
+from .features import CATEGORICAL, FeatureSpec, Roles, build_features, fit_features
 
 PAIR_TARGETS = ("comments_ratio", "likes_ratio")
 
 
 # ----------------------------------------------------------------- training
 
-# Width above which Spark's 'auto' solver uses L-BFGS instead of the normal
-# equations (WeightedLeastSquares.MAX_NUM_FEATURES).
-NORMAL_SOLVER_MAX_FEATURES = 4096
-
-
 def train_linear(train: DataFrame, label: str = "label", features: str = "features",
                  reg_param: float = 0.0, max_iter: int = 100,
-                 solver: str = "auto") -> LinearRegressionModel:
+                 solver: str = "auto", tol: float = 1e-6) -> LinearRegressionModel:
     """M9: least squares with Spark's defaults (standardized, solver auto)."""
     lr = LinearRegression(featuresCol=features, labelCol=label, regParam=reg_param,
-                          maxIter=max_iter, solver=solver)
+                          maxIter=max_iter, solver=solver, tol=tol)
     return lr.fit(train.where(F.col(label).isNotNull()))
 
 
@@ -86,30 +82,30 @@ class Fitted:
 def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpec(),
                   split_key: str | None = "video_id", kind: str = "linear",
                   reg_param: float = 0.0, label_fn=None, seed: int = 101,
-                  persist_input: bool = True, parallel: int = 4) -> Fitted:
+                  persist_input: bool = True, parallel: int = 4, solver: str = "auto",
+                  tol: float = 1e-6) -> Fitted:
     """Fit the feature pipeline once on train rows, then one model per target.
 
     ``label_fn`` maps a target column to the label expression (e.g. log1p, M12).
-    The transformed training rows are persisted for the iterative solvers and
-    released at the end.
+    ``solver`` is Spark's: ``auto`` solves the normal equations in one pass while
+    the (compact) vector has at most 4096 columns, and iterates beyond.  Only the
+    columns that the fit reads are persisted, and released at the end.  Raises
+    when the test half has no row, since nothing would be evaluated.
     """
-    base = featurized
-    level = featurized.storageLevel
-    own = persist_input and not (level.useMemory or level.useDisk)
-    if own:  # the join and projections behind the features run once
-        base = featurized.persist(StorageLevel.MEMORY_AND_DISK)
+    text = [spec.tags_col] if spec.text else []
+    need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *targets])
+    base = featurized.select(*need)
+    if persist_input:  # the join and projections behind the features run once
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
     train_raw, test_raw = split(base, split_key, 0.7, seed)
-    pm, width, train = fit_features(spec, train_raw, keep=list(targets))
-    # keep the solver the full width would get, although the vector is compact
-    solver = "l-bfgs" if width > NORMAL_SOLVER_MAX_FEATURES else "auto"
+    pm, _, train = fit_features(spec, train_raw, keep=list(targets))
     test = pm.transform(test_raw).select("features", *targets).persist(StorageLevel.MEMORY_AND_DISK)
     fitted = Fitted(pm)
 
     def fit_target(t):
-        lab = label_fn(F.col(t)) if label_fn else F.col(t).cast("double")
-        tr, te = train.withColumn("label", lab), test.withColumn("label", lab)
+        tr, te = (d.withColumn("label", label_fn(F.col(t))) if label_fn else rename_target(d, t) for d in (train, test))
         if kind == "linear":
-            m = train_linear(tr, reg_param=reg_param, solver=solver)
+            m = train_linear(tr, reg_param=reg_param, solver=solver, tol=tol)
         elif kind == "gbt":
             m = train_gbt(tr, seed=seed)
         else:
@@ -117,6 +113,8 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
         return t, m, rmse_r2(m.transform(te))
 
     try:
+        if test.isEmpty():
+            raise ValueError("the test half of the split is empty: nothing to evaluate on")
         # targets share the cached rows read-only; their fits are independent
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(targets)))) as pool:
             done = list(pool.map(fit_target, targets))
@@ -126,29 +124,31 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
     finally:
         train.unpersist()
         test.unpersist()
-        if own:
+        if persist_input:
             base.unpersist()
     return fitted
 
 
 def _materialize(df: DataFrame) -> DataFrame:
     """Evaluate a small report (a few rows) and keep it as a reliable checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
 def compare_feature_sets(featurized: DataFrame, target: str, specs: dict[str, FeatureSpec],
                          split_key: str | None = "video_id", reg_params: dict | None = None,
-                         kind: str = "linear", parallel: int = 3) -> DataFrame:
+                         kind: str = "linear", parallel: int = 3, tol: float = 1e-6) -> DataFrame:
     """Same target and split under several feature encodings -> report."""
     def one(item):
         name, spec = item
         f = train_targets(featurized, [target], spec, split_key, kind=kind,
-                          reg_param=(reg_params or {}).get(name, 0.0))
+                          reg_param=(reg_params or {}).get(name, 0.0), persist_input=False, tol=tol)
         return f.report.withColumn("target", F.lit(name))
 
-    # the encodings are independent fits on one shared, persisted input
-    shared = featurized.persist(StorageLevel.MEMORY_AND_DISK)
-    featurized = shared
+    # the encodings are independent fits on one shared, persisted input of the columns they read
+    need = dict.fromkeys([*([split_key] if split_key else []), target,
+                          *(c for s in specs.values() for c in (*s.categorical, *([s.tags_col] if s.text else [])))])
+    shared = featurized = featurized.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
             rows = list(pool.map(one, specs.items()))
@@ -165,38 +165,58 @@ def compare_feature_sets(featurized: DataFrame, target: str, specs: dict[str, Fe
 def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = FeatureSpec(),
               targets=PAIR_TARGETS, split_key: str | None = "video_id",
               region_col: str | None = "region", out_path: str | None = None,
-              parallel_regions: int = 4) -> dict:
-    """Clean records -> features -> fit per region -> optional save.
-
-    ``records`` must already be cleaned (``clean_records``).  The featurized
-    records are written once as Parquet partitioned by region under the shared
-    checkpoint folder: each region's fit then reads only its own partition
-    (partition pruning), and the lineage back to the joins is cut, so a lost
-    executor re-reads files instead of recomputing the input.  Returns
-    ``{region: Fitted}``; the number of regions is the configured set (a few).
+              parallel_regions: int = 4, regions: list[str] | None = None, seed: int = 101,
+              builder: dict | None = None, tol: float = 1e-6) -> dict:
+    """Cleaned records -> features -> one split -> fit per region -> optional save.
+
+    ``records`` are *all* cleaned rows (``clean_records``); each region's rows are
+    split once, and its report holds the metrics of its test half (``split`` with
+    the same key, fraction 0.7 and seed gives that half).  The featurized records
+    are written once as Parquet partitioned by region under the shared checkpoint
+    folder: each region's fit reads only its own partition, lineage to the joins
+    is cut, and the copy is deleted after the fits.  Returns ``{region: Fitted}``
+    for the configured ``regions`` (default: those that occur; rows without a
+    region train no model), or ``{"ALL": Fitted}`` when ``region_col`` is None.
     """
     spark = records.sparkSession
-    feats = build_features(records, roles)
-    by_region = bool(region_col and region_col in feats.columns)
+    feats = build_features(records, roles, **(builder or {}))
     path = new_scratch_path(spark, "train-features")
-    writer = feats.write.mode("overwrite")
-    (writer.partitionBy(region_col) if by_region else writer).parquet(path)
-    landed = spark.read.parquet(path)
-    if by_region:
-        regions = [r[0] for r in landed.select(region_col).distinct().orderBy(region_col).collect()]
+    text = [spec.tags_col] if spec.text else []
+    need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *targets])
+    if region_col is None:
+        feats.select(*need).write.parquet(path)
+        parts = {"ALL": spark.read.parquet(path)}
     else:
-        regions = [None]
-    def fit_region(r):
-        part = landed if r is None else landed.where(F.col(region_col) == r)
-        fitted = train_targets(part, list(targets), spec, split_key, persist_input=False)
+        feats = feats.select(*need, F.col(region_col).cast("string").alias("_region")).where(F.col("_region").isNotNull())
+        feats.write.partitionBy("_region").parquet(path)
+        landed = spark.read.schema(feats.schema).parquet(path)
+        if regions is None:
+            regions = [r[0] for r in landed.select("_region").distinct().orderBy("_region").collect()]
+        parts = {r: landed.where(F.col("_region") == r) for r in regions}
+
+    def fit_region(item):
+        r, part = item
+        fitted = train_targets(part, list(targets), spec, split_key, persist_input=False, seed=seed, tol=tol)
         if out_path:
-            save_models(fitted, f"{out_path}/{r or 'ALL'}")
-        return r or "ALL", fitted
+            save_models(fitted, f"{out_path}/{r}")
+        return r, fitted
 
     # Regional fits are independent; their (small, iterative) jobs are
     # submitted concurrently so the cluster is not idle between iterations.
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel_regions, len(regions)))) as pool:
-        return dict(pool.map(fit_region, regions))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_regions, len(parts)))) as pool:
+            return dict(pool.map(fit_region, parts.items()))
+    finally:
+        remove_path(spark, path)
+
+
+def job_report(fitted: dict) -> DataFrame:
+    """A18 over a job: one row per (region, target, rmse, r2, n)."""
+    frames = [f.report.select(F.lit(r).alias("region"), "*") for r, f in fitted.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def save_models(fitted: Fitted, path: str) -> None:
@@ -219,33 +239,40 @@ REQUEST_ROLES = Roles(title="title", tags="tags", category="categoryId",
 
 
 def score(requests: DataFrame, models: dict, categories: DataFrame,
-          targets=PAIR_TARGETS, id_col: str = "request_id") -> DataFrame:
-    """Score a whole table of requests with the models of their region.
-
-    Category names are resolved with a (checked) broadcast join (J2); an
-    unknown category or a malformed time gives NULL predictions and a reason
-    instead of failing the batch.  One pass per region (a handful).
+          targets=PAIR_TARGETS, id_col: str = "request_id", regional: bool = True,
+          order_col: str | None = None, builder: dict | None = None) -> DataFrame:
+    """One row per request: the predictions of its region's models, or a reason.
+
+    Category names are resolved by join (J2; of equal titles the last in
+    ``order_col``).  An unknown category, a malformed time, or a region that is
+    NULL or has no model gives NULL predictions and ``error``; no request is lost
+    or doubled.  The featurized requests are written once, partitioned by region,
+    so each region's models read their own partition only.  ``regional=False``
+    applies the one model of a job without regions to every request.
     """
-    req = lookup_category_id(requests, categories)
+    spark = requests.sparkSession
+    req = lookup_category_id(requests, categories, order_col=order_col)
     req = req.withColumn("publish_ts", parse_publish_time("publish_dt"))
+    region = F.col("region").cast("string") if regional else F.lit(next(iter(models)))
+    known = region.isin(list(models)) if models else F.lit(False)
     req = req.withColumn("error", F.coalesce(
         F.col("error"),
-        F.when(F.col("publish_ts").isNull(), F.lit("bad publish_dt"))))
-    feats = build_features(req, REQUEST_ROLES)
-    outs = []
-    for region, fitted in models.items():
-        part = feats.where(F.col("region") == region) if region != "ALL" else feats
-        scored = fitted.pipeline.transform(part)
+        F.when(F.col("publish_ts").isNull(), F.lit("bad publish_dt")),
+        F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit("no model for region "), F.coalesce(region, F.lit("NULL"))))))
+    feats = build_features(req, REQUEST_ROLES, **(builder or {})).withColumn(
+        "_part", F.when(F.col("error").isNull(), region))
+    path = new_scratch_path(spark, "score-features")
+    inputs = dict.fromkeys([id_col, "region", *CATEGORICAL, "tag_array_lower", "error"])
+    feats = feats.select(*inputs, "_part")
+    feats.write.partitionBy("_part").parquet(path)
+    landed = spark.read.schema(feats.schema).parquet(path)
+    nothing = [F.lit(None).cast("double").alias(f"pred_{t}") for t in targets]
+    out = landed.where(F.col("_part").isNull()).select(id_col, "region", *nothing, "error")
+    for r, fitted in models.items():
+        scored = fitted.pipeline.transform(landed.where(F.col("_part") == r))
         for t in targets:
             m = fitted.models[t].copy()
             m.setPredictionCol(f"pred_{t}")
             scored = m.transform(scored)
-        outs.append(scored.select(
-            id_col, "region",
-            *[F.when(F.col("error").isNull(), F.col(f"pred_{t}")).alias(f"pred_{t}")
-              for t in targets],
-            "error"))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+        out = out.unionByName(scored.select(id_col, "region", *[f"pred_{t}" for t in targets], "error"))
     return out

@@ -1,43 +1,18 @@
-"""Sparse-vector access for long-format output (Arrow-batched, no densifying).
-
-An ML vector reaches a pandas UDF as a frame of its storage fields
-(type 0 = sparse with indices/values, type 1 = dense values only).
-"""
+"""Vector access for long-format output, by built-in functions only."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-ENTRIES = T.StructType([
-    T.StructField("indices", T.ArrayType(T.IntegerType())),
-    T.StructField("values", T.ArrayType(T.DoubleType())),
-])
-
-
-@F.pandas_udf(ENTRIES)
-def _entries(v: pd.DataFrame) -> pd.DataFrame:
-    idx, val = [], []
-    for kind, ind, vals in zip(v["type"], v["indices"], v["values"]):
-        if vals is None:
-            idx.append(None)
-            val.append(None)
-            continue
-        vals = np.asarray(vals, dtype=float)
-        if kind == 0:
-            ind = np.asarray(ind, dtype=np.int32)
-        else:
-            ind = np.nonzero(vals)[0].astype(np.int32)
-            vals = vals[ind]
-        idx.append(ind.tolist())
-        val.append(vals.tolist())
-    return pd.DataFrame({"indices": idx, "values": val})
 
 
 def vector_entries(col) -> Column:
-    """``array<struct<index int, value double>>`` of the non-zero entries."""
-    e = _entries(F.col(col) if isinstance(col, str) else col)
-    return F.arrays_zip(e["indices"].alias("index"), e["values"].alias("value"))
+    """``array<struct<index int, value double>>`` of the non-zero entries; NULL stays NULL.
+
+    The vector type is unwrapped to its storage struct (type 0 = sparse with
+    indices and values, type 1 = dense with values only).
+    """
+    v = F.unwrap_udt(F.col(col) if isinstance(col, str) else col)
+    sparse = F.zip_with(v["indices"], v["values"], lambda i, x: F.struct(i.alias("index"), x.alias("value")))
+    dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("index"), x.alias("value")))
+    return F.filter(F.when(v["type"] == 0, sparse).otherwise(dense), lambda e: e["value"] != 0)

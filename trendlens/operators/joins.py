@@ -1,55 +1,35 @@
-"""Dimension joins (J1, J2) with a checked broadcast."""
+"""Dimension joins.
+
+No side is forced to be broadcast: the planner broadcasts a side under
+``spark.sql.autoBroadcastJoinThreshold`` and adaptive execution one whose real
+shuffle size is under it; beyond that the join is shuffled, with skewed
+partitions split at run time.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when the optimizer's size bound for its plan is
-# below this many bytes.
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (no job is run).
-
-    For file scans it starts from the bytes on storage and filters and
-    projections only shrink it, so it bounds the data from above; plans it
-    cannot bound report a huge default.  None when the estimate is not
-    reachable (e.g. a Spark Connect session).
-    """
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
-
 
-def is_bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True when the plan's size bound is at most ``max_bytes``."""
-    size = plan_size_bytes(df)
-    return size is not None and size <= max_bytes
-
-
-def maybe_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint behind a size check.  Otherwise no hint: the planner
-    shuffles, and AQE may still switch to a broadcast at run time once the
-    real shuffle size of that side is known."""
-    return F.broadcast(df) if is_bounded(df, max_bytes) else df
-
-
-def with_category(df: DataFrame, dim: DataFrame, key: str | list[str] = "categoryId",
-                  max_dim_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def with_category(df: DataFrame, dim: DataFrame, key: str | list[str] = "categoryId") -> DataFrame:
     """Left equi-join; facts without a dimension row keep NULL attributes."""
-    return df.join(maybe_broadcast(dim, max_dim_bytes), on=key, how="left")
+    return df.join(dim, on=key, how="left")
 
 
 def lookup_category_id(requests: DataFrame, dim: DataFrame,
                        name_col: str = "category_name",
                        keys: tuple[str, ...] = ("region",),
-                       max_dim_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Request category name -> id; unknown names get NULL and a reason."""
-    d = dim.select(*keys, F.col("categoryTitle").alias(name_col), "categoryId")
-    out = requests.join(maybe_broadcast(d, max_dim_bytes), on=[*keys, name_col], how="left")
+                       order_col: str | None = None) -> DataFrame:
+    """Request category name -> id, one row out per request.
+
+    Of several ids with one title the last in ``order_col`` wins (S4), the
+    greatest id when the dimension carries no order.  Unknown names get NULL and
+    a reason.
+    """
+    last = F.max_by("categoryId", order_col) if order_col else F.max("categoryId")
+    d = dim.groupBy(*keys, F.col("categoryTitle").alias(name_col)).agg(last.alias("categoryId"))
+    out = requests.join(d, on=[*keys, name_col], how="left")
     return out.withColumn(
         "error", F.when(F.col("categoryId").isNull(),
                         F.concat(F.lit("unknown category "), F.coalesce(F.col(name_col), F.lit("NULL")))))

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import time_part
-from .rank import cumulative_before
+from .clean import having_count_gt
 from .topk import order_by_count_desc, order_by_key
 
 
@@ -43,7 +43,7 @@ def counts_by(df: DataFrame, keys: list[str]) -> DataFrame:
 def repeated_entities(df: DataFrame, key: str, min_count: int = 1) -> DataFrame:
     """A5: keys seen more than ``min_count`` times, most frequent first."""
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias("count"))
-    return order_by_count_desc(g.where(F.col("count") > min_count), [key])
+    return order_by_count_desc(having_count_gt(g, min_count), [key])
 
 
 def counts_by_time(df: DataFrame, ts: str, part: str, out: str | None = None) -> DataFrame:
@@ -53,12 +53,6 @@ def counts_by_time(df: DataFrame, ts: str, part: str, out: str | None = None) ->
     return order_by_key(g, [name])
 
 
-def counts_by_pair(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts over a multi-column key, most frequent first."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
-    return order_by_count_desc(g, keys)
-
-
 # ------------------------------------------------------------- describe (A10)
 
 def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -79,31 +73,50 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 
 # ----------------------------------------------------------- percentile
 
+# Distinct values that the final sort of an exact percentile may hold.
+BRACKET_ROWS = 100_000
+
+
 def percentile(df: DataFrame, col: str, p: float = 0.75, approx: bool = False,
                accuracy: int = 10000, out: str = "percentile") -> DataFrame:
     """One-row DataFrame with the p-th percentile of non-NULL values.
 
     Exact (default): linear interpolation between the order statistics at
     floor/ceil of p*(n-1), as pandas ``quantile`` and SQL ``quantile_cont``.
-    Values are first counted per distinct value (a hot value collapses to one
-    row), then ranked with a distributed running count (``cumulative_before``);
-    no task ever holds more than one range partition of distinct values.
+    A quantile sketch, whose rank error is bounded, brackets both order
+    statistics; rows below are counted, and only the distinct values inside the
+    bracket are sorted.  A bracket with more than ``BRACKET_ROWS`` rows is
+    narrowed by a sketch of its own (each pass keeps about 1/1000 of the rows; a
+    value that holds much of the bracket ends up alone in it).  No data are
+    shuffled but sketches and the bracket.
     ``approx=True`` uses ``percentile_approx`` (bounded memory sketch).
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
     if approx:
         return x.agg(F.percentile_approx("x", p, accuracy).alias(out))
-    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = cumulative_before(vc, [F.col("x").asc()], weight="cnt", total_out="n")
-    pos = (F.col("n") - F.lit(1)).cast("double") * F.lit(float(p))
-    lo, hi = F.floor(pos), F.ceil(pos)
-    covers = lambda r: (F.col("cum_before") <= r) & (r < F.col("cum_before") + F.col("cnt"))
-    picked = ranked.where(covers(lo) | covers(hi)).agg(
-        F.min(F.when(covers(lo), F.col("x"))).alias("v_lo"),
-        F.max(F.when(covers(hi), F.col("x"))).alias("v_hi"),
-        F.first(pos - lo).alias("frac"))
-    return picked.select(
-        (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias(out))
+    n, low, high = x.agg(F.count(F.lit(1)), F.min("x"), F.max("x")).first()
+    if not n:
+        return x.agg(F.max("x").alias(out))
+    pos = (n - 1) * float(p)
+    first, last = math.floor(pos), math.ceil(pos)
+    below, inside = 0, n
+    while inside > BRACKET_ROWS and low < high:
+        slack = 3.0 / accuracy
+        ends = [min(1.0, max(0.0, (r - below + 0.5) / inside + d)) for r, d in ((first, -slack), (last, slack))]
+        part = x.where(F.col("x").between(low, high))
+        a, b = part.agg(F.percentile_approx("x", ends, accuracy)).first()[0]
+        if (a, b) == (low, high):
+            break
+        under, inside = part.agg(F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, b))).first()
+        below, low, high = below + under, a, b
+    vc = x.where(F.col("x").between(low, high)).groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
+    # The bracket's distinct values meet in this window.
+    ahead = F.coalesce(F.sum("cnt").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = vc.withColumn("ahead", ahead + F.lit(below))
+    covers = lambda r: (F.col("ahead") <= r) & (r < F.col("ahead") + F.col("cnt"))
+    picked = ranked.agg(F.min(F.when(covers(F.lit(first)), F.col("x"))).alias("v_lo"),
+                        F.max(F.when(covers(F.lit(last)), F.col("x"))).alias("v_hi"))
+    return picked.select((F.col("v_lo") + F.lit(pos - first) * (F.col("v_hi") - F.col("v_lo"))).alias(out))
 
 
 # ------------------------------------------------------------ histogram
@@ -114,9 +127,9 @@ def _bounds(x: DataFrame) -> tuple[Column, Column]:
 
 
 def bin_index(x: Column, mn: Column, mx: Column, bins: int) -> Column:
-    """Equal-width bin of x in [mn, mx]; the last bin is closed; mn == mx -> 0."""
+    """Equal-width bin of x in [mn, mx]; the last bin is closed; mn == mx -> 0; NULL stays NULL."""
     raw = F.floor(F.try_divide((x - mn) * F.lit(bins), (mx - mn)))
-    return F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1)).cast("long")
+    return F.when(x.isNotNull(), F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1))).cast("long")
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
@@ -135,21 +148,17 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
                     F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
-def histogram_of_counts(grouped: DataFrame, bins: int, count_col: str = "count") -> DataFrame:
-    """Distribution of a group-count column (e.g. repeats per video)."""
-    return histogram(grouped, count_col, bins)
-
-
 # -------------------------------------------------------------- density
 
-def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None = None) -> DataFrame:
+def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None = None,
+            bins: int | None = 512) -> DataFrame:
     """Gaussian kernel density at ``grid`` points from min to max.
 
-    Bandwidth defaults to Scott's rule ``stddev * n^(-1/5)``.  Exact: every
-    distinct value contributes ``count * phi((g - x) / h)`` to every grid point.
-    Rows are first collapsed per distinct value; the explode of the fixed-size
-    grid is map-side and the per-point sums are partially aggregated, so the
-    shuffle carries at most ``grid`` rows per task.
+    Bandwidth defaults to Scott's rule ``stddev * n^(-1/5)``.  Rows are counted
+    in ``bins`` equal-width bins, and each bin's centre contributes
+    ``count * phi((g - centre) / h)`` to every grid point: at most bins * grid
+    kernels whatever the data.  ``bins=None`` is exact: every distinct value
+    contributes (for columns of few distinct values).
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
     s = x.agg(F.min("x").alias("mn"), F.max("x").alias("mx"),
@@ -158,7 +167,11 @@ def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None =
     n = s.select("n").scalar()
     h = (F.lit(float(bandwidth)) if bandwidth is not None
          else s.select(F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).scalar())
-    vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
+    if bins is None:
+        vc = x.groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
+    else:
+        vc = (x.groupBy(bin_index(F.col("x"), mn, mx, bins).alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
+              .select((mn + (F.col("bin") + F.lit(0.5)) * (mx - mn) / F.lit(bins)).alias("x"), "cnt"))
     step = F.try_divide(mx - mn, F.lit(float(grid - 1)))
     g = vc.select("x", "cnt", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     g = g.withColumn("g", mn + F.col("i") * F.coalesce(step, F.lit(0.0)))
@@ -175,28 +188,41 @@ def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None =
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair, long format.
 
-    Each row is unpivoted map-side into one ``(col_a, col_b, x, y)`` tuple per
-    unordered pair (diagonal included) and ``corr`` runs grouped by pair: the
-    partial aggregate holds C*(C+1)/2 small groups per task, whole-stage
-    codegen stays on (one wide row of 6-field buffers per pair would exceed the
-    codegen field limit), and NULLs are dropped pairwise as ``corr`` does.
-    The matrix is symmetric by construction.
+    Two passes: means and NULL counts (one row to the driver), then one
+    aggregate of centred cross products.  NULLs are dropped pairwise as ``corr``
+    does: a pair with a NULL-holding column sums over its own rows, all other
+    pairs share the columns' sums.  The matrix is symmetric by construction.
     """
     base = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
-                      F.col(f"v{i}").alias("x"), F.col(f"v{j}").alias("y"))
-             for i in range(len(cols)) for j in range(i, len(cols))]
-    upper = (base.select(F.inline(F.array(*pairs)))
-             .groupBy("i", "j").agg(F.corr("x", "y").alias("corr")))
-    names = F.array(*[F.lit(c) for c in cols])
-    both = F.filter(F.array(
-        F.struct(F.col("i").alias("a"), F.col("j").alias("b"), "corr"),
-        F.when(F.col("i") != F.col("j"),
-               F.struct(F.col("j").alias("a"), F.col("i").alias("b"), "corr"))),
-        lambda e: e.isNotNull())
-    return (upper.select(F.inline(both))
-            .select(F.element_at(names, F.col("a") + 1).alias("col_a"),
-                    F.element_at(names, F.col("b") + 1).alias("col_b"), "corr"))
+    k = range(len(cols))
+    rows, *stats = base.agg(F.count(F.lit(1)), *[F.count(f"v{i}") for i in k], *[F.avg(f"v{i}") for i in k]).first()
+    full = [stats[i] == rows for i in k]
+    d = [F.col(f"v{i}") - F.lit(stats[len(cols) + i]) for i in k]
+    pairs = [(i, j) for i in k for j in k if i <= j]
+    sums = {f"x{i}_{j}": F.sum(d[i] * d[j]) for i, j in pairs}
+    sums |= {f"s{i}": F.sum(d[i]) for i in k}
+    for i, j in pairs:
+        if i != j and not (full[i] and full[j]):
+            both = F.col(f"v{i}").isNotNull() & F.col(f"v{j}").isNotNull()
+            sums |= {f"n{i}_{j}": F.count_if(both)}
+            sums |= {f"{w}{i}_{j}": F.sum(F.when(both, e)) for w, e in
+                     (("a", d[i]), ("b", d[j]), ("aa", d[i] * d[i]), ("bb", d[j] * d[j]))}
+    one = base.agg(*[e.alias(c) for c, e in sums.items()])
+    out = []
+    for i, j in pairs:
+        sxy = F.col(f"x{i}_{j}")
+        if f"n{i}_{j}" in sums:
+            n, sx, sy, sxx, syy = (F.col(f"{w}{i}_{j}") for w in ("n", "a", "b", "aa", "bb"))
+        else:
+            n, sx, sy = F.lit(stats[i]), F.col(f"s{i}"), F.col(f"s{j}")
+            sxx, syy = F.col(f"x{i}_{i}"), F.col(f"x{j}_{j}")
+        n = n.cast("double")
+        cov = sxy - F.try_divide(sx * sy, n)
+        var = (sxx - F.try_divide(sx * sx, n)) * (syy - F.try_divide(sy * sy, n))
+        value = F.try_divide(cov, F.sqrt(var))
+        out += [F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"), value.alias("corr"))
+                for a, b in ({(i, j), (j, i)})]
+    return one.select(F.inline(F.array(*out)))
 
 
 # ----------------------------------------------------- pairwise density
@@ -204,8 +230,10 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
 def pairwise_density(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
     """2-D bin counts for every column pair (the data of a pair plot).
 
-    ``(col_a, col_b, bin_a, bin_b, count)`` for a < b in the given order.  Each
-    row emits C*(C-1)/2 small tuples map-side; counts are partially aggregated.
+    ``(col_a, col_b, bin_a, bin_b, count)`` for a <= b in the given order; the
+    diagonal holds each column's histogram.  A NULL has no bin: its row counts
+    in the pairs of its other columns only.  Each row emits C*(C+1)/2 small
+    tuples map-side; counts are partially aggregated.
     """
     base = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     s = base.agg(*[F.min(c).alias(f"mn_{i}") for i, c in enumerate(cols)],
@@ -215,7 +243,7 @@ def pairwise_density(df: DataFrame, cols: list[str], bins: int = 10) -> DataFram
         .alias(f"b{i}") for i, c in enumerate(cols)])
     pairs = [F.struct(F.lit(a).alias("col_a"), F.lit(cols[j]).alias("col_b"),
                       F.col(f"b{i}").alias("bin_a"), F.col(f"b{j}").alias("bin_b"))
-             for i, a in enumerate(cols) for j in range(i + 1, len(cols))]
+             for i, a in enumerate(cols) for j in range(i, len(cols))]
     return (binned.select(F.inline(F.array(*pairs)))
             .where(F.col("bin_a").isNotNull() & F.col("bin_b").isNotNull())
             .groupBy("col_a", "col_b", "bin_a", "bin_b")
@@ -223,5 +251,5 @@ def pairwise_density(df: DataFrame, cols: list[str], bins: int = 10) -> DataFram
 
 
 __all__ = ["row_count", "distinct_count", "counts_by", "repeated_entities", "counts_by_time",
-           "counts_by_pair", "describe_numeric", "percentile", "bin_index", "histogram",
-           "histogram_of_counts", "density", "correlation_matrix", "pairwise_density"]
+           "describe_numeric", "percentile", "bin_index", "histogram",
+           "density", "correlation_matrix", "pairwise_density"]

@@ -1,21 +1,24 @@
 """Global order statistics without a single-task window.
 
 ``cumulative_before`` gives each row the total weight of all rows ahead of it
-in a global order.  It is the building block for exact percentiles and for
-frequency-ranked label indexes.  A window with ORDER BY but no PARTITION BY
-would pull every row into one task; instead:
+in a global order.  It is the building block for frequency-ranked label
+indexes.  A window with ORDER BY but no PARTITION BY would pull every row into
+one task; instead:
 
 1. range-partition and sort (distributed, sampled boundaries),
 2. checkpoint to the shared folder so partition ids are fixed,
 3. per-partition totals (one row per partition) -> running offsets,
-4. a window *per partition* for the local running sum,
+4. a running sum over each stored partition as it streams by (no shuffle),
 5. add the broadcast offsets (one row per partition: a proven bound).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
@@ -46,8 +49,17 @@ def cumulative_before(df: DataFrame, order: list[Column], weight: str | None = N
                                             F.lit(0)).alias("_tl_off"),
                             F.sum("_tl_tot").over(Window.partitionBy()).alias("_tl_all"))
 
-    local = Window.partitionBy(PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    with_local = tagged.withColumn("_tl_local", F.coalesce(F.sum("_tl_w").over(local), F.lit(0)))
+    schema = T.StructType(tagged.schema.fields + [T.StructField("_tl_local", T.LongType())])
+
+    def running(batches):
+        seen = 0   # weight of the partition's rows so far; its rows are in order
+        for batch in batches:
+            w = batch.column("_tl_w").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(seen + np.cumsum(w) - w, pa.int64())],
+                                             [*batch.schema.names, "_tl_local"])
+            seen += int(w.sum())
+
+    with_local = tagged.mapInArrow(running, schema)
     res = (with_local.join(F.broadcast(offsets), PID)   # one row per partition: bounded
            .withColumn(out, (F.col("_tl_off") + F.col("_tl_local")).cast("long")))
     if total_out:

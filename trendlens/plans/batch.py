@@ -10,13 +10,19 @@ both the Spark query and its oracle.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import (decode_json, ratio, text_length, time_part,
-                                 word_count_single_space)
+from ..functions.columns import (decode_json, drop_blank, log1p, lower_all, ratio, split_pipe, text_length,
+                                 time_part, word_count_single_space, word_count_whitespace)
 from ..operators import clean, joins, profile, sampling, tags, topk
+from ..session import new_scratch_path
+from ..sources import categories, records
 from ..sources.tables import read_table
+from ..streaming import running
 from .registry import register
 
 R = 6  # digits kept for computed doubles
@@ -287,6 +293,83 @@ def q_histogram_comments_ratio(spark, sf_dir):
     return _hist(_ratios(spark, sf_dir), "comments_ratio", 50)
 
 
+@register("histogram_dislikes_ratio", "A12 F9",
+          _ratio_hist_sql("round(l_tax / l_extendedprice, 10)", 30))
+def q_histogram_dislikes_ratio(spark, sf_dir):
+    return _hist(_ratios(spark, sf_dir), "dislikes_ratio", 30)
+
+
+@register("histogram_comments_ratio_35", "A12 F9",
+          _ratio_hist_sql("l_quantity / l_extendedprice", 35))
+def q_histogram_comments_ratio_35(spark, sf_dir):
+    return _hist(_ratios(spark, sf_dir), "comments_ratio", 35)
+
+
+# Histograms of the rows at or below the 75th percentile of the same column.
+_BELOW = {
+    "extendedprice": ("l_extendedprice", "l_extendedprice", 50),
+    "quantity": ("l_quantity", "l_quantity", 75),
+    "dislikes_ratio": ("dislikes_ratio", "round(l_tax / l_extendedprice, 10)", 30),
+    "comments_ratio": ("comments_ratio", "l_quantity / l_extendedprice", 50),
+}
+_CLEAN_SQL = "FROM lineitem WHERE l_discount <> 0 AND (l_returnflag = 'R') = false"
+
+
+def _below(col, bins):
+    def query(spark, sf_dir):
+        rows = _ratios(spark, sf_dir)
+        threshold = profile.percentile(rows, col, 0.75).scalar()
+        return _hist(clean.at_most_percentile(rows, col, threshold), col, bins)
+    return query
+
+
+for _name, (_col, _expr, _bins) in _BELOW.items():
+    register(f"histogram_below_p75_{_name}", "A12 P4 A11", hist_sql(
+        f"SELECT e AS x FROM (SELECT {_expr} AS e {_CLEAN_SQL}) "
+        f"WHERE e <= (SELECT quantile_cont(e, 0.75) FROM (SELECT {_expr} AS e {_CLEAN_SQL}))", _bins))(_below(_col, _bins))
+
+
+# Binned kernel densities of the columns that the reports draw.
+def density_sql(src: str, bins: int = 512, grid: int = 100) -> str:
+    return f"""
+WITH x AS ({src}),
+s AS (SELECT min(x) AS mn, max(x) AS mx, count(*) AS n,
+             stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM x),
+b AS (SELECT LEAST(COALESCE(CAST(floor((x - mn) * {bins} / nullif(mx - mn, 0)) AS BIGINT), 0), {bins - 1}) AS bin, count(*) AS cnt
+      FROM x, s GROUP BY 1),
+vc AS (SELECT mn + (bin + 0.5) * (mx - mn) / {bins} AS x, cnt FROM b, s),
+g AS (SELECT range AS i FROM range({grid})),
+k AS (SELECT g.i, mn + g.i * ((mx - mn) / {grid - 1}.0) AS gx,
+             vc.cnt * exp(-0.5 * ((mn + g.i * ((mx - mn) / {grid - 1}.0) - vc.x) / h)
+                                * ((mn + g.i * ((mx - mn) / {grid - 1}.0) - vc.x) / h)) AS c, n, h
+      FROM vc CROSS JOIN g CROSS JOIN s)
+SELECT i AS point, round(gx, 6) AS x,
+       round(sum(c) * (1.0 / sqrt(2.0 * pi())) / (any_value(n) * any_value(h)), 6) AS density
+FROM k GROUP BY i, gx"""
+
+
+def _density(df, col):
+    return profile.density(df, col, grid=100).select("point", _r("x"), _r("density"))
+
+
+_DENSITIES = {
+    "title_length": (lambda s, d: _t(s, d, "documents").select(text_length("text").alias("v")),
+                     "SELECT CAST(length(text) AS DOUBLE) AS x FROM documents WHERE text IS NOT NULL"),
+    "word_count": (lambda s, d: _t(s, d, "documents").select(word_count_single_space("text").alias("v")),
+                   "SELECT CAST(len(string_split(text, ' ')) AS DOUBLE) AS x FROM documents WHERE text IS NOT NULL"),
+    "likes_ratio": (lambda s, d: _ratios(s, d).select(F.col("likes_ratio").alias("v")),
+                    f"SELECT round(l_tax / l_discount, 2) AS x {_CLEAN_SQL}"),
+    "comments_ratio": (lambda s, d: _ratios(s, d).select(F.col("comments_ratio").alias("v")),
+                       f"SELECT l_quantity / l_extendedprice AS x {_CLEAN_SQL}"),
+    "extendedprice": (lambda s, d: _t(s, d, "lineitem").select(F.col("l_extendedprice").alias("v")),
+                      "SELECT l_extendedprice AS x FROM lineitem WHERE l_extendedprice IS NOT NULL"),
+}
+
+for _name, (_build, _src) in _DENSITIES.items():
+    register(f"density_{_name}", "A13", density_sql(_src))(
+        (lambda build: lambda spark, sf_dir: _density(build(spark, sf_dir), "v"))(_build))
+
+
 @register("density_quantity", "A13", """
 WITH x AS (SELECT CAST(l_quantity AS DOUBLE) AS x FROM lineitem WHERE l_quantity IS NOT NULL),
 s AS (SELECT min(x) AS mn, max(x) AS mx, count(*) AS n,
@@ -302,7 +385,8 @@ SELECT i AS point, round(gx, 6) AS x,
 FROM k GROUP BY i, gx
 """)
 def q_density_quantity(spark, sf_dir):
-    d = profile.density(_t(spark, sf_dir, "lineitem"), "l_quantity", grid=100)
+    """Exact kernels: the column has 50 distinct values."""
+    d = profile.density(_t(spark, sf_dir, "lineitem"), "l_quantity", grid=100, bins=None)
     return d.select("point", _r("x"), _r("density"))
 
 
@@ -321,24 +405,26 @@ def _corr_sql() -> str:
 
 @register("correlation_matrix", "A14 P5", _corr_sql())
 def q_correlation_matrix(spark, sf_dir):
-    return profile.correlation_matrix(_ratios(spark, sf_dir), CORR_COLS).select(
+    numeric = clean.select_numeric(_ratios(spark, sf_dir), CORR_COLS)
+    return profile.correlation_matrix(numeric, CORR_COLS).select(
         "col_a", "col_b", _r("corr"))
 
 
-PAIR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+PAIR_COLS = ["l_quantity", "l_extendedprice", "l_tax", "likes_ratio"]
 
 
 def _pair_sql(bins: int = 10) -> str:
     cols = PAIR_COLS
     mins = ", ".join(f"min({c}) AS mn{i}, max({c}) AS mx{i}" for i, c in enumerate(cols))
-    bexpr = [f"LEAST(COALESCE(CAST(floor(({c} - mn{i}) * {bins} / nullif(mx{i} - mn{i}, 0)) AS BIGINT), 0), {bins - 1})"
+    bexpr = [f"CASE WHEN {c} IS NOT NULL THEN LEAST(COALESCE(CAST(floor(({c} - mn{i}) * {bins} / nullif(mx{i} - mn{i}, 0)) AS BIGINT), 0), {bins - 1}) END"
              for i, c in enumerate(cols)]
     sel = ", ".join(f"{e} AS b{i}" for i, e in enumerate(bexpr))
     unions = "\nUNION ALL\n".join(
         f"SELECT '{cols[i]}' AS col_a, '{cols[j]}' AS col_b, b{i} AS bin_a, b{j} AS bin_b FROM b"
-        for i in range(len(cols)) for j in range(i + 1, len(cols)))
-    return (f"WITH s AS (SELECT {mins} FROM lineitem),\n"
-            f"b AS (SELECT {sel} FROM lineitem, s),\n"
+        for i in range(len(cols)) for j in range(i, len(cols)))
+    return ("WITH x AS (SELECT l_quantity, l_extendedprice, l_tax, round(l_tax / nullif(l_discount, 0), 2) AS likes_ratio FROM lineitem),\n"
+            f"s AS (SELECT {mins} FROM x),\n"
+            f"b AS (SELECT {sel} FROM x, s),\n"
             f"p AS ({unions})\n"
             "SELECT col_a, col_b, bin_a, bin_b, count(*) AS count FROM p "
             "WHERE bin_a IS NOT NULL AND bin_b IS NOT NULL GROUP BY ALL")
@@ -346,7 +432,9 @@ def _pair_sql(bins: int = 10) -> str:
 
 @register("pairwise_density", "A15", _pair_sql())
 def q_pairwise_density(spark, sf_dir):
-    return profile.pairwise_density(_t(spark, sf_dir, "lineitem"), PAIR_COLS, bins=10)
+    """The ratio is NULL where its denominator is zero: such rows count in the other pairs only."""
+    li = _t(spark, sf_dir, "lineitem").withColumn("likes_ratio", ratio("l_tax", "l_discount", 2))
+    return profile.pairwise_density(li, PAIR_COLS, bins=10)
 
 
 # ------------------------------------------------------------- JSON decoding
@@ -363,6 +451,114 @@ def q_decode_json(spark, sf_dir):
         "event_id", "event_type", "data.k")
 
 
+# ------------------------------------------- previews and column functions
+@register("preview", "S14 O2", """
+SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem ORDER BY l_orderkey, l_linenumber, l_quantity, l_shipdate LIMIT 20
+""")
+def q_preview(spark, sf_dir):
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    return topk.order_by_key(_t(spark, sf_dir, "lineitem").select(*cols), cols).limit(20)
+
+
+@register("row_counts", "A1", """
+SELECT 'orders' AS "table", count(*) AS rows FROM orders UNION ALL SELECT 'documents', count(*) FROM documents
+""")
+def q_row_counts(spark, sf_dir):
+    o, d = (profile.row_count(_t(spark, sf_dir, n)).select(F.lit(n).alias("table"), "rows") for n in ("orders", "documents"))
+    return o.unionByName(d)
+
+
+@register("whitespace_words", "F3", r"""
+SELECT doc_id, CAST(len(list_filter(string_split_regex(text, '\s+'), lambda x: x <> '')) AS INTEGER) AS words FROM documents
+""")
+def q_whitespace_words(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", word_count_whitespace("text").alias("words"))
+
+
+@register("tag_columns", "F4 F6 P8", """
+SELECT p_partkey, lower(concat_ws('+', p_brand, p_type, p_name)) AS tags, CAST(3 AS INTEGER) AS n FROM part
+""")
+def q_tag_columns(spark, sf_dir):
+    """Blank tags go, the others are lowered."""
+    tags_ = F.concat_ws("|", "p_brand", F.lit(""), "p_type", F.lit("  "), "p_name")
+    kept = drop_blank(lower_all(split_pipe(tags_)))
+    return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(kept, "+").alias("tags"), F.size(kept).alias("n"))
+
+
+@register("model_columns", "F10 F11 P6 P7", """
+SELECT l_orderkey, l_linenumber, l_extendedprice AS label, CAST(l_linenumber AS VARCHAR) AS l_linenumber_str,
+       round(ln(1 + l_quantity), 6) AS log_quantity FROM lineitem
+""")
+def q_model_columns(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    li = clean.as_categorical(clean.rename_target(li, "l_extendedprice"), ["l_linenumber"])
+    return li.select("l_orderkey", "l_linenumber", "label", "l_linenumber_str", F.round(log1p("l_quantity"), R).alias("log_quantity"))
+
+
+@register("ingest_times", "F13 S6", """
+SELECT event_type, count(*) AS events, count(*) AS with_ingest_time FROM events GROUP BY event_type
+""")
+def q_ingest_times(spark, sf_dir):
+    raw = _t(spark, sf_dir, "events").select("event_type", F.col("props").alias("value"))
+    decoded = running.decode_events(raw, PROPS_SCHEMA, keep=["event_type"])
+    return decoded.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"), F.count("ingestTime").alias("with_ingest_time"))
+
+
+# ------------------------------------------------------------------- readers
+PART_CSV = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
+                         T.StructField("p_brand", T.StringType()), T.StructField("p_retailprice", T.DoubleType())])
+TEXT_CSV = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType())])
+
+
+def _csv_copy(spark, df, schema, multiline):
+    """Written as quoted CSV to the shared folder, and read by the record reader."""
+    path = new_scratch_path(spark, "csv")
+    df.select(*schema.names).write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return records.read_records(spark, path, schema=schema, multiline=multiline).drop(records.CORRUPT_COLUMN)
+
+
+@register("csv_round_trip", "S1 S2", "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
+def q_csv_round_trip(spark, sf_dir):
+    return _csv_copy(spark, _t(spark, sf_dir, "part"), PART_CSV, False)
+
+
+@register("csv_texts", "S1 S2", "SELECT doc_id, lang, sha256(text) AS text_sha256 FROM documents")
+def q_csv_texts(spark, sf_dir):
+    """Texts with line breaks, quotes and commas survive the CSV reader."""
+    got = _csv_copy(spark, _t(spark, sf_dir, "documents"), TEXT_CSV, True)
+    return got.select("doc_id", "lang", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
+def _category_files(spark, sf_dir):
+    """One nested JSON object for each region: path by region name.  Even keys are assignable."""
+    n, r = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    snippet = F.struct(F.col("n_name").alias("title"), (F.col("n_nationkey") % 2 == 0).alias("assignable"))
+    item = F.struct(F.col("n_nationkey").alias("k"), F.struct(F.col("n_nationkey").cast("string").alias("id"), snippet.alias("snippet")).alias("v"))
+    files = (n.join(r, n.n_regionkey == r.r_regionkey).groupBy("r_name")
+             .agg(F.sort_array(F.collect_list(item))["v"].alias("items")))
+    root = new_scratch_path(spark, "categories")
+    files.select("r_name", F.to_json(F.struct("items")).alias("value")).write.partitionBy("r_name").text(root)
+    return {x.r_name: f"{root}/r_name={x.r_name}" for x in r.select("r_name").collect()}
+
+
+@register("category_items", "S3 G2", """
+SELECT n_nationkey AS "categoryId", n_name AS "categoryTitle", r_name AS region
+FROM nation JOIN region ON n_regionkey = r_regionkey
+""")
+def q_category_items(spark, sf_dir):
+    return reduce(DataFrame.unionByName, [categories.read_categories(spark, p, region=r)
+                                          for r, p in sorted(_category_files(spark, sf_dir).items())])
+
+
+@register("assignable_categories", "S4", """
+SELECT n_name AS "categoryTitle", n_nationkey AS "categoryId", r_name AS region
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0
+""")
+def q_assignable_categories(spark, sf_dir):
+    return reduce(DataFrame.unionByName, [categories.assignable_categories(spark, p, region=r)
+                                          for r, p in sorted(_category_files(spark, sf_dir).items())])
+
+
 # ------------------------------------------------------------------ sampling
 KEY_FRACTION_SQL = ("CAST(('0x' || substr(md5('{seed}:' || COALESCE(CAST({key} AS VARCHAR), '')), 1, 8)) "
                     "AS BIGINT) / 4294967296.0")
@@ -400,3 +596,30 @@ def q_random_split(spark, sf_dir):
     train, test = sampling.random_split(o, (0.7, 0.3), seed=101)
     return train.withColumn("split", F.lit("train")).unionByName(
         test.withColumn("split", F.lit("test")))
+
+
+@register("sample_properties", "X1", """
+SELECT true AS inside, true AS once, true AS share_ok FROM (SELECT 1)
+""")
+def q_sample_properties(spark, sf_dir):
+    """A 10 % sample holds input rows only, each once, and 10 % of them within six deviations."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    n = o.agg(F.count(F.lit(1))).scalar()
+    got = sampling.sample_fraction(o, 0.10, seed=42).groupBy("o_orderkey", "o_totalprice").agg(F.count(F.lit(1)).alias("c"))
+    seen = got.join(o.withColumn("there", F.lit(1)), ["o_orderkey", "o_totalprice"], "left")
+    return seen.agg((F.count_if(F.col("there").isNull()) == 0).alias("inside"), (F.max("c") == 1).alias("once"),
+                    (F.abs(F.sum("c") - 0.1 * n) <= 6 * F.sqrt(0.09 * n)).alias("share_ok"))
+
+
+@register("random_split_properties", "X3", """
+SELECT count(*) AS rows, true AS disjoint, true AS complete, true AS share_ok FROM orders
+""")
+def q_random_split_properties(spark, sf_dir):
+    """Two halves that share no row, miss none, and are 70 % and 30 % within six deviations."""
+    both = q_random_split(spark, sf_dir)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey")
+    n = o.agg(F.count(F.lit(1))).scalar()
+    per = both.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("split") == "train").alias("train"))
+    joined = o.join(per, "o_orderkey", "left")
+    return joined.agg(F.count(F.lit(1)).alias("rows"), (F.max("c") == 1).alias("disjoint"), (F.count_if(F.col("c").isNull()) == 0).alias("complete"),
+                      (F.abs(F.sum("train") - 0.7 * n) <= 6 * F.sqrt(0.21 * n)).alias("share_ok"))

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from . import batch  # noqa: F401  (registers batch queries)
+from . import batch, features, streams  # noqa: F401  (they register their queries)
 from .registry import REGISTRY
 
 
-from . import features, streams  # noqa: F401,E402  (register model and stream queries)
-
-
 def queries():
     return {name: q.fn for name, q in REGISTRY.items()}
 

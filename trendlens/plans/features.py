@@ -13,10 +13,11 @@ from __future__ import annotations
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.sql import functions as F
 
+from ..functions.columns import log1p
 from ..ml import models as M
-from ..ml.features import FeatureSpec, Roles, document_frequency, label_index
+from ..ml.features import FeatureSpec, Roles, build_features, document_frequency, label_index
 from ..ml.vectors import vector_entries
-from ..operators import clean, joins
+from ..operators import clean
 from ..operators.sampling import split_label
 from ..session import new_scratch_path
 from ..sources.tables import read_table
@@ -32,7 +33,7 @@ def category_dim(spark, sf_dir):
     """Category dimension with names and regions: nation joined to region."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return n.join(joins.maybe_broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("categoryId"), F.col("n_name").alias("categoryTitle"),
         F.col("r_name").alias("region"))
 
@@ -47,20 +48,19 @@ def records(spark, sf_dir):
     sup = read_table(spark, sf_dir, "supplier").select(
         "s_suppkey", F.col("s_name").alias("channelTitle"),
         F.col("s_nationkey").alias("categoryId"))
-    sup = sup.join(joins.maybe_broadcast(category_dim(spark, sf_dir).select("categoryId", "region")),
+    sup = sup.join(category_dim(spark, sf_dir).select("categoryId", "region"),
                    "categoryId", "left")
     facts = li.select(
         F.col("l_orderkey").alias("video_id"), "l_linenumber", "l_partkey", "l_suppkey",
         F.col("l_shipdate").alias("publishedAt"), F.col("l_quantity").alias("view_count"),
         F.col("l_extendedprice").alias("likes"), F.col("l_discount").alias("dislikes"),
         F.col("l_tax").alias("comment_count"))
-    facts = facts.join(joins.maybe_broadcast(part), facts.l_partkey == part.p_partkey)
-    facts = facts.join(joins.maybe_broadcast(sup), facts.l_suppkey == sup.s_suppkey)
+    facts = facts.join(part, facts.l_partkey == part.p_partkey)
+    facts = facts.join(sup, facts.l_suppkey == sup.s_suppkey)
     return facts.drop("p_partkey", "s_suppkey")
 
 
 def _featurized(spark, sf_dir):
-    from ..ml.features import build_features
     return build_features(records(spark, sf_dir), ROLES)
 
 
@@ -97,7 +97,7 @@ def q_one_hot_long(spark, sf_dir):
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     lab = label_index(part, "p_type")
     size = lab.agg(F.count(F.lit(1))).scalar()
-    j = part.join(joins.maybe_broadcast(lab), part.p_type == lab.value, "left")
+    j = part.join(lab, part.p_type == lab.value, "left")
     return j.select("p_partkey", F.col("idx").cast("long").alias("slot"),
                     size.cast("long").alias("size"))
 
@@ -126,6 +126,14 @@ def q_hashed_features(spark, sf_dir):
                     F.col("e.value").alias("tf")))
 
 
+@register("hashed_term_totals", "M4", """
+SELECT p_partkey, CAST(len(string_split(lower(p_name), ' ')) AS DOUBLE) AS terms FROM part
+""")
+def q_hashed_term_totals(spark, sf_dir):
+    """Sum of term counts per part: its number of terms, whatever the hash."""
+    return q_hashed_features(spark, sf_dir).groupBy("p_partkey").agg(F.sum("tf").alias("terms"))
+
+
 # -------------------------------------------------------- linear regression
 @register("linear_fit", "M9 M7", f"""
 SELECT round(regr_slope(l_extendedprice / 1000, l_quantity), {R4}) AS slope,
@@ -179,7 +187,7 @@ def q_multi_target_report(spark, sf_dir):
 @register("log_target_metrics", "M12 F10")
 def q_log_target_metrics(spark, sf_dir):
     f = M.train_targets(_featurized(spark, sf_dir), ["view_count"], FeatureSpec(), "video_id",
-                        label_fn=F.log1p)
+                        label_fn=log1p)
     return _report(f.report.withColumn("target", F.lit("log1p_view_count")))
 
 
@@ -206,23 +214,168 @@ def q_gbt_metrics(spark, sf_dir):
     return _report(f.report.withColumn("target", F.lit("gbt_comments_ratio")))
 
 
+def _requests(recs):
+    """Rows of records as scoring requests, numbered by order and line."""
+    return recs.select(
+        (F.col("video_id") * 10 + F.col("l_linenumber")).alias("request_id"), "region",
+        F.col("channelTitle").alias("channel_title"), "title", "tags", F.col("categoryId").alias("cat_id"),
+        F.date_format("publishedAt", "yyyy-MM-dd HH:mm:ss").alias("publish_dt"))
+
+
+def _named(requests, dim):
+    names = dim.select(F.col("categoryId").alias("cat_id"), F.col("categoryTitle").alias("category_name"))
+    return requests.join(names, "cat_id", "left").drop("cat_id")
+
+
+def _train_and_load(spark, recs, spec, **more):
+    """Train per region, save, and load the models again."""
+    path = new_scratch_path(spark, "models")
+    fitted = M.train_job(recs, ROLES, spec, M.PAIR_TARGETS, split_key="video_id", out_path=path, **more)
+    return {r: M.load_models(f"{path}/{r}") for r in fitted}
+
+
 @register("batch_score", "M14 M15 J2 S10 S11 S13")
 def q_batch_score(spark, sf_dir):
-    """Train per region on train rows, save, load, score the test rows as requests."""
+    """Train per region, save, load, and score the test half as requests."""
     recs = records(spark, sf_dir)
-    labeled = split_label(recs, "video_id", 0.7, seed=101)
-    path = new_scratch_path(spark, "models")
-    fitted = M.train_job(labeled.where(F.col("split") == "train"), ROLES, FeatureSpec(),
-                         M.PAIR_TARGETS, split_key="video_id", out_path=path)
-    loaded = {r: M.load_models(f"{path}/{r}") for r in fitted}
     dim = category_dim(spark, sf_dir)
-    requests = labeled.where(F.col("split") == "test").select(
-        F.col("video_id").alias("request_id"), "l_linenumber", "region",
-        F.col("channelTitle").alias("channel_title"), "title", "tags",
-        F.col("categoryId").alias("cat_id"),
-        F.date_format("publishedAt", "yyyy-MM-dd HH:mm:ss").alias("publish_dt"))
-    names = dim.select(F.col("categoryId").alias("cat_id"),
-                       F.col("categoryTitle").alias("category_name"))
-    requests = requests.join(joins.maybe_broadcast(names), "cat_id", "left").drop("cat_id")
-    scored = M.score(requests, loaded, dim, id_col="request_id")
-    return scored
+    loaded = _train_and_load(spark, recs, FeatureSpec())
+    _, test = M.split(recs, "video_id")
+    return M.score(_named(_requests(test), dim), loaded, dim)
+
+
+# ------------------------------------- closed forms: groups predict their mean
+#
+# Least squares on one one-hot column, and trees that can part all values of a
+# column, predict the training mean of a row's group.  So these oracles hold the
+# indexer, one-hot, text encodings, assembly, split, solvers, job, saved models and
+# scoring to exact values.
+
+TOL = 1e-12  # the oracles hold four places
+MONTHS = FeatureSpec(text=None, categorical=("publish_month_str",))
+FRACTION_SQL = ("CAST(('0x' || substr(md5('101:' || CAST(l_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0")
+# Cleaned records with their half of the split.
+RECORDS_SQL = f"""
+rec AS (SELECT l.*, month(l_shipdate) AS grp, r_name AS region, n_name, s_name, p_brand,
+               l_tax / l_quantity AS comments_ratio, round(l_extendedprice / l_quantity, 2) AS likes_ratio,
+               CASE WHEN {FRACTION_SQL} < 0.7 THEN 'train' ELSE 'test' END AS split
+        FROM lineitem l JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+             LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+        WHERE l_quantity <> 0 AND (l_returnflag = 'R') = false)
+"""
+
+
+def means_sql(name: str, y: str, grp: str, by: str = "") -> str:
+    """Metrics of the training mean of ``grp`` (within ``by``) on the test half."""
+    keys = f"{by}, grp" if by else "grp"
+    pick = f"{by}, " if by else ""
+    tail = f"GROUP BY {by}" if by else ""
+    return f"""
+SELECT {pick}'{name}' AS target, round(sqrt(avg(err * err)), {R4}) AS rmse,
+       round(1 - sum(err * err) / (var_pop(y) * count(*)), {R4}) + 0.0 AS r2, count(*) AS n
+FROM (SELECT {pick}t.y AS y, t.y - m.p AS err
+      FROM (SELECT {pick}{grp} AS grp, {y} AS y FROM rec WHERE split = 'test') t
+      JOIN (SELECT {pick}{grp} AS grp, avg({y}) AS p FROM rec WHERE split = 'train' GROUP BY ALL) m USING ({keys}))
+{tail}"""
+
+
+def _rounded(df):
+    # + 0.0: no negative zero
+    return df.select(*[c for c in df.columns if c not in ("rmse", "r2")], F.round("rmse", R4).alias("rmse"),
+                     (F.round("r2", R4) + F.lit(0.0)).alias("r2"))
+
+
+_MEAN_TARGETS = {"view_count": "l_quantity", "likes": "l_extendedprice", "comments_ratio": "comments_ratio"}
+
+
+@register("one_hot_report", "M2 M3 M7 M8 M9 M11 A18", f"WITH {RECORDS_SQL}" + "\nUNION ALL\n".join(
+    means_sql(t, y, "grp") for t, y in _MEAN_TARGETS.items()))
+def q_one_hot_report(spark, sf_dir):
+    f = M.train_targets(_featurized(spark, sf_dir), list(_MEAN_TARGETS), MONTHS, "video_id", tol=TOL)
+    return _rounded(f.report)
+
+
+@register("log_target_means", "M12 F10", f"WITH {RECORDS_SQL}" + means_sql("log1p_view_count", "ln(1 + l_quantity)", "grp"))
+def q_log_target_means(spark, sf_dir):
+    f = M.train_targets(_featurized(spark, sf_dir), ["view_count"], MONTHS, "video_id", label_fn=log1p, tol=TOL)
+    return _rounded(f.report.withColumn("target", F.lit("log1p_view_count")))
+
+
+_SETS = {
+    "hashing_262144": FeatureSpec(categorical=(), tags_col="brand_tag"),
+    "hashing_32768": FeatureSpec(num_features=32768, categorical=(), tags_col="brand_tag"),
+    "tfidf_min_df_1": FeatureSpec(text="tfidf", categorical=(), tags_col="brand_tag"),
+    "count_all_terms": FeatureSpec(text="count", categorical=(), tags_col="brand_tag"),
+}
+
+
+@register("feature_set_means", "M13 M4 M5 M6", f"WITH {RECORDS_SQL}" + "\nUNION ALL\n".join(
+    means_sql(name, "comments_ratio", "p_brand") for name in _SETS).replace("AS target", "AS feature_set"))
+def q_feature_set_means(spark, sf_dir):
+    """One tag a row: under every encoding the model predicts the tag's mean."""
+    feats = _featurized(spark, sf_dir).withColumn("brand_tag", F.slice("tag_array_lower", 1, 1))
+    return _rounded(M.compare_feature_sets(feats, "comments_ratio", _SETS, "video_id", tol=TOL))
+
+
+@register("gbt_means", "M10 A17", f"WITH {RECORDS_SQL}" + means_sql("likes", "l_extendedprice", "l_linenumber"))
+def q_gbt_means(spark, sf_dir):
+    """Depth 5 parts all seven line numbers, so the first tree predicts their means."""
+    d = split_label(records(spark, sf_dir).select("video_id", "l_linenumber", F.col("likes").alias("label")), "video_id", 0.7, seed=101)
+    d = VectorAssembler(inputCols=["l_linenumber"], outputCol="features").transform(d).persist()
+    m = M.train_gbt(d.where(F.col("split") == "train"))
+    out = M._materialize(M.model_report([("likes", M.rmse_r2(m.transform(d.where(F.col("split") == "test"))))]))
+    d.unpersist()
+    return _rounded(out)
+
+
+@register("train_job_report", "M14 S12 A18", f"WITH {RECORDS_SQL}" + "\nUNION ALL\n".join(
+    means_sql(t, t, "grp", "region") for t in M.PAIR_TARGETS))
+def q_train_job_report(spark, sf_dir):
+    return _rounded(M.job_report(M.train_job(records(spark, sf_dir), ROLES, MONTHS, M.PAIR_TARGETS, split_key="video_id", tol=TOL)))
+
+
+@register("score_means", "M15 S10 S11 S12 S13 J2", f"""
+WITH {RECORDS_SQL}, m AS (SELECT region, grp, avg(comments_ratio) AS c, avg(likes_ratio) AS l FROM rec WHERE split = 'train' GROUP BY ALL)
+SELECT l_orderkey * 10 + l_linenumber AS request_id, region, round(c, 5) AS pred_comments_ratio, round(l / 100, 2) AS pred_likes_ratio_100
+FROM rec JOIN m USING (region, grp) WHERE split = 'test'
+""")
+def q_score_means(spark, sf_dir):
+    recs, dim = records(spark, sf_dir), category_dim(spark, sf_dir)
+    loaded = _train_and_load(spark, recs, MONTHS, tol=TOL)
+    _, test = M.split(recs, "video_id")
+    scored = M.score(_named(_requests(test), dim), loaded, dim)
+    return scored.select("request_id", "region", F.round("pred_comments_ratio", 5).alias("pred_comments_ratio"),
+                         F.round(F.col("pred_likes_ratio") / 100, 2).alias("pred_likes_ratio_100"))
+
+
+@register("score_audit", "M15 J2 F8", f"""
+WITH {RECORDS_SQL}, q AS (SELECT l_orderkey * 10 + l_linenumber AS id FROM rec WHERE split = 'test')
+SELECT reason, count(*) AS requests, count(DISTINCT id) AS ids FROM (
+  SELECT id, CASE WHEN id % 5 = 0 OR id % 11 = 0 OR id % 13 = 0 THEN 'unknown category'
+                  WHEN id % 7 = 0 THEN 'bad publish_dt'
+                  WHEN id % 17 = 0 THEN 'no model for region' ELSE 'scored' END AS reason FROM q)
+GROUP BY reason
+""")
+def q_score_audit(spark, sf_dir):
+    """Every request comes back once, with its prediction or the reason for none.
+
+    A region that is NULL or unknown has no categories, so its categories are
+    unknown; one region keeps its categories but has no model."""
+    recs, dim = records(spark, sf_dir), category_dim(spark, sf_dir)
+    fitted = M.train_job(recs, ROLES, MONTHS, M.PAIR_TARGETS, split_key="video_id")
+    _, test = M.split(recs, "video_id")
+    i = F.col("request_id")
+    away = dim.withColumn("region", F.concat("region", F.lit(" (no model)")))
+    # a title twice: the dimension's duplicates must not double requests
+    dims = dim.unionByName(away).unionByName(dim.where("categoryId % 2 = 0"))
+    req = _named(_requests(test), dim) \
+        .withColumn("category_name", F.when(i % 5 == 0, F.lit("NO SUCH")).otherwise(F.col("category_name"))) \
+        .withColumn("publish_dt", F.when(i % 7 == 0, F.lit("yesterday")).otherwise(F.col("publish_dt"))) \
+        .withColumn("region", F.when(i % 11 == 0, F.lit(None)).when(i % 13 == 0, F.lit("MOON"))
+                    .when(i % 17 == 0, F.concat("region", F.lit(" (no model)"))).otherwise(F.col("region")))
+    scored = M.score(req, fitted, dims)
+    pred = [F.col(f"pred_{t}").isNotNull() for t in M.PAIR_TARGETS]
+    reason = F.when(F.col("error").isNull() & pred[0] & pred[1], "scored") \
+        .when(F.col("error").startswith("unknown category") & ~pred[0], "unknown category") \
+        .when(F.col("error").startswith("no model for region") & ~pred[0], "no model for region").otherwise(F.col("error"))
+    return scored.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("requests"), F.count_distinct("request_id").alias("ids"))

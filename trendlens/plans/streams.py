@@ -1,14 +1,17 @@
-"""Streaming queries over the ``events`` table replayed as a file stream.
+"""Streaming queries over the driver tables replayed as file streams.
 
-Each call drains the table with an ``availableNow`` trigger into a uniquely
-named running aggregate and returns its current result.  Tags of an event:
+Each call drains a table with an ``availableNow`` trigger into a uniquely named
+running aggregate and returns the counters in its state.  Tags of an event:
 ``event_type|k`` (k from the JSON props), split on the pipe like video tags.
+For the per-region counts, documents are the events, ``lang`` is the region and
+``source`` the category.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.topk import order_by_count_desc
 from ..sources.tables import read_table
 from ..streaming import running as S
 from .registry import register
@@ -23,8 +26,8 @@ def _events_stream(spark, sf_dir):
 
 def _run(spark, df, prefix):
     name = S.unique_name(prefix)
-    S.drain(S.start_running_query(df, name, available_now=True, sink="memory"))
-    return name
+    S.drain(S.start_running_query(df, name, available_now=True))
+    return S.snapshot(spark, name)
 
 
 @register("running_counts_by_type", "T1 S5 S7 S8", """
@@ -32,8 +35,7 @@ SELECT event_type, count(*) AS count FROM events GROUP BY event_type
 """)
 def q_running_counts_by_type(spark, sf_dir):
     counts = S.running_counts_by_category(_events_stream(spark, sf_dir), "event_type", keys=[])
-    name = _run(spark, counts, "running_by_type")
-    return S.snapshot(spark, name, "event_type")
+    return order_by_count_desc(_run(spark, counts, "running_by_type"), ["event_type"])
 
 
 @register("running_counts_by_tag", "T2 G1 S7 S8", """
@@ -44,8 +46,7 @@ GROUP BY tag
 """)
 def q_running_counts_by_tag(spark, sf_dir):
     counts = S.running_counts_by_tag(_events_stream(spark, sf_dir), "tags", keys=[])
-    name = _run(spark, counts, "running_by_tag")
-    return S.snapshot(spark, name, "tag")
+    return order_by_count_desc(_run(spark, counts, "running_by_tag"), ["tag"])
 
 
 @register("running_top_k", "T4 O3", """
@@ -56,6 +57,28 @@ GROUP BY tag ORDER BY count DESC, tag LIMIT 10
 """)
 def q_running_top_k(spark, sf_dir):
     counts = S.running_counts_by_tag(_events_stream(spark, sf_dir), "tags", keys=[])
-    top = S.running_top_k(counts, "tag", 10)
-    name = _run(spark, top, "running_top_k")
-    return spark.table(name).orderBy(F.col("count").desc(), F.col("tag"))
+    return S.running_top_k(_run(spark, counts, "running_top_k"), "tag", 10)
+
+
+def _by_region(spark, sf_dir, prefix):
+    schema = read_table(spark, sf_dir, "documents").schema
+    docs = S.read_file_stream(spark, sf_dir, "documents.parquet", schema)
+    events = docs.select(F.col("lang").alias("region"), F.col("source").alias("categoryTitle"))
+    return _run(spark, S.running_counts_by_category(events), prefix)
+
+
+@register("running_counts_by_region", "T1 T3 S12", """
+SELECT lang AS region, source AS "categoryTitle", count(*) AS count FROM documents GROUP BY ALL
+""")
+def q_running_counts_by_region(spark, sf_dir):
+    return _by_region(spark, sf_dir, "running_by_region")
+
+
+@register("running_top_k_by_region", "T3 T4", """
+SELECT region, "categoryTitle", count, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY region ORDER BY count DESC, "categoryTitle") AS INTEGER) AS rank
+  FROM (SELECT lang AS region, source AS "categoryTitle", count(*) AS count FROM documents GROUP BY ALL))
+WHERE rank <= 3
+""")
+def q_running_top_k_by_region(spark, sf_dir):
+    return S.running_top_k(_by_region(spark, sf_dir, "running_top_by_region"), "categoryTitle", 3, keys=["region"])

@@ -40,8 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only where none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3, ...)
-    and is used as is.  Only a session without it (a unit test) gets a fresh
-    local folder.
+    and is used as is.  Only a ``local`` master without it (a unit test) gets a
+    fresh local folder; any other master raises, since executors could not see it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="trendlens-chk-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,6 +63,13 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "trendlens", *parts])
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate that is no longer read."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (one per call)."""
     import uuid
@@ -68,4 +77,4 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path",
-           "new_scratch_path", "DEFAULT_CONF"]
+           "new_scratch_path", "remove_path", "DEFAULT_CONF"]

@@ -6,19 +6,18 @@ instead of one copy of the job per region.  The aggregates are ordinary
 in the state store (use the RocksDB provider when keys are many) and shuffles
 by key, so state is spread over tasks.
 
-Sinks:
-* ``memory`` (complete mode) - what an interactive dashboard reads; the whole
-  result goes to the driver each trigger, so only for bounded key sets.
-* ``table`` (update mode) - every trigger appends the changed counters with
-  their batch id to a Parquet table under the shared checkpoint folder;
-  ``snapshot`` takes the latest counter per key in a distributed aggregate.
+A running aggregate has no sink of its own: it runs in update mode into ``noop``
+and its result is its state, which ``snapshot`` reads from the checkpoint as a
+distributed DataFrame (the counters of the last committed batch).  Nothing is
+gathered on the driver, however many keys there are.  ``sink="memory"`` (complete
+mode) remains for an interactive look at a bounded key set.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -131,39 +130,46 @@ def running_counts_by_tag(events: DataFrame, col: str = "tags",
     return running_counts(exploded, "tag", "tag", ks)
 
 
+# Spark keeps only the first k rows of a group on each task up to this k.
+MOST_PER_KEY = 1000
+
+
 def running_top_k(counts: DataFrame, key: str, k: int,
                   keys: list[str] | None = None) -> DataFrame:
-    """T4: top k of a running count (complete mode allows sort + limit).
+    """T4: top k of a snapshot of running counts, within each of ``keys`` if given.
 
-    Without ``keys`` it is a global top k; with keys (e.g. region) use the
-    batch ``snapshot(..., k=...)`` which ranks within each key.
+    Without ``keys`` per-task heaps of k rows are merged; with keys each task
+    passes on its first k of each group (for k up to ``MOST_PER_KEY``).
     """
-    return counts.orderBy(F.col("count").desc(), F.col(key).asc()).limit(k)
+    order = [F.col("count").desc(), F.col(key).asc()]
+    if not keys:
+        return counts.orderBy(*order).limit(k)
+    if k > MOST_PER_KEY:
+        raise ValueError(f"k is {MOST_PER_KEY} at most with keys")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 # -------------------------------------------------------------------- sinks
 
+def checkpoint_of(spark: SparkSession, name: str) -> str:
+    """Where a named running query keeps its progress and state."""
+    return scratch_path(spark, "streams", name, "checkpoint")
+
+
 def start_running_query(df: DataFrame, name: str, trigger: str | None = "30 seconds",
-                        available_now: bool = False, sink: str = "memory",
+                        available_now: bool = False, sink: str = "state",
                         checkpoint: str | None = None) -> StreamingQuery:
-    """Start a running aggregate.
+    """Start a running aggregate; ``snapshot`` reads its counters.
 
-    ``sink='memory'``: complete mode into an in-memory table ``name``.
-    ``sink='table'``: update mode; each trigger appends changed counters and
-    the batch id to ``scratch_path(name)/changes`` (see ``snapshot``).
+    ``sink='state'``: update mode; the result is the query's state.
+    ``sink='memory'``: complete mode into an in-memory table ``name`` on the driver.
     """
-    spark = df.sparkSession
-    chk = checkpoint or scratch_path(spark, "streams", name, "checkpoint")
-    if sink == "memory":
-        w = (df.writeStream.outputMode("complete").format("memory").queryName(name))
-    elif sink == "table":
-        out = scratch_path(spark, "streams", name, "changes")
-
-        def append_changes(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long")) \
-                 .write.mode("append").parquet(out)
-
-        w = df.writeStream.outputMode("update").foreachBatch(append_changes)
+    chk = checkpoint or checkpoint_of(df.sparkSession, name)
+    if sink == "state":
+        w = df.writeStream.outputMode("update").format("noop").queryName(name)
+    elif sink == "memory":
+        w = df.writeStream.outputMode("complete").format("memory").queryName(name)
     else:
         raise ValueError(f"unknown sink {sink}")
     w = w.option("checkpointLocation", chk)
@@ -182,25 +188,10 @@ def drain(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def snapshot(spark: SparkSession, name: str, key: str, k: int | None = None,
-             sink: str = "memory", keys: list[str] | None = None) -> DataFrame:
-    """Current counts of a running query, ordered (count desc, key).
-
-    With ``k`` returns the top k per ``keys`` (per region) using a window
-    partitioned by those keys (one small group per region).
-    """
-    keys = keys or []
-    if sink == "memory":
-        cur = spark.table(name)
-    else:
-        changes = spark.read.parquet(scratch_path(spark, "streams", name, "changes"))
-        cur = (changes.groupBy(*keys, key)
-               .agg(F.max_by("count", "batch_id").alias("count")))
-    if k is not None:
-        from pyspark.sql import Window
-        w = Window.partitionBy(*keys).orderBy(F.col("count").desc(), F.col(key).asc())
-        cur = cur.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return cur.orderBy(*keys, F.col("count").desc(), F.col(key).asc())
+def snapshot(spark: SparkSession, name: str, checkpoint: str | None = None) -> DataFrame:
+    """The counters of a running query after its last committed batch, one row a key."""
+    state = spark.read.format("statestore").load(checkpoint or checkpoint_of(spark, name))
+    return state.select("key.*", F.col("value.count").alias("count"))
 
 
 def stop_all(spark: SparkSession) -> int:
@@ -217,5 +208,5 @@ def unique_name(prefix: str) -> str:
 
 __all__ = ["EVENT_SCHEMA", "read_kafka_events", "read_file_stream", "decode_events",
            "running_counts", "running_counts_by_category", "running_counts_by_tag",
-           "running_top_k", "start_running_query", "drain", "snapshot", "stop_all",
+           "running_top_k", "checkpoint_of", "start_running_query", "drain", "snapshot", "stop_all",
            "unique_name", "ensure_checkpoint_dir"]
