@@ -44,7 +44,7 @@ GRAM = 32  # a power of two
 CHUNK = 1 << 20  # window starts worked on at once
 PLACE_FREE = ~np.uint64((1 << 21) - 1)  # a place in a chunk has 21 bits
 SHARD_BYTES = 1 << 20
-MOST = 20_000
+MOST = 3_000
 BYTES_PER_SEGMENT = 85  # (length - GRAM + 2) / 2 on text without long repeats
 FULL, EDGE, SHOWN = 0, 1, 2
 
@@ -94,7 +94,7 @@ def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
 def suffix_array(t: np.ndarray, packed: np.ndarray) -> np.ndarray:
     """Suffixes of ``t`` in order, by prefix doubling; ``packed`` has the first seven symbols."""
     n = len(t)
-    sa = np.argsort(packed, kind="stable")
+    sa = np.argsort(packed).astype(np.int32)
     head = np.concatenate(([True], packed[sa][1:] != packed[sa][:-1]))
     rank = np.empty(n + 1, np.int32)
     rank[n] = -1
@@ -106,11 +106,12 @@ def suffix_array(t: np.ndarray, packed: np.ndarray) -> np.ndarray:
         if not len(slot):
             return sa
         at = sa[slot]
-        major, minor = rank[at], rank[np.minimum(at + done, n)]
-        order = np.lexsort((minor, major))
-        at, major, minor = at[order], major[order], minor[order]
+        major, minor = rank[at].astype(np.int64), rank[np.minimum(at + done, n)]
+        both = major * np.int64(n + 1) + minor + 1
+        order = np.argsort(both)
+        at, both = at[order], both[order]
         sa[slot] = at
-        new = np.concatenate(([True], (major[1:] != major[:-1]) | (minor[1:] != minor[:-1])))
+        new = np.concatenate(([True], both[1:] != both[:-1]))
         head[slot] = new
         rank[at] = np.maximum.accumulate(np.where(new, slot, 0))
         done *= 2
@@ -151,17 +152,21 @@ def matching_statistics(parts: list[bytes]) -> list[np.ndarray]:
     left = np.repeat(starts + sizes + 1, sizes + 1) - np.arange(n)
     best = np.zeros(n, np.int64)
     slot = np.empty(n, np.int32)
-    slot[sa] = np.arange(n)
+    place = np.arange(n, dtype=np.int32)
+    slot[sa] = place
     for step in (-1, 1):
         # Run ends next to another run; a part's separator begins a stream of its own.
-        ends = np.nonzero(np.concatenate(([True], change) if step < 0 else (change, [True])))[0]
-        sample = np.unique(np.concatenate((sa[ends], starts)))
+        end = np.concatenate(([True], change) if step < 0 else (change, [True]))
+        sampled = np.zeros(n, bool)
+        sampled[sa[end]] = True
+        sampled[starts] = True
+        sample = np.nonzero(sampled)[0]
         near = slot[sample] + step
         other = sa[np.clip(near, 0, n - 1)]
         value = _common(packed, t, sample, other, left[sample])
         value[(near < 0) | (near >= n)] = 0
-        last = np.searchsorted(sample, np.arange(n), "right") - 1
-        best = np.maximum(best, value[last] - (np.arange(n) - sample[last]))
+        # From one sample to the next the statistic falls by one a byte.
+        best = np.maximum(best, (value + sample)[np.cumsum(sampled) - 1] - place)
     return [best[s + 1:s + 1 + k] for s, k in zip(starts.tolist(), sizes.tolist())]
 
 
@@ -187,7 +192,6 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 SPANS = "array<struct<start:long,end:long>>"
 SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-PIECE_TYPE = pa.list_(pa.struct([("h", pa.int64()), ("d", pa.int64()), ("at", pa.int64()), ("own", pa.bool_()), ("bytes", pa.binary())]))
 
 
 def _occurrences(texts: DataFrame, length: int) -> DataFrame:
@@ -195,8 +199,8 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             held, n = [], 0
-            for key, x in zip(batch.column("key").to_pylist(), batch.column("text")):
-                h, seg, _, _ = segments(x.as_py().encode(), length)
+            for key, x in zip(batch.column("key").to_pylist(), _raw(batch.column("text"))):
+                h, seg, _, _ = segments(x, length)
                 if len(h):
                     held.append((h, seg, np.full(len(h), key)))
                     n += len(h)
@@ -212,42 +216,81 @@ def _occurrences(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, "h long, seg long, key long")
 
 
+def _raw(column: pa.Array) -> list[bytes]:
+    """The UTF-8 bytes of a string column's values."""
+    at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).tolist()
+    data = column.buffers()[2]
+    data = memoryview(data) if data else b""
+    return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
+
+
+def _lists(column: pa.Array, fields: list[str]) -> tuple[list[int], list[np.ndarray]]:
+    """Offsets and the fields' values of a column of structs' lists (null lists are empty)."""
+    at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4)
+    return at.tolist(), [column.values.field(f).to_numpy(zero_copy_only=False) for f in fields]
+
+
+def _covered(start: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
+    """Union of intervals with ascending starts and ends."""
+    if not len(start):
+        return []
+    new = np.nonzero(np.concatenate(([True], start[1:] > end[:-1])))[0]
+    return list(zip(start[new].tolist(), end[np.concatenate((new[1:], [len(end)])) - 1].tolist()))
+
+
 def _worked(joined: DataFrame, length: int) -> DataFrame:
     """Spans of repeated segments and pieces for the index, of each row with its marked segments;
     ``text`` stays where the index has to say more."""
+    pair = lambda h, seg: h * np.int64(0x2545F4914F6CDD1D) ^ seg
+
     def run(batches):
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
-                texts, spans, pieces = part.column("text").to_pylist(), [], []
-                for i, (x, marks, leads) in enumerate(zip(list(texts), part.column("marks").to_pylist(), part.column("leads").to_pylist())):
-                    raw, span, piece, more = x.encode(), [], [], False
-                    if marks:
-                        of = {(m["h"], m["seg"]): m for m in marks if m["kind"] != FULL}
-                        full = {(m["h"], m["seg"]) for m in marks if m["kind"] != EDGE}
-                        h, seg, a, b = segments(raw, length)
-                        for pair, s, e in zip(zip(h.tolist(), seg.tolist()), a.tolist(), b.tolist()):
-                            if pair in full:
-                                span.append((s, e))
-                            if (m := of.get(pair)) and (m["kind"] == EDGE or leads):
-                                own = m["kind"] == EDGE
-                                more |= own
-                                piece.append({"h": m["h"], "d": m["d"], "at": s, "own": own, "bytes": raw[s:e]})
-                                if not own:
-                                    of.pop(pair)  # one place shows the content
-                    spans.append([{"start": s, "end": e} for s, e in _merged(span)])
-                    pieces.append(piece)
-                    if not more:
-                        texts[i] = None
-                size = [len(x.as_py().encode()) for x in part.column("text")]
-                done = [None if t is not None else _digest(x.as_py().encode(), [(s["start"], s["end"]) for s in sp])
-                        for t, x, sp in zip(texts, part.column("text"), spans)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("key"), pa.array(texts, pa.string()), pa.array(size, pa.int64()),
-                     pa.array(spans, SPAN_TYPE), pa.array(pieces, PIECE_TYPE), pa.array(done, pa.string())],
-                    ["doc_id", "key", "text", "n_bytes", "spans", "pieces", "kept_sha256"])
-
-    return joined.select("doc_id", "key", "text", "marks", "leads").mapInArrow(
+                yield work(batch.slice(begin, 512))
+
+    def work(part):
+        raws = _raw(part.column("text"))
+        at, (mh, mseg, md, mkind) = _lists(part.column("marks"), ["h", "seg", "d", "kind"])
+        marked = pair(mh, mseg)
+        size, spans, done, waits = [], [], [], []
+        counts, ph, pd_, pat, pown, pbytes = [], [], [], [], [], []
+        for raw, m0, m1, leads in zip(raws, at, at[1:], part.column("leads").to_pylist()):
+            covered, before, more = [], len(ph), False
+            if m1 > m0:
+                h, seg, a, b = segments(raw, length)
+                own, kind = pair(h, seg), mkind[m0:m1]
+                full = np.isin(own, marked[m0:m1][kind != EDGE])
+                covered = _covered(a[full], b[full])
+                asked = np.isin(own, marked[m0:m1][kind == EDGE])
+                more = bool(asked.any())
+                take = np.nonzero(asked)[0]
+                if leads and (kind == SHOWN).any():
+                    shown = np.nonzero(np.isin(own, marked[m0:m1][kind == SHOWN]))[0]
+                    take = np.concatenate((take, shown[np.unique(own[shown], return_index=True)[1]]))  # one place each
+                if len(take):
+                    d = dict(zip(mh[m0:m1][kind != FULL].tolist(), md[m0:m1][kind != FULL].tolist()))
+                    ph += h[take].tolist()
+                    pd_ += [d[x] for x in h[take].tolist()]
+                    pat += a[take].tolist()
+                    pown += asked[take].tolist()
+                    pbytes += [raw[x:y] for x, y in zip(a[take].tolist(), b[take].tolist())]
+            counts.append(len(ph) - before)
+            size.append(len(raw))
+            spans.append(covered)
+            waits.append(more)
+            done.append(None if more else _digest(raw, covered))
+        offsets = lambda n: pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32())
+        pieces = pa.StructArray.from_arrays([pa.array(ph, pa.int64()), pa.array(pd_, pa.int64()), pa.array(pat, pa.int64()),
+                                             pa.array(pown, pa.bool_()), pa.array(pbytes, pa.binary())], ["h", "d", "at", "own", "bytes"])
+        ends = pa.StructArray.from_arrays([pa.array([s[k] for x in spans for s in x], pa.int64()) for k in (0, 1)], ["start", "end"])
+        text = pa.array([raw if more else None for raw, more in zip(raws, waits)], pa.binary()).cast(pa.string())
+        return pa.RecordBatch.from_arrays(
+            [part.column("doc_id"), part.column("key"), text, pa.array(size, pa.int64()), pa.ListArray.from_arrays(offsets([len(x) for x in spans]), ends),
+             pa.ListArray.from_arrays(offsets(counts), pieces), pa.array(done, pa.string())],
+            ["doc_id", "key", "text", "n_bytes", "spans", "pieces", "kept_sha256"])
+
+    none = F.array().cast("array<struct<h:long,seg:long,d:long,kind:int>>")
+    return joined.select("doc_id", "key", "text", F.coalesce("marks", none).alias("marks"), "leads").mapInArrow(
         run, f"doc_id long, key long, text string, n_bytes long, spans {SPANS}, "
              "pieces array<struct<h:long,d:long,at:long,own:boolean,bytes:binary>>, kept_sha256 string")
 
@@ -313,11 +356,16 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, sh
     rows, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     about = size // BYTES_PER_SEGMENT  # segments: only says which keys are joined by broadcast
     seen = written(_occurrences(texts, length), "segments")
-    contents = seen.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("key").alias("key"))
-    several = contents.groupBy("h").agg(F.count("*").alias("d")).filter("d > 1")
-    edges = join_hot(contents, several, "h", "d", about).select(
+    groups = seen.groupBy("h").agg(F.count("*").alias("n"), F.min("seg").alias("low"), F.max("seg").alias("high")).filter("n > 1")
+    shared = written(join_hot(seen, groups, "h", "n", about), "shared-segments")
+    mixed = shared.filter("low <> high").select("h", "seg", "key")
+    total = mixed.count()
+    contents = mixed.groupBy("h", "seg").agg(F.count("*").alias("c"), F.min("key").alias("key"))
+    several = contents.groupBy("h").agg(F.count("*").alias("d"))
+    edges = join_hot(contents, several, "h", "d", total).select(
         "key", "h", "seg", "d", F.when(F.col("c") == 1, EDGE).otherwise(SHOWN).alias("kind"))
-    full = join_hot(seen, contents.filter("c > 1").select("h", "seg", "c"), ["h", "seg"], "c", about).select(
+    again = join_hot(mixed, contents.filter("c > 1").select("h", "seg", "c"), ["h", "seg"], "c", total).select("key", "h", "seg")
+    full = shared.filter("low = high").select("key", "h", "seg").unionByName(again).select(
         "key", "h", "seg", F.lit(0).cast("long").alias("d"), F.lit(FULL).alias("kind"))
     marks = edges.unionByName(full).groupBy("key").agg(F.collect_list(F.struct("h", "seg", "d", "kind")).alias("marks"))
     copies = texts.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("leader"))
