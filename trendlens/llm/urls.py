@@ -125,9 +125,8 @@ def judge(pages: DataFrame, url: str = "url", rules: dict[str, str] = RULES) ->
             F.floor(F.sum("score") / F.count("*")).alias("mean"))
         scored = written(scored, "url-means")
         cut = threshold(scored.filter("label is not null"))
-        other = other.join(scored.filter("label is null").select("url", "mean"), "url") \
-            .crossJoin(F.broadcast(cut))  # a single row
-        verdict = F.when(F.col("mean") >= F.col("cut"), "allow").otherwise("block")
+        other = other.join(scored.filter("label is null").select("url", "mean"), "url")
+        verdict = F.when(F.col("mean") >= cut.scalar(), "allow").otherwise("block")
     else:
         other, verdict = other.withColumn("mean", F.lit(0).cast("long")), F.lit("allow")
     cols = ["url", "n", "rule"]
