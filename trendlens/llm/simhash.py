@@ -10,8 +10,8 @@ vantage-point tree for each half, a metric space of its own in which balls are s
 * every fingerprint has one home shard (leaf), and is a query in each shard that the triangle
   inequality can't rule out: left if ``d - radius <= median``, right if ``d + radius > median``;
 * in a shard, queries meet homes block by block under the exact 64-bit distance; a block has
-  ``block`` homes and queries at most (larger shards become a grid of blocks), and gives a
-  spanning forest of its links, never all pairs of a group.
+  ``block`` homes and queries at most (larger shards become a grid of blocks), and gives
+  stars that connect what its links connect, never all pairs of a group.
 
 The depth follows the number of fingerprints, so shards stay small as data grow.  Equal texts
 fall together before the search: nodes are distinct fingerprints with their row counts.
@@ -118,7 +118,8 @@ def _halves(fp: np.ndarray) -> list[np.ndarray]:
 
 
 def _forest(homes: np.ndarray, queries: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links between two sets of fingerprints."""
+    """Stars that connect two sets of fingerprints as the links between them do: each node that
+    is linked, and the least of its component."""
     both = np.unique(np.concatenate((homes, queries)))
     h, q = np.searchsorted(both, homes), np.searchsorted(both, queries)
     parent = list(range(len(both)))
@@ -130,26 +131,19 @@ def _forest(homes: np.ndarray, queries: np.ndarray, max_bits: int) -> tuple[np.n
         return x
 
     label = np.arange(len(both))
-    edges: list[tuple[int, int]] = []
     hu, qu = homes.view(np.uint64), queries.view(np.uint64)
     for at in range(0, len(qu), 256):
         i, j = np.nonzero(np.bitwise_count(qu[at:at + 256, None] ^ hu[None, :]) <= max_bits)
-        a, b = q[at + i], h[j]
-        differ = label[a] != label[b]
+        a, b = label[q[at + i]], label[h[j]]
+        differ = a != b
         if not differ.any():
             continue
-        a, b = a[differ], b[differ]
-        pairs, first = np.unique(np.stack((label[a], label[b]), 1), axis=0, return_index=True)
-        for (x, y), k in zip(pairs.tolist(), first.tolist()):
+        for x, y in np.unique(np.stack((a[differ], b[differ]), 1), axis=0).tolist():
             x, y = find(x), find(y)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                edges.append((a[k], b[k]))
+            parent[max(x, y)] = min(x, y)
         label = np.array([find(x) for x in range(len(both))])
-    if not edges:
-        return both[:0], both[:0]
-    e = np.array(edges)
-    return both[e[:, 0]], both[e[:, 1]]
+    joined = np.nonzero(label != np.arange(len(both)))[0]
+    return both[joined], both[label[joined]]
 
 
 def links(nodes: DataFrame, n: int, max_bits: int = 3, leaf: int = LEAF, sample: int = SAMPLE,
