@@ -51,6 +51,11 @@ def test_stream_restart_from_checkpoint(spark, tmp_dir):
     assert got["x"] == 2 * ev.count()
 
 
+def test_kafka_options_subscribe_to_every_region():
+    assert S.kafka_options("h:9092", ["US", "CA"]) == {
+        "kafka.bootstrap.servers": "h:9092", "subscribe": "youtube_US,youtube_CA", "startingOffsets": "latest"}
+
+
 def test_decode_events_bytes(spark):
     raw = spark.createDataFrame(
         [(bytearray(b'{"video_id":"v","tags":"a|b","view_count":5,"comments_disabled":false}'), "US"),

@@ -49,6 +49,14 @@ TOPIC_PREFIX = "youtube_"
 
 # ------------------------------------------------------------------ sources
 
+def kafka_options(servers: str, regions: list[str], starting_offsets: str = "latest",
+                  topic_prefix: str = TOPIC_PREFIX) -> dict[str, str]:
+    """Options of one subscription to every region's topic."""
+    return {"kafka.bootstrap.servers": servers,
+            "subscribe": ",".join(f"{topic_prefix}{r}" for r in regions),
+            "startingOffsets": starting_offsets}
+
+
 def read_kafka_events(spark: SparkSession, servers: str, regions: list[str],
                       starting_offsets: str = "latest",
                       topic_prefix: str = TOPIC_PREFIX) -> DataFrame:
@@ -56,12 +64,8 @@ def read_kafka_events(spark: SparkSession, servers: str, regions: list[str],
 
     Needs the spark-sql-kafka connector on the classpath.
     """
-    topics = ",".join(f"{topic_prefix}{r}" for r in regions)
-    raw = (spark.readStream.format("kafka")
-           .option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topics)
-           .option("startingOffsets", starting_offsets)
-           .load())
+    options = kafka_options(servers, regions, starting_offsets, topic_prefix)
+    raw = spark.readStream.format("kafka").options(**options).load()
     return raw.withColumn("region", F.regexp_replace("topic", f"^{topic_prefix}", ""))
 
 
@@ -206,7 +210,7 @@ def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
-__all__ = ["EVENT_SCHEMA", "read_kafka_events", "read_file_stream", "decode_events",
+__all__ = ["EVENT_SCHEMA", "kafka_options", "read_kafka_events", "read_file_stream", "decode_events",
            "running_counts", "running_counts_by_category", "running_counts_by_tag",
            "running_top_k", "checkpoint_of", "start_running_query", "drain", "snapshot", "stop_all",
            "unique_name", "ensure_checkpoint_dir"]
