@@ -453,10 +453,10 @@ def q_decode_json(spark, sf_dir):
 
 # ------------------------------------------- previews and column functions
 @register("preview", "S14 O2", """
-SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem ORDER BY l_orderkey, l_linenumber, l_quantity, l_shipdate LIMIT 20
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice LIMIT 20
 """)
 def q_preview(spark, sf_dir):
-    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
     return topk.order_by_key(_t(spark, sf_dir, "lineitem").select(*cols), cols).limit(20)
 
 
