@@ -1,3 +1,5 @@
+import random
+
 from trendlens.llm import lines
 
 
@@ -52,3 +54,36 @@ def test_odd_rows(odd):
     assert sum(bool(t) for t in copies) == 1  # the first row, of four alike
     assert {(r.text, r._u_text) for r in got.filter("trim(coalesce(text, '')) = ''").collect()} >= {(None, None), ("", "")}
     assert lines.dedup_units(odd.limit(0), ["doc_id"]).count() == 0
+
+
+def test_passages_from_mid_sentence_to_mid_sentence(spark):
+    draw = random.Random(4)
+    words = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 9))) for _ in range(5000)]
+    prose = lambda n: " ".join(draw.choice(words) for _ in range(n))
+    rows, passages = [], {}
+    for i in range(40):
+        # The passage lies inside one sentence of each text, or crosses the ends of sentences.
+        passage = prose(60) if i % 2 else f"{prose(20)}. {prose(20).title()}. {prose(20)}"
+        passages[1000 + i] = passage
+        rows += [(i, f"{prose(30)} {passage.lower()} {prose(30)}."), (1000 + i, f"{prose(25)} {passage} {prose(25)}.")]
+    got = lines.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id", "text"]).collect()
+    share = []
+    for r in got:
+        if r.doc_id < 1000:
+            assert r._u_text == r.text
+            continue
+        at = r.text.index(passages[r.doc_id])
+        assert all(at <= s.start and s.end <= at + len(passages[r.doc_id]) + 1 for s in r._u_spans)
+        share.append(sum(s.end - s.start for s in r._u_spans) / len(passages[r.doc_id]))
+    assert min(share) > 0.4 and sum(share) / len(share) > 0.7
+
+
+def test_short_runs_inside_sentences_stay(spark):
+    words = [f"{a}{b}" for a in "bcdfghjklm" for b in ("ale", "ine", "orm", "ust", "ake")]
+    common = " ".join(words[:9])
+    rows = [(0, f"{' '.join(words[10:22])} {common} {' '.join(words[30:39])}."), (1, f"other people say that {common} and then go on in their own way.")]
+    got = {r.doc_id: r._u_text for r in lines.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    assert got == dict(rows)
+    assert lines.runs([(0, 9, "", 5), (9, 20, "", -6), (20, 30, "", 8)], {0, 1}, 5) == [(0, 1)]
+    assert lines.runs([(0, 9, "", -4), (9, 20, "", -6), (20, 30, "", 8)], {1}, 5) == []
+    assert lines.runs([(0, 9, "", -4), (9, 20, "", -6), (20, 30, "", -6), (30, 40, "", 4)], {1, 2}, 5) == [(1, 3)]

@@ -1,11 +1,14 @@
 """Substring dedup by hashing lines and the sentences in them.
 
-A unit is a line, or within a line a sentence (a sentence of fewer than ``least_unit`` words is
-joined to what follows it in the line), so a passage that is repeated inside other lines is found
-too.  Units are normalised (lower case, single spaces), their 128-bit digests are grouped over all
-documents, the earliest occurrence in order of (doc_id, row, place) stays, and the others go, if
-they stand in a run of repeated units of at least ``min_words`` words (a shorter run is likely to
-be chance).  Offsets of what was removed are those in the original text, in code points.
+A unit is a line, within a line a sentence (a sentence of fewer than ``least_unit`` words is
+joined to what follows it in the line), and within a sentence a piece between content-defined cuts
+(see ``cuts_of``), so a passage that is repeated inside other lines or from the middle of a sentence
+to the middle of another is found too.  Units are normalised (lower case, single spaces), their
+128-bit digests are grouped over all documents, the earliest occurrence in order of (doc_id, row,
+place) stays, and the others go, if they stand in a run of repeated units of at least ``min_words``
+words, or ``PART_WORDS`` where it begins or ends inside a sentence (a shorter run is likely to be
+chance).  Of a passage from mid-sentence to mid-sentence the words before its first cut and after
+its last one stay.  Offsets of what was removed are those in the original text, in code points.
 
 A digest that many documents share is counted before it is shuffled, and its occurrences are
 found by a bounded broadcast (see ``join_hot``); no group is ever gathered.  Rows are numbered in a
@@ -18,8 +21,10 @@ carried columns keep their names, the operator's own begin with ``_u_``, so name
 
 from __future__ import annotations
 
+import functools
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,22 +34,93 @@ from .common import join_hot, table, written
 
 MIN_WORDS = 5
 LEAST_UNIT = 4
-BREAK = re.compile(r"[.!?]+[^\S\n]+|\n+")
+PART_WORDS = 12  # what a run that begins or ends inside a sentence needs
+REACH = 3  # a cut inside a sentence is the least hash among so many words on either side
+BREAK = re.compile(r"[.!?\n](?:(?<=\n)\n*|(?<!\n)[.!?]*[^\S\n]+)")  # [.!?]+[^\S\n]+|\n+, so that re skips to a candidate
+_MULTIPLIER = 0x9E3779B97F4A7C15
+
+
+@functools.cache
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Lower case and blankness of the first code points; the others are their own and not blank."""
+    low = [chr(c).lower() for c in range(0x3001)]
+    return np.array([ord(x) if len(x) == 1 else c for c, x in enumerate(low)], np.uint64), np.array([chr(c).isspace() for c in range(0x3001)])
+
+
+@functools.cache
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse modulo 2^64, for texts of up to 2^bits."""
+    out = []
+    for base in (_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)):
+        x = np.full(1 << bits, base, np.uint64)
+        x[0] = 1
+        out.append(np.cumprod(x))
+    return out[0], out[1]
+
+
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes (case apart) of the words that ``split()`` gives."""
+    low, blank = _tables()
+    cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(text) and cp.max() < len(low):
+        small, at = True, cp
+    else:
+        small = cp < len(low)
+        at = np.minimum(cp, len(low) - 1)
+    word = np.zeros(len(cp) + 2, bool)
+    word[1:-1] = ~(blank[at] & small)
+    edge = np.nonzero(word[1:] != word[:-1])[0]
+    start, end = edge[::2], edge[1::2]
+    power, inverse = _powers(max(12, len(cp).bit_length()))
+    total = np.zeros(len(cp) + 1, np.uint64)
+    np.cumsum((low[at] if small is True else np.where(small, low[at], cp)) * power[:len(cp)], out=total[1:])
+    h = (total[end] - total[start]) * inverse[start]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return start, end, h ^ (h >> np.uint64(29))
+
+
+def cuts_of(unit: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The words (number of the sentence and hash of each) after which content cuts a sentence: where
+    the hash is the least among ``REACH`` words on either side in the sentence.  What stands further
+    away has no say, so the copies of a passage are cut alike but for its first and last words."""
+    n = len(h)
+    cut = np.zeros(n, bool)
+    if n > 2 * REACH + 1:
+        # As many words stand before the next word as after the cut: no piece is shorter.
+        mid = unit[REACH:n - REACH - 1]
+        cut[REACH:n - REACH - 1] = (unit[:n - 2 * REACH - 1] == mid) & (unit[2 * REACH + 1:] == mid)
+        for k in range(1, REACH + 1):
+            less = h[k:] < h[:-k]
+            cut[k:] &= less
+            cut[:-k] &= ~less
+    return np.nonzero(cut)[0]
+
+
+def places_of(text: str, least_unit: int = LEAST_UNIT) -> list[tuple[int, int, int]]:
+    """(start, end, words) of consecutive units that cover the text; the words are negative where
+    the sentence goes on in the next unit."""
+    ends = [m.end() for m in BREAK.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    if not text:
+        return []
+    start, _, h = words_of(text)
+    sentences, before = [], 0
+    for end, upto in zip(ends, np.searchsorted(start, ends).tolist()):
+        if end == len(text) or text[end - 1] == "\n" or upto - before >= least_unit:
+            sentences.append(end)
+            before = upto
+    cuts = start[cuts_of(np.searchsorted(sentences, start, "right"), h) + 1]
+    ends = np.sort(np.concatenate((sentences, cuts)))
+    words = np.diff(np.searchsorted(start, ends), prepend=0)
+    words[np.searchsorted(ends, cuts)] *= -1
+    ends = ends.tolist()
+    return list(zip([0, *ends], ends, words.tolist()))
 
 
 def units_of(text: str, least_unit: int = LEAST_UNIT) -> list[tuple[int, int, str, int]]:
-    """(start, end, normalised unit, words) of consecutive units that cover the text."""
-    units, begin = [], 0
-    ends = [(m.end(), text[m.end() - 1] == "\n") for m in BREAK.finditer(text)]
-    if not ends or ends[-1][0] < len(text):
-        ends.append((len(text), True))
-    for end, line in ends:
-        words = text[begin:end].split()
-        if line or len(words) >= least_unit:
-            if end > begin:
-                units.append((begin, end, " ".join(words).lower(), len(words)))
-            begin = end
-    return units
+    """(start, end, normalised unit, words) of the units that ``places_of`` gives."""
+    return [(a, b, " ".join(text[a:b].split()).lower(), n) for a, b, n in places_of(text, least_unit)]
 
 
 def _digests(rows: DataFrame, text: str, rank: str, least_unit: int) -> DataFrame:
@@ -90,13 +166,13 @@ def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str
                 part = batch.slice(begin, 1024)
                 kept, spans, n, removed = [], [], [], []
                 for x, gone in zip(part.column(text).to_pylist(), part.column("_u_gone").to_pylist()):
-                    units = units_of(x or "", least_unit)
+                    units = places_of(x or "", least_unit)
                     out = runs(units, set(gone or ()), min_words)
                     cut = [(units[a][0], units[b - 1][1]) for a, b in out]
                     kept.append(without(x, cut) if cut else x)
                     spans.append([{"start": a, "end": b} for a, b in cut])
-                    n.append(sum(1 for u in units if u[3]))
-                    removed.append(sum(1 for a, b in out for u in units[a:b] if u[3]))
+                    n.append(sum(1 for u in units if u[-1]))
+                    removed.append(sum(1 for a, b in out for u in units[a:b] if u[-1]))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                      pa.array(n, pa.int64()), pa.array(removed, pa.int64())], names)
@@ -107,20 +183,27 @@ def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str
     return rows.join(gone, "_u_row", "left").select(*[F.col(f"`{c}`") for c in columns], "_u_gone").mapInArrow(run, schema)
 
 
-def runs(units: list[tuple], gone: set[int], min_words: int) -> list[tuple[int, int]]:
-    """Runs [a, b) of units that are in ``gone`` (blank ones may lie between) with enough words."""
+def runs(units: list[tuple], gone: set[int], min_words: int, part_words: int = PART_WORDS) -> list[tuple[int, int]]:
+    """Runs [a, b) of units that are in ``gone`` (blank ones may lie between) with enough words:
+    ``part_words``, or ``min_words`` in the whole sentences of the run."""
     out, i = [], 0
     while i < len(units):
         if i not in gone:
             i += 1
             continue
-        end, words, j = i + 1, units[i][3], i + 1
-        while j < len(units) and (j in gone or not units[j][3]):
+        end, j = i + 1, i + 1
+        while j < len(units) and (j in gone or not units[j][-1]):
             if j in gone:
-                end, words = j + 1, words + units[j][3]
+                end = j + 1
             j += 1
-        if words >= min_words:
-            out.append((i, end))
+        a, b = i, end
+        if sum(abs(u[-1]) for u in units[a:b]) < part_words:
+            while a < b and a and units[a - 1][-1] < 0:
+                a += 1
+            while a < b and units[b - 1][-1] < 0:
+                b -= 1
+        if sum(abs(u[-1]) for u in units[a:b]) >= min_words:
+            out.append((a, b))
         i = j
     return out
 
