@@ -87,3 +87,25 @@ def test_short_runs_inside_sentences_stay(spark):
     assert lines.runs([(0, 9, "", 5), (9, 20, "", -6), (20, 30, "", 8)], {0, 1}, 5) == [(0, 1)]
     assert lines.runs([(0, 9, "", -4), (9, 20, "", -6), (20, 30, "", 8)], {1}, 5) == []
     assert lines.runs([(0, 9, "", -4), (9, 20, "", -6), (20, 30, "", -6), (30, 40, "", 4)], {1, 2}, 5) == [(1, 3)]
+
+
+def test_short_lines_go_whatever_their_length(spark):
+    rows = [(1, "les.\nOwn words of the first text."), (2, "Other words of the second one.\nles.\nAnd more.\n"), (3, "les.\n \nles.\nThird text goes on. les.")]
+    got = {r.doc_id: r._u_text for r in lines.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    assert got == {1: rows[0][1], 2: "Other words of the second one.\nAnd more.\n", 3: " \nThird text goes on. les."}
+
+
+def test_scripts_without_blanks_and_unbroken_lines(spark):
+    draw = random.Random(5)
+    han = lambda n: "".join(chr(draw.randint(0x4E00, 0x9FA0)) for _ in range(n))
+    thai = lambda n: "".join(chr(draw.choice([*range(0xE01, 0xE31), 0xE48, 0xE34])) for _ in range(n))
+    whole, code, middle, siam = han(40) + "。", "a1b2" * 30, han(120), thai(150)
+    rows = [(1, whole), (2, whole), (3, code), (4, code), (5, han(30) + middle + han(30)), (6, han(30) + middle + han(30)),
+            (7, f"{han(30)}。{whole}{han(30)}。"), (8, thai(40) + siam + thai(40)), (9, thai(40) + siam + thai(40))]
+    got = {r.doc_id: r._u_text for r in lines.dedup_units(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"]).collect()}
+    text = dict(rows)
+    assert [got[i] == text[i] for i in (1, 3, 5, 8)] == [True] * 4 and got[2] == got[4] == ""
+    assert got[7] == text[7].replace(whole, "")
+    for i, part in ((6, middle), (9, siam)):
+        assert len(text[i]) - len(part) <= len(got[i]) < len(text[i]) - 0.5 * len(part)
+        assert got[i][:20] == text[i][:20] and got[i][-20:] == text[i][-20:]

@@ -5,9 +5,10 @@ joined to what follows it in the line), and within a sentence a piece between co
 (see ``cuts_of``), so a passage that is repeated inside other lines or from the middle of a sentence
 to the middle of another is found too.  Units are normalised (lower case, single spaces), their
 128-bit digests are grouped over all documents, the earliest occurrence in order of (doc_id, row,
-place) stays, and the others go, if they stand in a run of repeated units of at least ``min_words``
-words, or ``PART_WORDS`` where it begins or ends inside a sentence (a shorter run is likely to be
-chance).  Of a passage from mid-sentence to mid-sentence the words before its first cut and after
+place) stays, and the others go, if they are whole lines or stand in a run of repeated units of at
+least ``min_words`` words, or ``PART_WORDS`` where it begins or ends inside a sentence (a shorter run
+is likely to be chance).  Five characters count as a word at least, so sizes hold without blanks
+too.  A text that is one line only is judged like a sentence.  Of a passage from mid-sentence to mid-sentence the words before its first cut and after
 its last one stay.  Offsets of what was removed are those in the original text, in code points.
 
 A digest that many documents share is counted before it is shuffled, and its occurrences are
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,12 @@ MIN_WORDS = 5
 LEAST_UNIT = 4
 PART_WORDS = 12  # what a run that begins or ends inside a sentence needs
 REACH = 3  # a cut inside a sentence is the least hash among so many words on either side
-BREAK = re.compile(r"[.!?\n](?:(?<=\n)\n*|(?<!\n)[.!?]*[^\S\n]+)")  # [.!?]+[^\S\n]+|\n+, so that re skips to a candidate
+WORD_CHARS = 5  # a word for the sizes, where blanks tell less
+LINE = 1 << 40  # marks the size of a whole line
+# [.!?]+[^\S\n]+|[。！？｡]+[^\S\n]*|\n+, so that re skips to a candidate
+BREAK = re.compile(r"[.!?。！？｡\n](?:(?<=\n)\n*|(?<=[.!?])[.!?]*[^\S\n]+|(?<=[。！？｡])[。！？｡]*[^\S\n]*)")
+# Thai to Tibetan, Myanmar, Khmer, Chinese and Japanese: scripts without blanks between words.
+UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -47,6 +54,21 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return np.array([ord(x) if len(x) == 1 else c for c, x in enumerate(low)], np.uint64), np.array([chr(c).isspace() for c in range(0x3001)])
 
 
+@functools.cache
+def _marks() -> np.ndarray:
+    """Of the first code points: is it a mark that belongs to what stands before it?"""
+    return np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x3001)])
+
+
+def unspaced_starts(cp: np.ndarray) -> np.ndarray:
+    """Where stretches of about three characters begin in scripts without blanks, by the character."""
+    own = np.zeros(len(cp), bool)
+    for a, b in UNSPACED:
+        own |= (cp >= a) & (cp <= b)
+    mark = _marks()
+    return own & ((cp * np.uint32(0x9E3779B1) >> np.uint32(16)) % np.uint32(3) == 0) & ~(mark[np.minimum(cp, len(mark) - 1)] & (cp < len(mark)))
+
+
 @functools.cache
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse modulo 2^64, for texts of up to 2^bits."""
@@ -58,25 +80,31 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and hashes (case apart) of the words that ``split()`` gives."""
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of the words that ``split()`` gives; starts, ends and hashes (case apart) of the words,
+    which are parted further in scripts without blanks."""
     low, blank = _tables()
     cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    if len(text) and cp.max() < len(low):
-        small, at = True, cp
+    most = cp.max(initial=0)
+    if most < len(low):
+        word, value = ~blank[cp], low[cp]
     else:
-        small = cp < len(low)
-        at = np.minimum(cp, len(low) - 1)
-    word = np.zeros(len(cp) + 2, bool)
-    word[1:-1] = ~(blank[at] & small)
-    edge = np.nonzero(word[1:] != word[:-1])[0]
-    start, end = edge[::2], edge[1::2]
+        small, at = cp < len(low), np.minimum(cp, len(low) - 1)
+        word, value = ~(blank[at] & small), np.where(small, low[at], cp)
+    framed = np.zeros(len(cp) + 2, bool)
+    framed[1:-1] = word
+    edge = np.nonzero(framed[1:] != framed[:-1])[0]
+    split, end = edge[::2], edge[1::2]
+    start = split
+    if most >= UNSPACED[0][0]:
+        start = np.union1d(split, np.nonzero(unspaced_starts(cp) & word)[0])
+        end = np.minimum(np.append(start[1:], len(cp)), end[np.searchsorted(end, start, "right")])
     power, inverse = _powers(max(12, len(cp).bit_length()))
     total = np.zeros(len(cp) + 1, np.uint64)
-    np.cumsum((low[at] if small is True else np.where(small, low[at], cp)) * power[:len(cp)], out=total[1:])
+    np.cumsum(value * power[:len(cp)], out=total[1:])
     h = (total[end] - total[start]) * inverse[start]
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return start, end, h ^ (h >> np.uint64(29))
+    return split, start, end, h ^ (h >> np.uint64(29))
 
 
 def cuts_of(unit: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -97,29 +125,43 @@ def cuts_of(unit: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def places_of(text: str, least_unit: int = LEAST_UNIT) -> list[tuple[int, int, int]]:
-    """(start, end, words) of consecutive units that cover the text; the words are negative where
-    the sentence goes on in the next unit."""
+    """(start, end, size) of consecutive units that cover the text.  The size is in words, or in
+    ``WORD_CHARS`` characters if those are more; it is negative where the sentence goes on in the next
+    unit, and ``LINE`` more for a unit that is a line, if the text has others."""
+    if not text:
+        return []
+    split, start, end, h = words_of(text)
+    chars = np.concatenate(([0], np.cumsum(end - start)))
+
+    def upto(ends) -> tuple[np.ndarray, np.ndarray]:
+        return np.searchsorted(split, ends), chars[np.searchsorted(start, ends)]
+
     ends = [m.end() for m in BREAK.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    if not text:
-        return []
-    start, _, h = words_of(text)
-    sentences, before = [], 0
-    for end, upto in zip(ends, np.searchsorted(start, ends).tolist()):
-        if end == len(text) or text[end - 1] == "\n" or upto - before >= least_unit:
-            sentences.append(end)
-            before = upto
+    sentences, lines, words, size = [], [], 0, 0
+    for e, w, c in zip(ends, *(x.tolist() for x in upto(ends))):
+        line = e == len(text) or text[e - 1] == "\n"
+        if line or w - words >= least_unit or c - size >= least_unit * WORD_CHARS:
+            sentences.append(e)
+            lines.append(line)
+            words, size = w, c
     cuts = start[cuts_of(np.searchsorted(sentences, start, "right"), h) + 1]
     ends = np.sort(np.concatenate((sentences, cuts)))
-    words = np.diff(np.searchsorted(start, ends), prepend=0)
-    words[np.searchsorted(ends, cuts)] *= -1
+    words, size = (np.diff(x, prepend=0) for x in upto(ends))
+    size = np.maximum(np.maximum(words, size // WORD_CHARS), size > 0)
+    if np.count_nonzero(size) > 1:
+        line = np.zeros(len(ends) + 1, bool)
+        line[np.searchsorted(ends, sentences) + 1] = lines
+        line[0] = True
+        size[line[1:] & line[:-1] & (size > 0)] += LINE
+    size[np.searchsorted(ends, cuts)] *= -1
     ends = ends.tolist()
-    return list(zip([0, *ends], ends, words.tolist()))
+    return list(zip([0, *ends], ends, size.tolist()))
 
 
 def units_of(text: str, least_unit: int = LEAST_UNIT) -> list[tuple[int, int, str, int]]:
-    """(start, end, normalised unit, words) of the units that ``places_of`` gives."""
+    """(start, end, normalised unit, size) of the units that ``places_of`` gives."""
     return [(a, b, " ".join(text[a:b].split()).lower(), n) for a, b, n in places_of(text, least_unit)]
 
 
@@ -184,8 +226,8 @@ def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str
 
 
 def runs(units: list[tuple], gone: set[int], min_words: int, part_words: int = PART_WORDS) -> list[tuple[int, int]]:
-    """Runs [a, b) of units that are in ``gone`` (blank ones may lie between) with enough words:
-    ``part_words``, or ``min_words`` in the whole sentences of the run."""
+    """Runs [a, b) of units that are in ``gone`` (blank ones may lie between) of enough size:
+    ``part_words``, or ``min_words`` in the whole sentences of the run; else the whole lines in it."""
     out, i = [], 0
     while i < len(units):
         if i not in gone:
@@ -197,13 +239,17 @@ def runs(units: list[tuple], gone: set[int], min_words: int, part_words: int = P
                 end = j + 1
             j += 1
         a, b = i, end
-        if sum(abs(u[-1]) for u in units[a:b]) < part_words:
+        if sum(abs(u[-1]) % LINE for u in units[a:b]) < part_words:
             while a < b and a and units[a - 1][-1] < 0:
                 a += 1
             while a < b and units[b - 1][-1] < 0:
                 b -= 1
-        if sum(abs(u[-1]) for u in units[a:b]) >= min_words:
+        if sum(abs(u[-1]) % LINE for u in units[a:b]) >= min_words:
             out.append((a, b))
+        else:
+            for k in range(a, b):
+                if units[k][-1] >= LINE:
+                    out.append((out.pop()[0] if out and out[-1][1] == k else k, k + 1))
         i = j
     return out
 
