@@ -8,10 +8,12 @@ from .lines import op4_lines
 from .packing import op9_pack
 from .pii import op1_pii
 from .quality import op7_quality
+from .resample import OP12_SQL, op12_resample
 from .simhash import op2_simhash
 from .spotsigs import op8_spotsigs
 from .suffixes import op10_repeats
 from .urls import op5_urls
+from .vectors import OP11_SQL, op11_codes
 
 QUERIES = {
     "op1_pii": op1_pii,
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_spotsigs": op8_spotsigs,
     "op9_pack": op9_pack,
     "op10_repeats": op10_repeats,
+    "op11_codes": op11_codes,
+    "op12_resample": op12_resample,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_codes": OP11_SQL, "op12_resample": OP12_SQL}
