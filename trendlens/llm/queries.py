@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .crf import op13_secrets
 from .langid import op6_langid
 from .lines import op4_lines
 from .packing import op9_pack
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_repeats": op10_repeats,
     "op11_codes": op11_codes,
     "op12_resample": op12_resample,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLES: dict[str, str] = {"op11_codes": OP11_SQL, "op12_resample": OP12_SQL}
