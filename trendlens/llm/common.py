@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def intermediates() -> Iterator[list[str]]:
+    """The paths that ``written`` makes inside the block, for who knows when they aren't read any more."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes[:] = [x for x in _scopes if x is not made]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage is cut there, and a
     lost executor costs only its running tasks."""
     spark = df.sparkSession
     path = new_scratch_path(spark, name)
+    for made in _scopes:
+        made.append(path)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)

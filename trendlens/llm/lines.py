@@ -4,25 +4,27 @@ A unit is a line, within a line a sentence (a sentence of fewer than ``least_uni
 joined to what follows it in the line), and within a sentence a piece between content-defined cuts
 (see ``cuts_of``), so a passage that is repeated inside other lines or from the middle of a sentence
 to the middle of another is found too.  Units are normalised (lower case, single spaces), their
-128-bit digests are grouped over all documents, the earliest occurrence in order of (doc_id, row,
+96-bit digests are grouped over all documents, the earliest occurrence in order of (doc_id, row,
 place) stays, and the others go, if they are whole lines or stand in a run of repeated units of at
 least ``min_words`` words, or ``PART_WORDS`` where it begins or ends inside a sentence (a shorter run
 is likely to be chance).  Five characters count as a word at least, so sizes hold without blanks
 too.  A text that is one line only is judged like a sentence.  Of a passage from mid-sentence to mid-sentence the words before its first cut and after
 its last one stay.  Offsets of what was removed are those in the original text, in code points.
 
-A digest that many documents share is counted before it is shuffled, and its occurrences are
-found by a bounded broadcast (see ``join_hot``); no group is ever gathered.  Rows are numbered in a
-written copy, so repeated rows are rows of their own (the first keeps the text).
+Each text is cut once: rows are numbered and written with the lengths, sizes and 96-bit digests of their
+units, so repeated rows are rows of their own (the first keeps the text).  A digest that many documents
+share is counted before it is shuffled, and its occurrences are found by a bounded broadcast (see
+``join_hot``); no group is ever gathered.
 
 Defined results: null and empty texts have no units and stay as they are; null doc_ids rank last;
 blank units are never compared and go with a run around them; an empty table gives no rows;
-carried columns keep their names, the operator's own begin with ``_u_``, so names can't clash.
+carried columns have other names inside, so they can't clash there; the results' names begin with ``_u_``.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 
@@ -165,26 +167,53 @@ def units_of(text: str, least_unit: int = LEAST_UNIT) -> list[tuple[int, int, st
     return [(a, b, " ".join(text[a:b].split()).lower(), n) for a, b, n in places_of(text, least_unit)]
 
 
-def _digests(rows: DataFrame, text: str, rank: str, least_unit: int) -> DataFrame:
-    """(d, rank, _u_row, u): a row for each unit with a word."""
+def cut_units(rows: DataFrame, text: str, least_unit: int) -> DataFrame:
+    """``rows`` with ``lengths`` and ``sizes`` of the units of the text, and ``d``: the digests of those with
+    a word (hi and lo: 64 and 32 bits)."""
+    digests = pa.struct([("hi", pa.int64()), ("lo", pa.int32())])
+
+    def lists(each: list, kind: pa.DataType) -> pa.ListArray:
+        offsets = np.concatenate(([0], np.cumsum([len(x) for x in each])))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array([v for x in each for v in x], kind))
+
     def run(batches):
         import xxhash
         digest = xxhash.xxh3_128_digest
         for batch in batches:
             for begin in range(0, batch.num_rows, 1024):
-                d, r, o, u = [], [], [], []
                 part = batch.slice(begin, 1024)
-                for x, rk, row in zip(part.column("t").to_pylist(), part.column("rank").to_pylist(), part.column("_u_row").to_pylist()):
-                    own = [(i, digest(n)) for i, (_, _, n, w) in enumerate(units_of(x or "", least_unit)) if w]
-                    d += [h for _, h in own]
-                    u += [i for i, _ in own]
-                    r += [rk] * len(own)
-                    o += [row] * len(own)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.binary()), pa.array(r, pa.int64()), pa.array(o, pa.int64()), pa.array(u, pa.int32())],
-                                                 ["d", "rank", "_u_row", "u"])
-
-    return rows.select(F.col(f"`{text}`").alias("t"), F.col(f"`{rank}`").cast("long").alias("rank"), "_u_row") \
-        .mapInArrow(run, "d binary, rank long, _u_row long, u int")
+                lengths, sizes, found, counts = [], [], [], [0]
+                for x in part.column(text).to_pylist():
+                    units = units_of(x or "", least_unit)
+                    lengths.append([b - a for a, b, _, _ in units])
+                    sizes.append([n for *_, n in units])
+                    found += [digest(u) for _, _, u, n in units if n]
+                    counts.append(len(found))
+                raw = np.frombuffer(b"".join(found), [("hi", "<i8"), ("lo", "<i4"), ("rest", "<i4")])
+                d = pa.StructArray.from_arrays([pa.array(raw["hi"]), pa.array(raw["lo"])], fields=list(digests))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists(lengths, pa.int32()), lists(sizes, pa.int64()),
+                                                  pa.ListArray.from_arrays(pa.array(counts, pa.int32()), d)], [*part.schema.names, "lengths", "sizes", "d"])
+
+    d = T.ArrayType(T.StructType([T.StructField("hi", T.LongType()), T.StructField("lo", T.IntegerType())]))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("lengths", T.ArrayType(T.IntegerType())),
+                                              T.StructField("sizes", T.ArrayType(T.LongType())), T.StructField("d", d)]))
+
+
+def later_occurrences(cut: DataFrame, rank: str) -> DataFrame:
+    """(row, gone): of every row the units, numbered among those with a word, that an earlier one equals.
+
+    First the digests' ``hi`` alone are counted; only units whose ``hi`` is found twice or more are
+    grouped by the whole digest."""
+    counts = written(cut.select(F.explode("d.hi").alias("hi")).groupBy("hi").agg(F.count("*").alias("n")).filter("n > 1"), "lines-hi")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    units = cut.select(F.col(rank).cast("long").alias("rank"), "row", F.posexplode("d").alias("u", "d")).select("d.hi", "d.lo", "rank", "row", "u")
+    found = written(join_hot(units, counts, "hi", "n", total).drop("n"), "lines-found")
+    first = F.min(F.struct(F.col("rank").isNull().alias("last"), "rank", "row", "u"))
+    repeated = written(found.groupBy("hi", "lo").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1").select(
+        "hi", "lo", "n", F.col("first.row").alias("first_row"), F.col("first.u").alias("first_u")), "lines-repeated")
+    total = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return join_hot(found.select("hi", "lo", "row", "u"), repeated, ["hi", "lo"], "n", total) \
+        .filter("row <> first_row or u <> first_u").groupBy("row").agg(F.collect_list("u").alias("gone"))
 
 
 def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str = "doc_id", min_words: int = MIN_WORDS,
@@ -192,14 +221,11 @@ def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str
     """``keep`` columns, ``_u_text`` (what is left), ``_u_spans`` (start, end of what went, in the
     original text), ``_u_units`` and ``_u_removed`` (numbers of units) of every row."""
     columns = list(dict.fromkeys([*keep, rank, text]))
-    rows = written(docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("_u_row", F.monotonically_increasing_id()), "lines")
-    units = _digests(rows, text, rank, least_unit)
-    first = F.min(F.struct(F.col("rank").isNull().alias("last"), "rank", "_u_row", "u"))
-    repeated = written(units.groupBy("d").agg(F.count("*").alias("n"), first.alias("first")).filter("n > 1").select(
-        "d", "n", F.col("first._u_row").alias("first_row"), F.col("first.u").alias("first_u")), "lines-repeated")
-    total = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    gone = join_hot(units.select("d", "_u_row", "u"), repeated, "d", "n", total) \
-        .filter("_u_row <> first_row or u <> first_u").groupBy("_u_row").agg(F.collect_list("u").alias("_u_gone"))
+    inner = {c: f"c{i}" for i, c in enumerate(columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in columns]).withColumn("row", F.monotonically_increasing_id())
+    cut = written(cut_units(rows, inner[text], least_unit), "lines")
+    gone = later_occurrences(cut, inner[rank])
+    own, body = [inner[k] for k in keep], inner[text]
 
     def run(batches):
         names = [*keep, "_u_text", "_u_spans", "_u_units", "_u_removed"]
@@ -207,22 +233,23 @@ def dedup_units(docs: DataFrame, keep: list[str], text: str = "text", rank: str
             for begin in range(0, batch.num_rows, 1024):
                 part = batch.slice(begin, 1024)
                 kept, spans, n, removed = [], [], [], []
-                for x, gone in zip(part.column(text).to_pylist(), part.column("_u_gone").to_pylist()):
-                    units = places_of(x or "", least_unit)
-                    out = runs(units, set(gone or ()), min_words)
-                    cut = [(units[a][0], units[b - 1][1]) for a, b in out]
+                for x, lengths, sizes, gone in zip(*(part.column(c).to_pylist() for c in (body, "lengths", "sizes", "gone"))):
+                    worded = [i for i, size in enumerate(sizes) if size]
+                    ends = [0, *itertools.accumulate(lengths)]
+                    out = runs(list(zip(ends, ends[1:], sizes)), {worded[u] for u in gone}, min_words) if gone else []
+                    cut = [(ends[a], ends[b]) for a, b in out]
                     kept.append(without(x, cut) if cut else x)
                     spans.append([{"start": a, "end": b} for a, b in cut])
-                    n.append(sum(1 for u in units if u[-1]))
-                    removed.append(sum(1 for a, b in out for u in units[a:b] if u[-1]))
+                    n.append(len(worded))
+                    removed.append(sum(1 for a, b in out for size in sizes[a:b] if size))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in keep), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                    [*(part.column(c) for c in own), pa.array(kept, pa.string()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                      pa.array(n, pa.int64()), pa.array(removed, pa.int64())], names)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-    schema = T.StructType([rows.schema[k] for k in keep] + [T.StructField("_u_text", T.StringType()), T.StructField("_u_spans", span),
-                                                            T.StructField("_u_units", T.LongType()), T.StructField("_u_removed", T.LongType())])
-    return rows.join(gone, "_u_row", "left").select(*[F.col(f"`{c}`") for c in columns], "_u_gone").mapInArrow(run, schema)
+    schema = T.StructType([T.StructField(k, cut.schema[inner[k]].dataType) for k in keep] + [
+        T.StructField("_u_text", T.StringType()), T.StructField("_u_spans", span), T.StructField("_u_units", T.LongType()), T.StructField("_u_removed", T.LongType())])
+    return cut.drop("d").join(gone, "row", "left").select(*inner.values(), "lengths", "sizes", "gone").mapInArrow(run, schema)
 
 
 def runs(units: list[tuple], gone: set[int], min_words: int, part_words: int = PART_WORDS) -> list[tuple[int, int]]:
