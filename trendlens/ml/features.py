@@ -98,6 +98,7 @@ class FeatureSpec:
     min_df: float = 1.0              # count / tfidf minimum document frequency
     categorical: tuple = tuple(CATEGORICAL)
     tags_col: str = "tag_array_lower"
+    by_join: bool = False            # labels and terms in tables, found by join (``JoinEncoder``)
 
     def with_(self, **kw) -> "FeatureSpec":
         return replace(self, **kw)
@@ -124,8 +125,8 @@ def text_stages(spec: FeatureSpec, vocab_size: int | None = None) -> tuple[list,
     """M4-M6: hashed term counts, exact vocabulary counts, or TF-IDF.
 
     ``CountVectorizer`` holds its vocabulary on the driver and in the model, as
-    ``StringIndexer`` its labels; ``document_frequency`` and ``label_index`` are
-    the distributed tables for vocabularies beyond that, hashing needs none.
+    ``StringIndexer`` its labels; beyond that ``FeatureSpec(by_join=True)`` keeps
+    both in tables (``ml/encoder.py``); hashing needs none.
     """
     if spec.text is None:
         return [], None
@@ -231,11 +232,17 @@ def fit_features(spec: FeatureSpec, train: DataFrame,
     Every term of a fitted vocabulary and every label of a fitted indexer occurs
     in the training rows, so those need no slicing.
 
-    Returns the fitted model, the width the uncompacted vector would have, and
+    With ``by_join`` the model is a ``JoinEncoder``: no label or term comes to the
+    driver.  Returns the fitted model, the width the uncompacted vector would have, and
     the training rows (``features`` plus ``keep``), persisted; the caller
     unpersists them.
     """
     keep = list(keep or [])
+    if spec.by_join:
+        from .encoder import JoinEncoder
+        encoder = JoinEncoder.fit(spec, train)
+        rows = encoder.transform(train.select(*dict.fromkeys([*spec.categorical, *([spec.tags_col] if spec.text else []), *keep])))
+        return encoder, encoder.width, rows.select("features", *keep).persist(StorageLevel.MEMORY_AND_DISK)
     counted = spec.text in ("count", "tfidf")
     vocab = (spec.vocab_size or vocabulary_size(spec, train)) if counted else None
     enc, text_col = encoding_pipeline(spec, vocab)

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, LinearRegressionModel)
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_publish_time
@@ -21,6 +21,7 @@ from ..operators.clean import rename_target
 from ..operators.joins import lookup_category_id
 from ..operators.sampling import random_split, split_by_key
 from ..session import ensure_checkpoint_dir, new_scratch_path, remove_path
+from .encoder import JoinEncoder
 from .features import CATEGORICAL, FeatureSpec, Roles, build_features, fit_features
 
 PAIR_TARGETS = ("comments_ratio", "likes_ratio")
@@ -46,12 +47,15 @@ def train_gbt(train: DataFrame, label: str = "label", features: str = "features"
 
 
 def rmse_r2(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """RMSE and R^2 (1 - SSE / SST) over the scored rows, one aggregate."""
+    """RMSE and R^2 (1 - SSE / SST) over the scored rows, one aggregate.
+
+    R^2 is NULL where all labels are alike, both are where there is no row.
+    """
     y = F.col(label).cast("double")
     e = y - F.col(prediction)
     return (pred.where(y.isNotNull() & F.col(prediction).isNotNull())
             .agg(F.sqrt(F.avg(e * e)).alias("rmse"),
-                 (F.lit(1.0) - F.sum(e * e) / (F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
+                 (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
                  F.count(F.lit(1)).alias("n")))
 
 
@@ -220,15 +224,18 @@ def job_report(fitted: dict) -> DataFrame:
 
 
 def save_models(fitted: Fitted, path: str) -> None:
-    """Overwrite-save the pipeline and one regression per target."""
-    fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
+    """Overwrite-save the pipeline (or the encoder's tables) and one regression per target."""
+    if isinstance(fitted.pipeline, JoinEncoder):
+        fitted.pipeline.save(f"{path}/encoder")
+    else:
+        fitted.pipeline.write().overwrite().save(f"{path}/pipeline")
     for t, m in fitted.models.items():
         m.write().overwrite().save(f"{path}/model_{t}")
 
 
-def load_models(path: str, targets=PAIR_TARGETS) -> Fitted:
-    """S11."""
-    pm = PipelineModel.load(f"{path}/pipeline")
+def load_models(path: str, targets=PAIR_TARGETS, by_join: bool = False) -> Fitted:
+    """S11; ``by_join`` as in the ``FeatureSpec`` that the models were trained with."""
+    pm = JoinEncoder(SparkSession.getActiveSession(), f"{path}/encoder") if by_join else PipelineModel.load(f"{path}/pipeline")
     return Fitted(pm, {t: LinearRegressionModel.load(f"{path}/model_{t}") for t in targets})
 
 
@@ -238,41 +245,76 @@ REQUEST_ROLES = Roles(title="title", tags="tags", category="categoryId",
                       published="publish_ts", channel="channel_title")
 
 
-def score(requests: DataFrame, models: dict, categories: DataFrame,
-          targets=PAIR_TARGETS, id_col: str = "request_id", regional: bool = True,
-          order_col: str | None = None, builder: dict | None = None) -> DataFrame:
-    """One row per request: the predictions of its region's models, or a reason.
+def prepare_requests(requests: DataFrame, regions: list[str], categories: DataFrame, regional: bool = True,
+                     order_col: str | None = None, builder: dict | None = None) -> DataFrame:
+    """Featurized requests with ``error`` (why there is no prediction) and ``_part`` (the
+    region whose models apply, NULL with an error).
 
-    Category names are resolved by join (J2; of equal titles the last in
-    ``order_col``).  An unknown category, a malformed time, or a region that is
-    NULL or has no model gives NULL predictions and ``error``; no request is lost
-    or doubled.  The featurized requests are written once, partitioned by region,
-    so each region's models read their own partition only.  ``regional=False``
-    applies the one model of a job without regions to every request.
+    Row by row but for the join with the category names, so it holds for a
+    stream of requests too: the join then is one of a stream with a table,
+    which keeps no state.
     """
-    spark = requests.sparkSession
     req = lookup_category_id(requests, categories, order_col=order_col)
     req = req.withColumn("publish_ts", parse_publish_time("publish_dt"))
-    region = F.col("region").cast("string") if regional else F.lit(next(iter(models)))
-    known = region.isin(list(models)) if models else F.lit(False)
+    region = F.col("region").cast("string") if regional else F.lit(regions[0] if regions else None).cast("string")
+    known = region.isin(regions) if regions else F.lit(False)
     req = req.withColumn("error", F.coalesce(
         F.col("error"),
         F.when(F.col("publish_ts").isNull(), F.lit("bad publish_dt")),
         F.when(~F.coalesce(known, F.lit(False)), F.concat(F.lit("no model for region "), F.coalesce(region, F.lit("NULL"))))))
-    feats = build_features(req, REQUEST_ROLES, **(builder or {})).withColumn(
+    return build_features(req, REQUEST_ROLES, **(builder or {})).withColumn(
         "_part", F.when(F.col("error").isNull(), region))
-    path = new_scratch_path(spark, "score-features")
-    inputs = dict.fromkeys([id_col, "region", *CATEGORICAL, "tag_array_lower", "error"])
-    feats = feats.select(*inputs, "_part")
-    feats.write.partitionBy("_part").parquet(path)
-    landed = spark.read.schema(feats.schema).parquet(path)
+
+
+def apply_models(prepared: DataFrame, models: dict, targets, id_col: str) -> DataFrame:
+    """Predictions of each region's models for its own requests, and the rows without any.
+
+    One branch a region: meant for tens of regions, not for thousands.
+    """
     nothing = [F.lit(None).cast("double").alias(f"pred_{t}") for t in targets]
-    out = landed.where(F.col("_part").isNull()).select(id_col, "region", *nothing, "error")
+    out = prepared.where(F.col("_part").isNull()).select(id_col, "region", *nothing, "error")
     for r, fitted in models.items():
-        scored = fitted.pipeline.transform(landed.where(F.col("_part") == r))
+        scored = fitted.pipeline.transform(prepared.where(F.col("_part") == r))
         for t in targets:
             m = fitted.models[t].copy()
             m.setPredictionCol(f"pred_{t}")
             scored = m.transform(scored)
         out = out.unionByName(scored.select(id_col, "region", *[f"pred_{t}" for t in targets], "error"))
     return out
+
+
+def score(requests: DataFrame, models: dict, categories: DataFrame,
+          targets=PAIR_TARGETS, id_col: str = "request_id", regional: bool = True,
+          order_col: str | None = None, builder: dict | None = None) -> DataFrame:
+    """One row per request: the predictions of its region's models, or a reason.
+
+    Category names are resolved by join (J2; of equal titles the last in
+    ``order_col``).  An unknown category, a malformed time, or a region that is
+    NULL or has no model gives NULL predictions and ``error``; no request is lost
+    or doubled.  The featurized requests are written once, partitioned by region,
+    so each region's models read their own partition only.  ``regional=False``
+    applies the one model of a job without regions to every request.
+    """
+    spark = requests.sparkSession
+    path = new_scratch_path(spark, "score-features")
+    inputs = dict.fromkeys([id_col, "region", *CATEGORICAL, "tag_array_lower", "error"])
+    feats = prepare_requests(requests, list(models), categories, regional, order_col, builder).select(*inputs, "_part")
+    feats.write.partitionBy("_part").parquet(path)
+    landed = spark.read.schema(feats.schema).parquet(path)
+    return apply_models(landed, models, targets, id_col)
+
+
+def score_stream(requests: DataFrame, models: dict, categories: DataFrame,
+                 targets=PAIR_TARGETS, id_col: str = "request_id", regional: bool = True,
+                 order_col: str | None = None, builder: dict | None = None) -> DataFrame:
+    """M15 on a stream: the rows of ``score`` for requests as they arrive.
+
+    ``categories`` is a table: a micro-batch joins its requests with what the
+    table holds then.  No state is kept, so the result can be appended to files
+    (``start_append``); each request of a micro-batch goes through its
+    region's branch.  Models whose encoder joins vocabularies (``by_join``)
+    gather rows and so can't run on a stream.
+    """
+    if any(getattr(f.pipeline, "gathers", False) for f in models.values()):
+        raise ValueError("models encoded by joins score tables, not streams")
+    return apply_models(prepare_requests(requests, list(models), categories, regional, order_col, builder), models, targets, id_col)

@@ -33,3 +33,20 @@ def lookup_category_id(requests: DataFrame, dim: DataFrame,
     return out.withColumn(
         "error", F.when(F.col("categoryId").isNull(),
                         F.concat(F.lit("unknown category "), F.coalesce(F.col(name_col), F.lit("NULL")))))
+
+
+# A key is hot if it holds one row in HOT_SHARE or more, so at most HOT_SHARE keys are hot.
+HOT_SHARE = 1000
+
+
+def join_counted(facts: DataFrame, keyed: DataFrame, keys: list[str], n_col: str, rows: int) -> DataFrame:
+    """Inner join of ``facts`` with ``keyed`` (one row a key, ``n_col`` = about how many of the
+    ``rows`` facts have it).
+
+    Hot keys, ``HOT_SHARE`` at most, are broadcast: their facts are not shuffled.
+    The other keys are joined as the planner and adaptive execution choose.
+    """
+    least = max(2, -(-rows // HOT_SHARE))
+    hot = F.broadcast(keyed.where(F.col(n_col) >= least))
+    rest = facts.join(hot.select(*keys), keys, "left_anti").join(keyed.where(F.col(n_col) < least), keys)
+    return facts.join(hot, keys).unionByName(rest)

@@ -1,20 +1,25 @@
 """Profiles and group counts.
 
 Whole-column statistics are computed on all rows in Spark (never on a
-driver-side sample).  Scalars that later steps need (min, max, n, a
-percentile) are lazy scalar subqueries: Spark runs them once and inlines the
-value, so nothing is collected by our code and the plan stays one DataFrame.
+driver-side sample).  Scalars that later steps need (min, max, n, bandwidth)
+are lazy scalar subqueries: Spark runs them once and inlines the value.  Two
+operators run jobs of their own while the result is built, each with one row to
+the driver: ``percentile`` (its bracket) and ``correlation_matrix`` (the means).
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import time_part
 from .clean import having_count_gt
+from .rank import cumulative_before
 from .topk import order_by_count_desc, order_by_key
 
 
@@ -87,8 +92,9 @@ def percentile(df: DataFrame, col: str, p: float = 0.75, approx: bool = False,
     statistics; rows below are counted, and only the distinct values inside the
     bracket are sorted.  A bracket with more than ``BRACKET_ROWS`` rows is
     narrowed by a sketch of its own (each pass keeps about 1/1000 of the rows; a
-    value that holds much of the bracket ends up alone in it).  No data are
-    shuffled but sketches and the bracket.
+    value that holds much of the bracket ends up alone in it).  Where heavy end
+    values keep a bracket from narrowing, its distinct values are ranked by
+    ``cumulative_before``.  No data are shuffled but sketches and the bracket.
     ``approx=True`` uses ``percentile_approx`` (bounded memory sketch).
     """
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
@@ -106,13 +112,15 @@ def percentile(df: DataFrame, col: str, p: float = 0.75, approx: bool = False,
         part = x.where(F.col("x").between(low, high))
         a, b = part.agg(F.percentile_approx("x", ends, accuracy)).first()[0]
         if (a, b) == (low, high):
-            break
+            break  # heavy end values: what lies between may be many distinct ones
         under, inside = part.agg(F.count_if(F.col("x") < a), F.count_if(F.col("x").between(a, b))).first()
         below, low, high = below + under, a, b
     vc = x.where(F.col("x").between(low, high)).groupBy("x").agg(F.count(F.lit(1)).alias("cnt"))
-    # The bracket's distinct values meet in this window.
-    ahead = F.coalesce(F.sum("cnt").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = vc.withColumn("ahead", ahead + F.lit(below))
+    if inside > BRACKET_ROWS and low < high:
+        ranked = cumulative_before(vc, [F.col("x")], "cnt", "ahead").withColumn("ahead", F.col("ahead") + F.lit(below))
+    else:  # at most BRACKET_ROWS distinct values, or one, meet in this window
+        ahead = F.coalesce(F.sum("cnt").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ranked = vc.withColumn("ahead", ahead + F.lit(below))
     covers = lambda r: (F.col("ahead") <= r) & (r < F.col("ahead") + F.col("cnt"))
     picked = ranked.agg(F.min(F.when(covers(F.lit(first)), F.col("x"))).alias("v_lo"),
                         F.max(F.when(covers(F.lit(last)), F.col("x"))).alias("v_hi"))
@@ -158,9 +166,11 @@ def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None =
     in ``bins`` equal-width bins, and each bin's centre contributes
     ``count * phi((g - centre) / h)`` to every grid point: at most bins * grid
     kernels whatever the data.  ``bins=None`` is exact: every distinct value
-    contributes (for columns of few distinct values).
+    contributes (for columns of few distinct values).  NULL and NaN don't count.
+    Where there is no bandwidth (one row, or all values alike) the density is
+    NULL at every point; no value, no point.
     """
-    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull())
+    x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     s = x.agg(F.min("x").alias("mn"), F.max("x").alias("mx"),
               F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"))
     mn, mx = s.select("mn").scalar(), s.select("mx").scalar()
@@ -175,9 +185,9 @@ def density(df: DataFrame, col: str, grid: int = 100, bandwidth: float | None =
     step = F.try_divide(mx - mn, F.lit(float(grid - 1)))
     g = vc.select("x", "cnt", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
     g = g.withColumn("g", mn + F.col("i") * F.coalesce(step, F.lit(0.0)))
-    z = (F.col("g") - F.col("x")) / h
+    z = F.try_divide(F.col("g") - F.col("x"), h)
     contrib = F.col("cnt") * F.exp(F.lit(-0.5) * z * z)
-    norm = F.lit(1.0 / math.sqrt(2.0 * math.pi)) / (n * h)
+    norm = F.try_divide(F.lit(1.0 / math.sqrt(2.0 * math.pi)), n * h)
     return (g.groupBy("i", "g").agg(F.sum(contrib).alias("k"))
             .select(F.col("i").cast("long").alias("point"), F.col("g").alias("x"),
                     (F.col("k") * norm).alias("density")))
@@ -225,6 +235,26 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     return one.select(F.inline(F.array(*out)))
 
 
+def vector_correlation(df: DataFrame, col: str) -> DataFrame:
+    """A14 for hundreds of columns: ``(i, j, corr)`` of the slots of a vector column.
+
+    One pass sums the products of a row's non-zero slots, which suits one-hot
+    blocks; ``correlation_matrix`` would build an expression a pair.  The slots' k^2
+    numbers meet on the driver (3,000 slots: 72 MB).  Rows without a vector don't
+    count; a slot that never varies has NULL correlations.
+    """
+    rows = df.where(F.col(col).isNotNull())
+    spark = df.sparkSession
+    schema = "i int, j int, corr double"
+    if rows.isEmpty():
+        return spark.createDataFrame([], schema)
+    matrix = Correlation.corr(rows, col).first()[0].toArray()
+    k = len(matrix)
+    flat = matrix.ravel()
+    return spark.createDataFrame(pd.DataFrame({"i": np.repeat(np.arange(k), k), "j": np.tile(np.arange(k), k), "corr": flat}), schema) \
+        .select("i", "j", F.when(~F.isnan("corr"), F.col("corr")).alias("corr"))
+
+
 # ----------------------------------------------------- pairwise density
 
 def pairwise_density(df: DataFrame, cols: list[str], bins: int = 10) -> DataFrame:
@@ -252,4 +282,4 @@ def pairwise_density(df: DataFrame, cols: list[str], bins: int = 10) -> DataFram
 
 __all__ = ["row_count", "distinct_count", "counts_by", "repeated_entities", "counts_by_time",
            "describe_numeric", "percentile", "bin_index", "histogram",
-           "density", "correlation_matrix", "pairwise_density"]
+           "density", "correlation_matrix", "vector_correlation", "pairwise_density"]

@@ -529,6 +529,49 @@ def q_csv_texts(spark, sf_dir):
     return got.select("doc_id", "lang", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+@register("csv_trailing_delimiter", "S1 S2", "SELECT p_partkey, p_name, p_brand, p_retailprice FROM part")
+def q_csv_trailing_delimiter(spark, sf_dir):
+    """Every line ends in a delimiter: the empty column it makes is dropped, and no record is malformed."""
+    path = new_scratch_path(spark, "csv")
+    _t(spark, sf_dir, "part").select(*PART_CSV.names, F.lit("").alias("_c15")).write.option("header", True).option("emptyValue", "").csv(path)
+    got = records.read_records(spark, path, schema=PART_CSV)
+    return got.cache().where(F.col(records.CORRUPT_COLUMN).isNull()).drop(records.CORRUPT_COLUMN)
+
+
+@register("landed_rejects", "S1 P2", """
+WITH p AS (SELECT CASE WHEN p_partkey % 7 = 0 THEN 'malformed' WHEN p_partkey % 11 = 0 THEN 'no p_name' END AS reason FROM part)
+SELECT reason, count(*) AS observed, count(*) AS landed FROM (SELECT coalesce(reason, 'accepted') AS reason FROM p) GROUP BY reason
+""")
+def q_landed_rejects(spark, sf_dir):
+    """Prices that aren't numbers and records without a name, counted on the way to their own folders."""
+    path, out = new_scratch_path(spark, "csv"), new_scratch_path(spark, "landed")
+    k = F.col("p_partkey")
+    broken = _t(spark, sf_dir, "part").select("p_partkey", F.when(k % 11 != 0, F.col("p_name")).alias("p_name"), "p_brand",
+                                              F.when(k % 7 == 0, F.lit("a lot")).otherwise(F.col("p_retailprice").cast("string")).alias("p_retailprice"))
+    broken.write.option("header", True).csv(path)
+    seen = records.land_with_rejects(records.read_records(spark, path, schema=PART_CSV), out, ["p_partkey", "p_name"])
+    observed = F.create_map(*[x for name, n in seen.items() for x in (F.lit(name), F.lit(n))])
+    landed = records.accepted(spark, out).select(F.lit("accepted").alias("reason")).unionByName(
+        records.rejected(spark, out).select(F.col("reject_reason").alias("reason"))).groupBy("reason").agg(F.count(F.lit(1)).alias("landed"))
+    return landed.select("reason", F.element_at(observed, F.col("reason")).cast("long").alias("observed"), "landed")
+
+
+@register("region_landed_again", "S12", """
+SELECT r_name AS region, count(*) AS rows, round(sum(CASE WHEN r_name = 'ASIA' THEN 2 ELSE 1 END * c_acctbal), 2) AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE r_name <> 'ASIA' OR c_custkey % 2 = 0 GROUP BY r_name
+""")
+def q_region_landed_again(spark, sf_dir):
+    """All regions landed, then one of them again with other rows: the others stay."""
+    n, r = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    c = _t(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        "c_custkey", "c_acctbal", F.col("r_name").alias("region"))
+    path = new_scratch_path(spark, "regions")
+    records.land_records(c, path)
+    records.land_again(c.where("region = 'ASIA' and c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") * 2), path)
+    return spark.read.parquet(path).groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
 def _category_files(spark, sf_dir):
     """One nested JSON object for each region: path by region name.  Even keys are assignable."""
     n, r = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import batch, features, streams  # noqa: F401  (they register their queries)
+from . import batch, features, sketched, streams  # noqa: F401  (they register their queries)
 from .registry import REGISTRY
 
 

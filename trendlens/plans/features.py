@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import log1p
 from ..ml import models as M
+from ..ml.encoder import JoinEncoder
 from ..ml.features import FeatureSpec, Roles, build_features, document_frequency, label_index
+from ..ml.sweep import sweep
 from ..ml.vectors import vector_entries
-from ..operators import clean
+from ..operators import clean, profile
 from ..operators.sampling import split_label
 from ..session import new_scratch_path
+from ..sources.requests import REQUEST_SCHEMA, requests_to_df
 from ..sources.tables import read_table
+from ..streaming import running as S
 from .registry import register
 
 ROLES = Roles(title="title", tags="tags", category="categoryId", published="publishedAt",
@@ -134,6 +138,34 @@ def q_hashed_term_totals(spark, sf_dir):
     return q_hashed_features(spark, sf_dir).groupBy("p_partkey").agg(F.sum("tf").alias("terms"))
 
 
+_ENCODED = FeatureSpec(text="tfidf", min_df=2.0, categorical=("p_brand", "p_container_type"), tags_col="terms", by_join=True)
+
+
+@register("encoded_rows", "M2 M3 M5 M6 M7 M8", """
+WITH d AS (SELECT p_partkey, p_brand, CASE WHEN p_size % 7 <> 0 THEN split_part(p_type, ' ', 1) END AS p_container_type,
+             string_split(lower(p_name), ' ') AS terms FROM part),
+t AS (SELECT p_partkey, unnest(terms) AS term FROM d),
+f AS (SELECT term, count(DISTINCT p_partkey) AS df FROM t GROUP BY term HAVING count(DISTINCT p_partkey) >= 2),
+terms AS (SELECT term, row_number() OVER (ORDER BY df DESC, term) - 1 AS "index", ln(((SELECT count(*) FROM d) + 1) / (df + 1)) AS idf FROM f),
+brand AS (SELECT p_brand, (SELECT count(*) FROM terms) + row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS "index" FROM d GROUP BY p_brand),
+kind AS (SELECT p_container_type, (SELECT count(*) FROM terms) + (SELECT count(*) FROM brand) + row_number() OVER (ORDER BY count(*) DESC, p_container_type) - 1 AS "index"
+         FROM d WHERE p_container_type IS NOT NULL GROUP BY p_container_type)
+SELECT p_partkey, CAST("index" AS INTEGER) AS "index", round(value, 6) AS value FROM (
+  SELECT p_partkey, "index", count(*) * any_value(idf) AS value FROM t JOIN terms USING (term) GROUP BY ALL
+  UNION ALL SELECT p_partkey, "index", 1.0 FROM d JOIN brand USING (p_brand)
+  UNION ALL SELECT p_partkey, "index", 1.0 FROM d JOIN kind USING (p_container_type))
+""")
+def q_encoded_rows(spark, sf_dir):
+    """Every non-zero slot of the parts' vectors: names as TF-IDF terms, brand and kind as
+    one-hot blocks, encoded by join (a NULL kind has no slot)."""
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", "p_brand", F.when(F.col("p_size") % 7 != 0, F.split_part("p_type", F.lit(" "), F.lit(1))).alias("p_container_type"),
+        F.split(F.lower("p_name"), " ").alias("terms"))
+    coded = JoinEncoder.fit(_ENCODED, part).transform(part)
+    return coded.select("p_partkey", F.explode(vector_entries("features")).alias("e")).select(
+        "p_partkey", F.col("e.index").alias("index"), F.round("e.value", 6).alias("value"))
+
+
 # -------------------------------------------------------- linear regression
 @register("linear_fit", "M9 M7", f"""
 SELECT round(regr_slope(l_extendedprice / 1000, l_quantity), {R4}) AS slope,
@@ -241,7 +273,7 @@ def q_batch_score(spark, sf_dir):
     dim = category_dim(spark, sf_dir)
     loaded = _train_and_load(spark, recs, FeatureSpec())
     _, test = M.split(recs, "video_id")
-    return M.score(_named(_requests(test), dim), loaded, dim)
+    return M.score(requests_to_df(spark, _named(_requests(test), dim)), loaded, dim)
 
 
 # ------------------------------------- closed forms: groups predict their mean
@@ -317,6 +349,33 @@ def q_feature_set_means(spark, sf_dir):
     return _rounded(M.compare_feature_sets(feats, "comments_ratio", _SETS, "video_id", tol=TOL))
 
 
+_FOLD_SETS = {"months": MONTHS, "weekdays": FeatureSpec(text=None, categorical=("publish_dayofweek_str",))}
+_FOLD_SQL = FRACTION_SQL.replace("101:", "7:")
+
+
+def _ridge_sql(name: str, grp: str, reg: float, y: str = "comments_ratio") -> str:
+    """Per fold the RMSE of ridge regression on one one-hot column in closed form: every group's
+    mean, shrunk towards an intercept.  Spark divides by the standard deviations of the
+    label and of each slot, so the penalty of a group's offset is regParam / sd(y) * p * (1 - p)."""
+    return f"""
+SELECT '{name}' AS feature_set, CAST({reg} AS DOUBLE) AS reg_param, fold, round(sqrt(avg(err * err)), {R4 + 2}) AS rmse, count(*) AS n
+FROM (SELECT t.fold, t.y - (b + (m - b) * p / (p + s)) AS err
+  FROM (SELECT fold, {grp} AS grp, {y} AS y FROM folded) t
+  JOIN (SELECT fold, grp, p, m, s, coalesce(sum(p * s / (p + s) * m) OVER w / nullif(sum(p * s / (p + s)) OVER w, 0), 0) AS b
+    FROM (SELECT fold, grp, c / t AS p, m, {reg} / sd * (c / t) * (1 - c / t) AS s
+      FROM (SELECT f.fold, {grp} AS grp, count(*)::DOUBLE AS c, avg({y}) AS m FROM folded r JOIN range(3) f(fold) ON r.fold <> f.fold GROUP BY ALL)
+      JOIN (SELECT f.fold, count(*)::DOUBLE AS t, stddev_pop({y}) AS sd FROM folded r JOIN range(3) f(fold) ON r.fold <> f.fold GROUP BY ALL) USING (fold))
+    WINDOW w AS (PARTITION BY fold)) USING (fold, grp)) GROUP BY fold"""
+
+
+@register("fold_sweep", "M13 M9 X4 A17", f"WITH {RECORDS_SQL}, folded AS (SELECT *, CAST(floor({_FOLD_SQL} * 3) AS INTEGER) AS fold FROM rec)" + "\nUNION ALL\n".join(
+    _ridge_sql(name, grp, reg) for name, grp in (("months", "grp"), ("weekdays", "dayofweek(l_shipdate)")) for reg in (0.0, 0.1)))
+def q_fold_sweep(spark, sf_dir):
+    """Two encodings, without and with regParam 0.1, on three folds."""
+    report, _ = sweep(_featurized(spark, sf_dir), "comments_ratio", _FOLD_SETS, [0.0, 0.1], "video_id", folds=3, seed=7, tol=TOL)
+    return report.select("feature_set", "reg_param", F.col("fold").cast("int").alias("fold"), F.round("rmse", R4 + 2).alias("rmse"), "n")
+
+
 @register("gbt_means", "M10 A17", f"WITH {RECORDS_SQL}" + means_sql("likes", "l_extendedprice", "l_linenumber"))
 def q_gbt_means(spark, sf_dir):
     """Depth 5 parts all seven line numbers, so the first tree predicts their means."""
@@ -334,18 +393,48 @@ def q_train_job_report(spark, sf_dir):
     return _rounded(M.job_report(M.train_job(records(spark, sf_dir), ROLES, MONTHS, M.PAIR_TARGETS, split_key="video_id", tol=TOL)))
 
 
-@register("score_means", "M15 S10 S11 S12 S13 J2", f"""
+@register("join_encoded_report", "M2 M3 M8 M9 M14 S10 S11 S12 A18", f"WITH {RECORDS_SQL}" + "\nUNION ALL\n".join(
+    means_sql(t, t, "s_name", "region").replace(f"sqrt(avg(err * err)), {R4}", "sqrt(avg(err * err)), 1") for t in M.PAIR_TARGETS))
+def q_join_encoded_report(spark, sf_dir):
+    """Channels as the feature: their labels stay in tables, and each model predicts its channel's mean."""
+    spec = FeatureSpec(text=None, categorical=("channel_lower",), by_join=True)
+    report = M.job_report(M.train_job(records(spark, sf_dir), ROLES, spec, M.PAIR_TARGETS, split_key="video_id", tol=TOL))
+    return _rounded(report.withColumn("rmse", F.round("rmse", 1)))
+
+
+_SCORES_SQL = f"""
 WITH {RECORDS_SQL}, m AS (SELECT region, grp, avg(comments_ratio) AS c, avg(likes_ratio) AS l FROM rec WHERE split = 'train' GROUP BY ALL)
 SELECT l_orderkey * 10 + l_linenumber AS request_id, region, round(c, 5) AS pred_comments_ratio, round(l / 100, 2) AS pred_likes_ratio_100
 FROM rec JOIN m USING (region, grp) WHERE split = 'test'
-""")
+"""
+
+
+def _rounded_scores(scored):
+    return scored.select("request_id", "region", F.round("pred_comments_ratio", 5).alias("pred_comments_ratio"),
+                         F.round(F.col("pred_likes_ratio") / 100, 2).alias("pred_likes_ratio_100"))
+
+
+@register("score_means", "M15 S10 S11 S12 S13 J2", _SCORES_SQL)
 def q_score_means(spark, sf_dir):
     recs, dim = records(spark, sf_dir), category_dim(spark, sf_dir)
     loaded = _train_and_load(spark, recs, MONTHS, tol=TOL)
     _, test = M.split(recs, "video_id")
-    scored = M.score(_named(_requests(test), dim), loaded, dim)
-    return scored.select("request_id", "region", F.round("pred_comments_ratio", 5).alias("pred_comments_ratio"),
-                         F.round(F.col("pred_likes_ratio") / 100, 2).alias("pred_likes_ratio_100"))
+    return _rounded_scores(M.score(requests_to_df(spark, _named(_requests(test), dim)), loaded, dim))
+
+
+@register("stream_scores", "M15 S5 S6 S7 S10 S11 S13 J2", _SCORES_SQL)
+def q_stream_scores(spark, sf_dir):
+    """The requests arrive as JSON lines in several micro-batches; their scores are appended to Parquet files."""
+    recs, dim = records(spark, sf_dir), category_dim(spark, sf_dir)
+    loaded = _train_and_load(spark, recs, MONTHS, tol=TOL)
+    _, test = M.split(recs, "video_id")
+    arriving, scores = (new_scratch_path(spark, name) for name in ("requests", "scores"))
+    _named(_requests(test), dim).select(F.to_json(F.struct("*")).alias("value")).write.text(arriving)
+    raw = S.read_file_stream(spark, arriving, "part-*", None, fmt="text", max_files_per_trigger=2)
+    requests = requests_to_df(spark, S.decode_events(raw, REQUEST_SCHEMA, keep=[]))
+    name = S.unique_name("scores")
+    S.drain(S.start_append(M.score_stream(requests, loaded, dim), name, scores, available_now=True))
+    return _rounded_scores(spark.read.parquet(scores))
 
 
 @register("score_audit", "M15 J2 F8", f"""
@@ -379,3 +468,28 @@ def q_score_audit(spark, sf_dir):
         .when(F.col("error").startswith("unknown category") & ~pred[0], "unknown category") \
         .when(F.col("error").startswith("no model for region") & ~pred[0], "no model for region").otherwise(F.col("error"))
     return scored.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("requests"), F.count_distinct("request_id").alias("ids"))
+
+
+_DUMMIES = FeatureSpec(text=None, categorical=("l_returnflag", "l_linestatus", "l_linenumber"), by_join=True)
+
+
+@register("correlation_one_hot", "A14 M3", """
+WITH d AS (SELECT CAST(l_returnflag AS VARCHAR) AS l_returnflag, CAST(l_linestatus AS VARCHAR) AS l_linestatus, CAST(l_linenumber AS VARCHAR) AS l_linenumber FROM lineitem),
+s AS (SELECT 'l_returnflag=' || v AS slot, v, 0 AS c FROM (SELECT DISTINCT l_returnflag AS v FROM d)
+  UNION ALL SELECT 'l_linestatus=' || v, v, 1 FROM (SELECT DISTINCT l_linestatus AS v FROM d)
+  UNION ALL SELECT 'l_linenumber=' || v, v, 2 FROM (SELECT DISTINCT l_linenumber AS v FROM d)),
+k AS (SELECT *, count(*) AS n FROM d GROUP BY ALL),
+pairs AS (SELECT a.slot AS slot_a, b.slot AS slot_b, n, CASE WHEN a.v = CASE a.c WHEN 0 THEN l_returnflag WHEN 1 THEN l_linestatus ELSE l_linenumber END THEN 1 ELSE 0 END AS x,
+    CASE WHEN b.v = CASE b.c WHEN 0 THEN l_returnflag WHEN 1 THEN l_linestatus ELSE l_linenumber END THEN 1 ELSE 0 END AS y FROM k, s a, s b)
+SELECT slot_a, slot_b, round((sum(n * x * y) / sum(n) - sum(n * x) / sum(n) * sum(n * y) / sum(n))
+  / sqrt((sum(n * x) / sum(n) * (1 - sum(n * x) / sum(n))) * (sum(n * y) / sum(n) * (1 - sum(n * y) / sum(n)))), 6) + 0.0 AS corr
+FROM pairs GROUP BY slot_a, slot_b
+""")
+def q_correlation_one_hot(spark, sf_dir):
+    """Correlations of all slots of three one-hot blocks."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+    coder = JoinEncoder.fit(_DUMMIES, li)
+    slots = coder.labels.select(F.col("index").cast("int").alias("i"), F.concat_ws("=", "column", "value").alias("slot"))
+    corr = profile.vector_correlation(coder.transform(li), "features")
+    return corr.join(slots.withColumnRenamed("slot", "slot_a"), "i").join(slots.select(F.col("i").alias("j"), F.col("slot").alias("slot_b")), "j") \
+        .select("slot_a", "slot_b", (F.round("corr", 6) + F.lit(0.0)).alias("corr"))

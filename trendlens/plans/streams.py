@@ -82,3 +82,16 @@ WHERE rank <= 3
 """)
 def q_running_top_k_by_region(spark, sf_dir):
     return S.running_top_k(_by_region(spark, sf_dir, "running_top_by_region"), "categoryTitle", 3, keys=["region"])
+
+
+@register("stopped_streams", "S7 S8 S9", """
+SELECT event_type, count(*) AS count, true AS stopped FROM events GROUP BY event_type
+""")
+def q_stopped_streams(spark, sf_dir):
+    """A query on a timer that has seen everything, stopped with all others: its counters stay readable."""
+    counts = S.running_counts_by_category(_events_stream(spark, sf_dir), "event_type", keys=[])
+    name = S.unique_name("stopped")
+    query = S.start_running_query(counts, name, trigger="1 second")
+    query.processAllAvailable()
+    stopped = S.stop_all(spark) >= 1 and not query.isActive
+    return S.snapshot(spark, name).select("event_type", "count", F.lit(stopped).alias("stopped"))

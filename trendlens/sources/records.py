@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Column order of the batch CSV (15 named columns plus a trailing delimiter).
+# Column order of the batch CSV (15 named columns plus a trailing delimiter): fixed values of the input.
 RECORD_SCHEMA = T.StructType([
     T.StructField("video_id", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -77,3 +77,47 @@ def land_records(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     if "region" in df.columns:
         writer = writer.partitionBy("region")
     writer.parquet(path)
+
+
+def land_again(df: DataFrame, path: str) -> None:
+    """Replace the regions that occur in ``df`` and leave the others as they are.
+
+    Dynamic partition overwrite: only those regions' folders are written and swapped
+    when the job commits.  A region without a row in ``df`` keeps its old rows.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("region").parquet(path)
+
+
+def reject_reason(df: DataFrame, keys: list[str]) -> Column:
+    """Why a record can't be used: ``malformed`` (a line or value that doesn't parse), ``no <key>``, or NULL."""
+    reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed") if CORRUPT_COLUMN in df.columns else F.when(F.lit(False), "")
+    for k in keys:
+        reason = reason.when(F.col(k).isNull(), f"no {k}")
+    return reason
+
+
+def land_with_rejects(df: DataFrame, path: str, keys: list[str]) -> dict[str, int]:
+    """Land records and rejects in one pass, and count both on the way.
+
+    One job writes ``path/reject_reason=.../[region=...]``; rejects keep what did parse
+    and the raw line.  The counts are observed metrics of that job: nothing is
+    read again.  ``accepted(spark, path)`` and ``rejected(spark, path)`` read the two.
+    """
+    reasons = [*(["malformed"] if CORRUPT_COLUMN in df.columns else []), *(f"no {k}" for k in keys)]
+    seen = Observation()
+    reason = F.col("reject_reason")
+    marked = df.withColumn("reject_reason", reject_reason(df, keys)).observe(
+        seen, F.count(F.lit(1)).alias("records"), F.count_if(reason.isNull()).alias("accepted"),
+        *[F.count_if(reason == r).alias(r) for r in reasons])
+    marked.write.mode("overwrite").partitionBy("reject_reason", *(["region"] if "region" in df.columns else [])).parquet(path)
+    return dict(seen.get)
+
+
+def accepted(spark: SparkSession, path: str) -> DataFrame:
+    """The landed records (only their folders are read)."""
+    return spark.read.parquet(path).where(F.col("reject_reason").isNull()).drop("reject_reason", CORRUPT_COLUMN)
+
+
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The landed rejects with their reason."""
+    return spark.read.parquet(path).where(F.col("reject_reason").isNotNull())

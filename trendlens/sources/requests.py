@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REQUEST_SCHEMA = T.StructType([
@@ -16,6 +17,13 @@ REQUEST_SCHEMA = T.StructType([
 ])
 
 
-def requests_to_df(spark: SparkSession, rows: list[dict] | list[tuple]) -> DataFrame:
-    """Typed DataFrame of requests (small interactive input)."""
+def requests_to_df(spark: SparkSession, rows: DataFrame | list[dict] | list[tuple]) -> DataFrame:
+    """Typed requests of a few rows (interactive input) or of any table, batch or stream.
+
+    A table's columns are taken by name and cast (what doesn't cast is NULL); a
+    missing one is NULL, others are dropped.
+    """
+    if isinstance(rows, DataFrame):
+        return rows.select(*[(F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                             for f in REQUEST_SCHEMA])
     return spark.createDataFrame(rows, schema=REQUEST_SCHEMA)

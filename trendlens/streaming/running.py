@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.columns import decode_json, split_pipe
 from ..session import ensure_checkpoint_dir, scratch_path
 
-# Payload of one event (15 nullable fields).
+# Payload of one event (15 nullable fields) and the topics' prefix: fixed values of the input.
 EVENT_SCHEMA = T.StructType([
     T.StructField("video_id", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -184,6 +184,23 @@ def start_running_query(df: DataFrame, name: str, trigger: str | None = "30 seco
     return w.start()
 
 
+def start_append(df: DataFrame, name: str, path: str, trigger: str | None = "30 seconds",
+                 available_now: bool = False, checkpoint: str | None = None) -> StreamingQuery:
+    """Append the rows of a stream without aggregates to Parquet files under ``path``.
+
+    The file sink commits a micro-batch's files as one entry of its log, which
+    readers of ``path`` follow, and the checkpoint holds the micro-batch's input;
+    so after a failure or restart each row is there exactly once.
+    """
+    w = df.writeStream.outputMode("append").format("parquet").queryName(name).option(
+        "checkpointLocation", checkpoint or checkpoint_of(df.sparkSession, name))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start(path)
+
+
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Block until an ``availableNow`` query has consumed everything."""
     query.awaitTermination()
@@ -212,5 +229,5 @@ def unique_name(prefix: str) -> str:
 
 __all__ = ["EVENT_SCHEMA", "kafka_options", "read_kafka_events", "read_file_stream", "decode_events",
            "running_counts", "running_counts_by_category", "running_counts_by_tag",
-           "running_top_k", "checkpoint_of", "start_running_query", "drain", "snapshot", "stop_all",
+           "running_top_k", "checkpoint_of", "start_running_query", "start_append", "drain", "snapshot", "stop_all",
            "unique_name", "ensure_checkpoint_dir"]
