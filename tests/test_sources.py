@@ -90,3 +90,28 @@ def test_read_all_regions_and_land(spark, tmp_dir):
         {"region=CA", "region=GB", "region=US"}
     back = spark.read.parquet(out).where("region = 'US'")
     assert back.count() == 3
+
+
+def test_one_region_landed_again(spark, tmp_dir):
+    from trendlens.sources import records as R
+    rows = spark.createDataFrame([("a", 1, "US"), ("b", 2, "CA"), ("c", 3, "GB")], "video_id string, n int, region string")
+    path = os.path.join(tmp_dir, "landed")
+    R.land_records(rows, path)
+    R.land_again(spark.createDataFrame([("x", 9, "CA"), ("y", 8, "FR")], rows.schema), path)
+    R.land_again(rows.limit(0), path)
+    assert {tuple(r) for r in spark.read.parquet(path).select("video_id", "n", "region").collect()} == {("a", 1, "US"), ("x", 9, "CA"), ("c", 3, "GB"), ("y", 8, "FR")}
+
+
+def test_rejects_are_landed_and_counted_in_one_pass(spark, tmp_dir):
+    from pyspark.sql import types as T
+    from trendlens.sources import records as R
+    schema = T.StructType([T.StructField("video_id", T.StringType()), T.StructField("likes", T.LongType())])
+    path, out = os.path.join(tmp_dir, "in.csv"), os.path.join(tmp_dir, "out")
+    with open(path, "w") as f:
+        f.write("video_id,likes,\na,1,\nb,many,\n,3,\nc,4,\n")
+    df = R.read_records(spark, path, region="US", schema=schema)
+    seen = R.land_with_rejects(df, out, ["video_id"])
+    assert seen == {"records": 4, "accepted": 2, "malformed": 1, "no video_id": 1}
+    assert {(r.video_id, r.likes, r.region) for r in R.accepted(spark, out).collect()} == {("a", 1, "US"), ("c", 4, "US")}
+    assert {(r.video_id, r.likes, r.reject_reason) for r in R.rejected(spark, out).collect()} == {("b", None, "malformed"), (None, 3, "no video_id")}
+    assert R.rejected(spark, out).where("reject_reason = 'malformed'").first()[R.CORRUPT_COLUMN].startswith("b,many")

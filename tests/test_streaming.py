@@ -126,3 +126,63 @@ def test_region_fan_out_from_topic_folders(spark, tmp_dir):
     assert tags[("US", "a")] == 2 and tags[("CA", "a")] == 2 and tags[("CA", "")] == 1
     top = [(r.region, r.tag) for r in S.running_top_k(state, "tag", 1, keys=["region"]).orderBy("region").collect()]
     assert top == [("CA", "a"), ("GB", "b"), ("US", "a")]
+
+
+def test_scores_of_arriving_requests_are_appended_once(spark, tmp_dir):
+    """M15 on a stream: a restart from the checkpoint scores what is new, and nothing twice."""
+    import json
+
+    from trendlens.ml import models as M
+    from trendlens.ml.features import FeatureSpec
+    from trendlens.sources.requests import REQUEST_SCHEMA, requests_to_df
+    rows = [(i, "US" if i % 2 else "CA", f"ch{i % 3}", f"title {i % 5}", "a|b", 1 + i % 2, f"2024-0{1 + i % 3}-05 10:00:00", 100 + i, 10 + i % 7, 3, i % 11, False) for i in range(120)]
+    recs = spark.createDataFrame(rows, "video_id long, region string, channelTitle string, title string, tags string, categoryId int, publishedAt string, "
+                                 "view_count long, likes long, dislikes long, comment_count long, comments_disabled boolean").withColumn("publishedAt", F.to_timestamp("publishedAt"))
+    fitted = M.train_job(recs, spec=FeatureSpec(text=None, categorical=("publish_month_str",)))
+    dim = spark.createDataFrame([("US", 1, "Music"), ("US", 2, "Games"), ("CA", 1, "Music"), ("CA", 2, "Games")], "region string, categoryId int, categoryTitle string")
+    source, out, chk = (os.path.join(tmp_dir, x) for x in ("in", "out", "chk"))
+    os.makedirs(source)
+
+    def arrive(name, requests):
+        with open(os.path.join(source, name), "w") as f:
+            f.write("\n".join(requests) + "\n")
+
+    def request(i, **other):
+        return json.dumps({"request_id": i, "region": "US", "channel_title": "ch1", "title": "t", "tags": "a", "category_name": "Music", "publish_dt": "2024-02-05 10:00:00", **other})
+
+    def run():
+        raw = S.read_file_stream(spark, source, "*.txt", None, fmt="text", max_files_per_trigger=1)
+        requests = requests_to_df(spark, S.decode_events(raw, REQUEST_SCHEMA, keep=[]))
+        assert requests.isStreaming
+        S.drain(S.start_append(M.score_stream(requests, fitted, dim), S.unique_name("t_scores"), out, available_now=True, checkpoint=chk))
+        return spark.read.parquet(out).collect()
+
+    arrive("1.txt", [request(1), request(2, region="CA"), request(3, category_name="No such")])
+    arrive("2.txt", [request(4, publish_dt="yesterday"), request(5, region="MOON"), "garbage"])
+    first = run()
+    assert sorted(r.request_id or 0 for r in first) == [0, 1, 2, 3, 4, 5]
+    assert run() == first or sorted(map(str, run())) == sorted(map(str, first))
+    arrive("3.txt", [request(6), request(6)])
+    again = run()
+    assert sorted(r.request_id or 0 for r in again) == [0, 1, 2, 3, 4, 5, 6, 6]
+    by_id = {r.request_id: r for r in again}
+    assert by_id[1].error is None and by_id[1].pred_likes_ratio is not None and by_id[2].error is None
+    assert by_id[3].error.startswith("unknown category") and by_id[4].error == "bad publish_dt" and by_id[3].pred_likes_ratio is None
+    # the same rows as the batch job's
+    table = requests_to_df(spark, [(1, "US", "ch1", "t", "a", "Music", "2024-02-05 10:00:00"), (2, "CA", "ch1", "t", "a", "Music", "2024-02-05 10:00:00")])
+    batch = {r.request_id: r for r in M.score(table, fitted, dim).collect()}
+    assert all(batch[i].pred_likes_ratio == by_id[i].pred_likes_ratio for i in (1, 2))
+
+
+def test_changes_between_two_looks(spark, tmp_dir):
+    ev = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2)], "event_type string, n int")
+    source, chk = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "chk")
+    run = lambda: S.drain(S.start_running_query(S.running_counts_by_category(S.read_file_stream(spark, source, "part-*", ev.schema), "event_type", keys=[]),
+                                                S.unique_name("t_changes"), available_now=True, checkpoint=chk))
+    ev.where("n = 1").coalesce(1).write.mode("append").parquet(source)
+    run()
+    ev.where("n = 2").coalesce(1).write.mode("append").parquet(source)
+    run()
+    got = {(r.event_type, r.batch_id, r["count"]) for r in S.changes(spark, "", 1, checkpoint=chk).collect()}
+    assert got == {("a", 1, 2)}
+    assert {(r.event_type, r.batch_id) for r in S.changes(spark, "", 0, 0, checkpoint=chk).collect()} == {("a", 0), ("b", 0)}

@@ -118,7 +118,7 @@ class JoinEncoder:
         """``df`` with ``features``.  Rows are numbered in a written copy, so equal rows stay apart."""
         copy, vectors = (new_scratch_path(self.spark, name) for name in ("encoder-rows", "encoder-vectors"))
         df.withColumn("_tl_row", F.monotonically_increasing_id()).write.parquet(copy)
-        schema = df.schema.add("_tl_row", T.LongType(), False)
+        schema = T.StructType([*df.schema.fields, T.StructField("_tl_row", T.LongType())])
         rows = self.spark.read.schema(schema).parquet(copy)
         slots = self.entries(rows, "_tl_row").groupBy("_tl_row").agg(F.array_sort(F.collect_list(F.struct("index", "slot"))).alias("s"))
         empty = F.array().cast("array<struct<index:bigint,slot:double>>")

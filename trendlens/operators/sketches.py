@@ -33,9 +33,11 @@ def distinct_sketches(df: DataFrame, keys: list[str], col: str, lg_entries: int
     """``(keys, rows, hll, theta)``: a HyperLogLog and a theta sketch of each group's values.
 
     NULL values don't count; a group without values has sketches of nothing.
+    Types that sketches don't take (doubles, dates, ...) count as their strings.
     """
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(col, F.lit(lg_entries)).alias("hll"),
-                                 F.theta_sketch_agg(col, F.lit(lg_entries)).alias("theta"))
+    value = F.col(col) if dict(df.dtypes)[col] in ("int", "bigint", "string", "binary") else F.col(col).cast("string")
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(value, F.lit(lg_entries)).alias("hll"),
+                                 F.theta_sketch_agg(value, F.lit(lg_entries)).alias("theta"))
 
 
 def merge_distinct(sketches: DataFrame, keys: list[str]) -> DataFrame:

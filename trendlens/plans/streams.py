@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.topk import order_by_count_desc
+from ..session import new_scratch_path
 from ..sources.tables import read_table
 from ..streaming import running as S
 from .registry import register
@@ -95,3 +96,22 @@ def q_stopped_streams(spark, sf_dir):
     query.processAllAvailable()
     stopped = S.stop_all(spark) >= 1 and not query.isActive
     return S.snapshot(spark, name).select("event_type", "count", F.lit(stopped).alias("stopped"))
+
+
+@register("counters_changed", "S8 T1", """
+SELECT event_type, CAST(1 AS BIGINT) AS batch_id, count(*) AS count FROM events
+WHERE event_type IN (SELECT event_type FROM events WHERE event_id % 3 = 0 AND event_type <> (SELECT min(event_type) FROM events)) GROUP BY event_type
+UNION ALL SELECT event_type, 0, count(*) FROM events WHERE event_id % 3 <> 0 OR event_type = (SELECT min(event_type) FROM events) GROUP BY event_type
+""")
+def q_counters_changed(spark, sf_dir):
+    """Events in two micro-batches, the second without the first type: each batch's change log
+    holds the counters that it moved and no others."""
+    events = read_table(spark, sf_dir, "events")
+    second = (F.col("event_id") % 3 == 0) & (F.col("event_type") != events.agg(F.min("event_type")).scalar())
+    path = new_scratch_path(spark, "arriving")
+    for part in (~second, second):
+        events.where(part).coalesce(1).write.mode("append").parquet(path)
+    stream = S.read_file_stream(spark, path, "part-*", events.schema, max_files_per_trigger=1)
+    name = S.unique_name("changed")
+    S.drain(S.start_running_query(S.running_counts_by_category(stream, "event_type", keys=[]), name, available_now=True))
+    return S.changes(spark, name, 0)

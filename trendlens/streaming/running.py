@@ -215,6 +215,22 @@ def snapshot(spark: SparkSession, name: str, checkpoint: str | None = None) -> D
     return state.select("key.*", F.col("value.count").alias("count"))
 
 
+def changes(spark: SparkSession, name: str, first_batch: int, last_batch: int | None = None,
+            checkpoint: str | None = None) -> DataFrame:
+    """S8 between two looks: ``(keys, batch_id, count)`` of the counters that micro-batches
+    ``first_batch`` to ``last_batch`` (default: the last) changed, as they were after each.
+
+    Reads the state store's change log of those batches, not the whole state: a
+    dashboard that looks every 10 s reads what moved since.  The log of a batch is
+    there as long as Spark keeps its version (``spark.sql.streaming.minBatchesToRetain``).
+    """
+    r = spark.read.format("statestore").option("readChangeFeed", True).option("changeStartBatchId", first_batch)
+    if last_batch is not None:
+        r = r.option("changeEndBatchId", last_batch)
+    feed = r.load(checkpoint or checkpoint_of(spark, name)).where("change_type <> 'delete'")
+    return feed.select("key.*", F.col("batch_id").cast("long").alias("batch_id"), F.col("value.count").alias("count"))
+
+
 def stop_all(spark: SparkSession) -> int:
     """Stop every active streaming query; returns how many were stopped."""
     active = list(spark.streams.active)
@@ -229,5 +245,5 @@ def unique_name(prefix: str) -> str:
 
 __all__ = ["EVENT_SCHEMA", "kafka_options", "read_kafka_events", "read_file_stream", "decode_events",
            "running_counts", "running_counts_by_category", "running_counts_by_tag",
-           "running_top_k", "checkpoint_of", "start_running_query", "start_append", "drain", "snapshot", "stop_all",
+           "running_top_k", "checkpoint_of", "start_running_query", "start_append", "drain", "snapshot", "changes", "stop_all",
            "unique_name", "ensure_checkpoint_dir"]
