@@ -1,3 +1,5 @@
+import math
+import random
 import re
 from collections import Counter
 
@@ -62,3 +64,67 @@ def test_long_text_and_overlaps(spark):
     assert row.b.split(",") == base(text)
     assert row.r.endswith("word <EMAIL>")
     assert Counter(x.split(":")[0] for x in row.b.split(",")) == {"email": 1, "ip": 1}
+
+
+def brute_em(rows, rounds):
+    """The tied weights by plain loops: rows are (kind, votes, n)."""
+    weights = pii.tied([[[0.0]] + [[-1.0, 0.0, 1.0] for _ in pii.LABELERS] for _ in pii.KINDS])
+    for _ in range(rounds):
+        new = [[[0.0]] + [[0.0] * 3 for _ in pii.LABELERS] for _ in pii.KINDS]
+        for kind in range(len(pii.KINDS)):
+            own = [(v, n, 1 / (1 + math.exp(-weights[kind][0][0] - sum(w[x] for w, x in zip(weights[kind][1:], v))))) for k, v, n in rows if k == kind]
+            if not own:
+                continue
+            one, zero = sum(n * p for _, n, p in own), sum(n * (1 - p) for _, n, p in own)
+            new[kind] = [[math.log((one + 1) / (zero + 1))]] + [
+                [math.log((sum(n * p for v, n, p in own if v[j] == x) + 1) / (one + 3)) - math.log((sum(n * (1 - p) for v, n, p in own if v[j] == x) + 1) / (zero + 3))
+                 for x in range(3)] for j in range(len(pii.LABELERS))]
+        weights = pii.tied(new)
+    return weights
+
+
+def test_em_equals_brute_force(spark):
+    rnd = random.Random(5)
+    rows = [(rnd.choice([0, 2, 3]), tuple(rnd.choice([0, 1, 2, 2]) for _ in pii.LABELERS), rnd.randint(1, 50)) for _ in range(40)]
+    pattern = spark.createDataFrame([(k, *v, n) for k, v, n in rows], ["kind", *pii.LABELERS, "n"])
+    got, want = pii.estimate(pattern, 4), brute_em(rows, 4)
+    assert all(abs(a - b) < 1e-9 for x, y in zip(got, want) for r, s in zip(x, y) for a, b in zip(r, s))
+    # Votes keep their direction, and a failed checksum outweighs a vote or two.
+    assert all(r[0] < 0 < r[2] for x in got for r in x[1:]) and all(x[1 + pii.LABELERS.index("checksum")][0] < -6 for x in got)
+
+
+def test_planted_spans_and_decoys(spark):
+    rnd = random.Random(7)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) between 300 and 3000").limit(200).collect()]
+    d = lambda n, of="0123456789": "".join(rnd.choice(of) for _ in range(n))
+
+    def failing():
+        while luhn(x := "4" + d(15)):
+            pass
+        return x
+
+    makes = {"spelt": lambda: f"joe{d(2)} at mail{d(1)} dot com", "paren": lambda: f"call ({d(3, '23456789')}) {d(3, '23456789')}-{d(4)}",
+             "dash": lambda: f"{d(3, '23456789')}-{d(3, '23456789')}-{d(4)}", "failing": failing, "version": lambda: f"version 1{d(3)}.{d(3)}",
+             "pages": lambda: f"page {d(4)} {d(4)}", "order": lambda: f"order {d(9)}", "date": lambda: f"2024-0{d(1, '123456789')}-1{d(1)}"}
+    rows = []
+    for name, make in makes.items():
+        for _ in range(60):
+            words, what = rnd.choice(texts).split(" "), make()
+            at = rnd.randint(1, len(words) - 1)
+            start = len(" ".join(words[:at])) + 1
+            rows.append((len(rows), name, start, start + len(what), " ".join([*words[:at], what, *words[at:]])))
+    docs = spark.createDataFrame(rows, "doc_id long, name string, a int, b int, text string")
+    found = pii.with_spans(docs, keep=["name", "a", "b"])
+    hit = found.withColumn("hit", F.exists(F.array_except("_s_all", "_s_base"), lambda s: (s["start"] < F.col("b")) & (s["end"] > F.col("a"))))
+    share = {r.name: r.share for r in hit.groupBy("name").agg(F.avg(F.col("hit").cast("int")).alias("share")).collect()}
+    assert min(share[x] for x in ("spelt", "paren", "dash")) >= 0.95
+    assert max(share[x] for x in ("failing", "version", "pages", "order", "date")) <= 0.05
+
+
+def test_cards_are_held_true_and_failing_numbers_false(documents, spark):
+    docs = documents.select("text").union(spark.createDataFrame([(f"number {4532015112830360 + i} here",) for i in range(60)], "text string"))
+    found = pii.found_spans(docs, "text", ["text"])
+    model = pii.train(found)
+    odds = lambda c: [(r.k, r.lo) for r in found.select(F.explode(c).alias("s")).select(F.col("s.k").alias("k"), model.log_odds(F.col("s")).alias("lo")).collect()]
+    base_cards, failing = [x for k, x in odds("_base") if k == 2], [x for k, x in odds("_more") if k == 2]
+    assert base_cards and failing and min(base_cards) > 0 > max(failing)

@@ -5,10 +5,12 @@ candidates (numbers without ``+``, numbers that failed a check, emails spelt out
 six labelers: two regular expressions, a checksum, a gazetteer, the context before and the context
 after.  The base spans are voted on too, so labelers are compared on them.  A candidate's votes
 make a pattern; expectation-maximisation over the counted patterns (a small table, however large
-the corpus) estimates how often each labeler votes for and against true and false spans.  The
-posteriors are soft labels on which a final classifier of the span's own shape and surroundings
-(naive Bayes over categorical features) is trained; candidates with positive log odds join the
-base spans.
+the corpus) estimates within each kind how often each labeler votes for and against true and false
+spans.  What is true is tied to the labelers' meaning: each labeler's error has an upper bound below
+one half (``ERRORS``), so a vote never counts less than ``LEAST`` in its direction, and the hidden class
+can't become another one.  The posteriors are soft labels on which a final
+classifier of the span's shape, surroundings, checksum and gazetteer (naive Bayes over categorical
+features, within each kind) is trained; candidates with positive log odds join the base spans.
 
 DataFrame functions only.  Texts are scanned once: spans and their short contexts go to a written
 table, and training and classification read that.  A span's offsets are code points, from the
@@ -23,6 +25,7 @@ columns keep their names, the operator's own begin with ``_``, others are droppe
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable
 
@@ -44,21 +47,32 @@ IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 NUMBER = r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,4}\)?(?:[\x20.-]?[0-9]{2,4}){1,5}(?![0-9A-Za-z])"
 SPELT = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[\[(]?(?:at|AT)[\])]?\x20?[A-Za-z0-9-]{1,64}\x20?[\[(]?(?:dot|DOT)[\])]?\x20?[A-Za-z]{2,12}(?![A-Za-z])"
 
-# Gazetteers: address blocks that name no person, issuer ranges of cards, frequent country codes
-# and mail domains' endings.
-RESERVED_IP = r"^(?:0|10|127|169\.254|192\.168|22[4-9]|23[0-9]|24[0-9]|25[0-5])\."
-ISSUER = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
-COUNTRY = r"^(?:1|7|20|27|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
-ENDING = r"(?i)(?:com|org|net|edu|gov|io|de|fr|es|uk|eu|info)$"
+# Gazetteers by kind: a pattern of what is listed (votes for) and of what is known as no one's
+# (votes against).  Mail domains' endings; address blocks that name no person; issuer ranges of
+# cards; country codes; numbers that are never given out.
+GAZETTEERS = {
+    "email": (r"(?i)(?:com|org|net|edu|gov|mil|info|biz|io|dev|app|me|co|eu|de|at|ch|fr|be|nl|lu|es|pt|it|uk|ie|us|ca|mx|br|ar|cl|au|nz|in|jp|cn|kr|pl|cz|se|no|dk|fi|ru|tr|za)$",
+              r"(?i)(?:png|jpe?g|gif|svg|css|js|html?|pdf|zip|example|invalid|localhost|test)$"),
+    "ip": (r"^$", r"^(?:0|10|127|169\.254|172\.(?:1[6-9]|2[0-9]|3[01])|192\.168|192\.0\.2|198\.51\.100|203\.0\.113|22[4-9]|23[0-9]|24[0-9]|25[0-5])\."),
+    "card": (r"^(?:4|5[1-5]|2[2-7]|3[47]|36|38|60|62|64|65|35)", r"^(?:0|1|7|8|9)"),
+    "phone": (r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])|^\(?[2-9][0-9]{2}\)?[\x20.-][2-9][0-9]{2}[\x20.-][0-9]{4}$", r"^\(?[01]"),
+    "id": (r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$", r"^(?:000|666|9)|-00-|-0000$"),
+}
 FOR = r"(?i)(?:e-?mail|mail|contact|call|phone|tel|fax|mobile|card|visa|mastercard|iban|account|ssn|passport|ip|address|write to)\W{0,4}$"
 AGAINST = r"(?i)(?:version|license|licence|page|isbn|doi|token|key|hash|order|line|year|total|sum|issue|no|nr)\W{0,4}$"
 UNIT_AFTER = r"^(?:\x20?(?:%|kg|km|px|ms|mb|gb)|[.,:][0-9]|=|\x20?[*/x]\x20?[0-9])"
 
 CONTEXT = 24
 LABELERS = ("shape", "boundary", "checksum", "gazetteer", "before", "after")
-FEATURES = ("digits", "joiner", "left", "right")
+FEATURES = ("digits", "joiner", "left", "right", "checksum", "gazetteer")
 VALUES = 6  # a feature's values are 0 to VALUES - 1
 ROUNDS = 12
+# Upper bounds of the labelers' errors, so least weights of their votes: what fails its checksum
+# isn't a card or address; the others are held to be right in three of five cases.
+ERRORS = {"shape": 0.4, "boundary": 0.4, "checksum": 0.001, "gazetteer": 0.4, "before": 0.4, "after": 0.4}
+LEAST = {j: math.log((1 - e) / e) for j, e in ERRORS.items()}
+MOST = 8.0  # of any weight
+PRIOR = 2.0  # of the prior log odds, either way
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -141,7 +155,11 @@ def found_spans(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return written(rows.select(*[F.col(f"`{k}`") for k in keep], F.col("_s.base").alias("_base"), F.col("_s.more").alias("_more")), "pii")
 
 
-def votes(s: Column) -> dict[str, Column]:
+def _listed(x: Column, known: str, nobody: str) -> Column:
+    return F.when(x.rlike(nobody), -1).when(x.rlike(known), 1).otherwise(0)
+
+
+def votes(s: Column, gazetteers: dict[str, tuple[str, str]] = GAZETTEERS) -> dict[str, Column]:
     """Each labeler's vote on a span: 1 for, -1 against, 0 abstains."""
     m, k = s["m"], s["k"]
     d = digits_of(m)
@@ -153,15 +171,16 @@ def votes(s: Column) -> dict[str, Column]:
                       k.isin(2, 3) & ~grouped),
         "boundary": vote(s["pre"].rlike(r"(?:^|\s)$") & s["post"].rlike(r"^(?:[.,;:!?]*(?:\s|$))"), s["pre"].rlike(r"[\w=#/]$") | s["post"].rlike(r"^[\w=#/]")),
         "checksum": F.when(k == 2, vote(sum_ok, ~sum_ok)).when(k == 1, vote(passes(1, m), ~passes(1, m))).otherwise(0),
-        "gazetteer": F.when(k == 0, vote(m.rlike(ENDING), ~m.rlike(ENDING))).when(k == 1, vote(F.lit(False), m.rlike(RESERVED_IP)))
-        .when(k == 2, vote(d.rlike(ISSUER), ~d.rlike(ISSUER))).when(k == 3, vote(m.startswith("+") & d.rlike(COUNTRY), F.lit(False))).otherwise(0),
+        "gazetteer": functools.reduce(lambda c, i: c.when(k == i, _listed(m if KINDS[i] in ("phone", "ip", "id", "email") else d, *gazetteers[KINDS[i]])),
+                                      range(1, len(KINDS)), F.when(k == 0, _listed(m, *gazetteers[KINDS[0]]))).otherwise(0),
         "before": vote(s["pre"].rlike(FOR), s["pre"].rlike(AGAINST)),
         "after": vote(F.lit(False), s["post"].rlike(UNIT_AFTER)),
     }
 
 
-def features(s: Column) -> dict[str, Column]:
-    """Shape and surroundings of a span; each value is below VALUES."""
+def features(s: Column, gazetteers: dict[str, tuple[str, str]] = GAZETTEERS) -> dict[str, Column]:
+    """Shape and surroundings of a span, its checksum and gazetteer; each value is below VALUES."""
+    voted = votes(s, gazetteers)
     m = s["m"]
     edge = lambda c, at: (F.when(c == "", 0).when(c.rlike(rf"\s{at}" if at == "$" else rf"{at}\s"), 1)
                           .when(c.rlike(rf"\w{at}" if at == "$" else rf"{at}\w"), 2)
@@ -173,61 +192,79 @@ def features(s: Column) -> dict[str, Column]:
         .when(F.contains(m, F.lit("-")), 3).when(F.contains(m, F.lit(".")), 4).otherwise(5),
         "left": edge(s["pre"], "$"),
         "right": edge(s["post"], "^"),
+        "checksum": voted["checksum"] + 1,
+        "gazetteer": voted["gazetteer"] + 1,
     }
 
 
-def _sum_of(weights: list[list[float]], values: list[Column]) -> Column:
-    """Sum of each value's weight.  The weights are one constant, so new ones need no new code."""
-    every = F.array(*(F.array(*(F.lit(float(w)) for w in row)) for row in weights))
-    return sum((F.get(F.get(every, F.lit(i)), v) for i, v in enumerate(values)), F.lit(0.0))
+def _sum_of(weights: list, kind: Column, values: list[Column]) -> Column:
+    """Sum of the prior and of each value's weight in the span's kind.  The weights are one constant,
+    so new ones need no new code."""
+    every = F.array(*(F.array(*(F.array(*(F.lit(float(w)) for w in row)) for row in rows)) for rows in weights))
+    own = F.get(every, kind)
+    return sum((F.get(F.get(own, F.lit(i)), v) for i, v in enumerate([F.lit(0), *values])), F.lit(0.0))
 
 
 class Model:
-    """Log odds of a span under the trained classifier: kind and features have a weight a value."""
+    """Log odds of a span under the trained classifier: in each kind the prior, and a weight for each
+    value of each feature."""
 
-    def __init__(self, weights: list[list[float]], prior: float):
-        self.weights, self.prior = weights, prior
+    def __init__(self, weights: list, gazetteers: dict[str, tuple[str, str]] = GAZETTEERS):
+        self.weights, self.gazetteers = weights, gazetteers
 
     def log_odds(self, s: Column) -> Column:
-        return _sum_of([*self.weights, [self.prior]], [s["k"], *features(s).values(), F.lit(0)])
+        return _sum_of(self.weights, s["k"], list(features(s, self.gazetteers).values()))
 
 
-def _log_ratios(pattern: DataFrame, p: Column, values: dict[str, int], smooth: float = 1.0) -> tuple[list[list[float]], float]:
-    """For each column the log ratio of each of its values among true and among false spans, when
-    a row stands for ``n`` spans that are true with probability ``p``; and the prior log odds."""
-    each = [F.sum(F.when(F.col(c) == v, F.col("n") * q).otherwise(0.0)) for c, size in values.items() for v in range(size)
-            for q in (F.col("p"), 1 - F.col("p"))]
+def log_ratios(pattern: DataFrame, p: Column, names: list[str], size: int, smooth: float = 1.0) -> list:
+    """In each kind the prior log odds, and for each column the log ratio of each of its values among
+    true and among false spans, when a row stands for ``n`` spans that are true with probability ``p``."""
+    each = [F.sum(F.when(F.col(c) == v, F.col("n") * q).otherwise(0.0)) for c in names for v in range(size) for q in (F.col("p"), 1 - F.col("p"))]
     both = [F.sum(F.col("n") * q) for q in (F.col("p"), 1 - F.col("p"))]
-    one, zero, *got = (x or 0.0 for x in pattern.withColumn("p", p).agg(*[c.alias(f"c{i}") for i, c in enumerate(both + each)]).first())
-    weights, at = [], iter(got)
-    for size in values.values():
-        weights.append([math.log((next(at) + smooth) / (one + smooth * size)) - math.log((next(at) + smooth) / (zero + smooth * size))
-                        for _ in range(size)])
-    return weights, math.log((one + smooth) / (zero + smooth))
+    out = [[[0.0]] + [[0.0] * size for _ in names] for _ in KINDS]
+    for row in pattern.withColumn("p", p).groupBy("kind").agg(*[c.alias(f"c{i}") for i, c in enumerate(both + each)]).collect():
+        kind, one, zero, *got = row
+        at = iter(got)
+        ratio = lambda: (math.log((next(at) + smooth) / (one + smooth * size))
+                         - math.log((next(at) + smooth) / (zero + smooth * size)))
+        out[kind] = [[math.log((one + smooth) / (zero + smooth))]] + [[ratio() for _ in range(size)] for _ in names]
+    return out
+
+
+def tied(weights: list) -> list:
+    """Weights of votes (against, none, for) that keep their direction."""
+    bound = lambda x, low, high: min(max(x, low), high)
+    return [[[bound(prior, -PRIOR, PRIOR)]] + [[bound(a, -MOST, -LEAST[j]), bound(b, -0.5, 0.5), bound(c, min(LEAST[j], 1.0), MOST)]
+                                               for j, (a, b, c) in zip(LABELERS, rows)] for (prior,), *rows in weights]
+
+
+def estimate(pattern: DataFrame, rounds: int = ROUNDS) -> list:
+    """EM over vote patterns (kind, a vote + 1 for each labeler, n): the tied weights."""
+    weights = tied([[[0.0]] + [[-1.0, 0.0, 1.0] for _ in LABELERS] for _ in KINDS])
+    for _ in range(rounds):
+        weights = tied(log_ratios(pattern, posterior(weights), list(LABELERS), 3))
+    return weights
 
 
-def train(found: DataFrame, rounds: int = ROUNDS) -> Model:
+def posterior(weights: list) -> Column:
+    return 1 / (1 + F.exp(-_sum_of(weights, F.col("kind"), [F.col(x) for x in LABELERS])))
+
+
+def train(found: DataFrame, rounds: int = ROUNDS, gazetteers: dict[str, tuple[str, str]] = GAZETTEERS) -> Model:
     """EM over vote patterns, then the classifier on the posteriors."""
     spans = found.select(F.explode(F.concat("_base", "_more")).alias("s"))
     s = F.col("s")
-    cols = {"kind": s["k"], **{j: v + 1 for j, v in votes(s).items()}, **features(s)}
+    cols = {"kind": s["k"], **{j: v + 1 for j, v in votes(s, gazetteers).items()}, **{f"f_{n}": v for n, v in features(s, gazetteers).items()}}
     pattern = written(spans.select(*[c.cast("int").alias(n) for n, c in cols.items()]).groupBy(*cols).agg(
         F.count("*").alias("n")), "pii-patterns")
-    # A start from the majority: every labeler counts alike.
-    weights, prior = [[0.0] * len(KINDS), *([-1.0, 0.0, 1.0] for _ in LABELERS)], 0.0
-    voters = {"kind": len(KINDS), **dict.fromkeys(LABELERS, 3)}
-    for _ in range(rounds):
-        p = 1 / (1 + F.exp(-_sum_of([*weights, [prior]], [*map(F.col, voters), F.lit(0)])))
-        weights, prior = _log_ratios(pattern, p, voters)
-    p = 1 / (1 + F.exp(-_sum_of([*weights, [prior]], [*map(F.col, voters), F.lit(0)])))
-    return Model(*_log_ratios(pattern, p, {"kind": len(KINDS), **dict.fromkeys(FEATURES, VALUES)}))
+    return Model(log_ratios(pattern, posterior(estimate(pattern, rounds)), [f"f_{n}" for n in FEATURES], VALUES), gazetteers)
 
 
-def with_spans(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
+def with_spans(docs: DataFrame, text: str = "text", keep: list[str] = ("doc_id",), gazetteers: dict[str, tuple[str, str]] = GAZETTEERS) -> DataFrame:
     """``keep`` columns, ``_s_base`` and ``_s_all``: arrays of struct<k, start, end> in order of
     kind and start; ``_s_all`` holds the base spans and those that the classifier adds."""
     found = found_spans(docs, text, list(keep))
-    model = train(found)
+    model = train(found, gazetteers=gazetteers)
     place = lambda a: F.transform(a, lambda s: F.struct(s["k"].alias("k"), s["start"].alias("start"), s["end"].alias("end")))
     added = F.filter("_more", lambda s: model.log_odds(s) > 0)
     return found.select(*[F.col(f"`{k}`") for k in keep], F.array_sort(place(F.col("_base"))).alias("_s_base"),
