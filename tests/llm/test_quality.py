@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -76,10 +77,10 @@ def test_statistics_and_perplexity_equal_brute_force(documents):
         assert abs(expected - r._q_logppl) < 1e-3
         assert r._q_base_failed == (r._q_n_words < 50 or 100 * r._q_n_repeat_words > 50 * r._q_n_words)
     lp = sorted(r._q_logppl for r in got)
-    q1, q3 = (lp[math.ceil(q * len(lp)) - 1] for q in (0.25, 0.75))
-    width = 3 * max(q3 - q1, 0.2)
+    q1, middle, q3 = (lp[math.ceil(q * len(lp)) - 1] for q in (0.25, 0.5, 0.75))
+    width = 6 * max((q3 - q1) / 1.349, 0.005)
     for r in got:
-        assert r._q_kept == (not r._q_base_failed and q1 - width <= r._q_logppl <= q3 + width)
+        assert r._q_kept == (not r._q_base_failed and middle - width <= r._q_logppl <= middle + width)
 
 
 def test_probabilities_sum_to_one():
@@ -105,6 +106,26 @@ def test_junk_goes_and_clean_texts_stay(spark, documents):
     assert sum(r._q_kept for r in rest) >= 0.97 * len(rest)
 
 
+def test_graded_junk(spark):
+    """Random words among real ones and words of all languages go, shuffled and clean texts stay."""
+    rnd = random.Random(7)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rows = [r for r in docs.where("length(text) between 400 and 8000").collect() if r.text]
+    every = [w for r in rows for w in r.text.split()[:50]]
+    noise = lambda of: "".join(rnd.choice(of) for _ in range(rnd.randint(3, 9)))
+    letters, consonants = "abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz"
+    some = lambda t, share, of: " ".join(noise(of) if rnd.random() < share else w for w in t.split(" "))
+    makes = {"tenth": lambda t: some(t, 0.1, consonants), "quarter": lambda t: some(t, 0.25, letters), "half": lambda t: some(t, 0.5, letters),
+             "mixed": lambda t: " ".join(rnd.choice(every) for _ in t.split()), "shuffled": lambda t: " ".join(rnd.sample(t.split(), len(t.split())))}
+    planted = [(10 ** 6 + i, make(r.text), r.lang, name) for i, (name, make, r) in enumerate(
+        (name, make, rnd.choice(rows)) for name, make in makes.items() for _ in range(15))]
+    both = docs.withColumn("kind", F.lit("clean")).union(spark.createDataFrame(planted, "doc_id long, text string, lang string, kind string"))
+    judged = quality.judge(both, ["kind"]).filter("not _q_base_failed")
+    kept = {r.kind: r.share for r in judged.groupBy("kind").agg(F.avg(F.col("_q_kept").cast("int")).alias("share")).collect()}
+    assert kept["clean"] >= 0.97 and kept["shuffled"] >= 0.8   # characters within words don't tell the order of words
+    assert kept["half"] == 0 and kept["quarter"] <= 0.1 and kept["mixed"] <= 0.2 and kept["tenth"] <= 0.7
+
+
 def test_odd_rows(odd):
     got = quality.judge(odd, odd.columns)
     assert got.columns[0] == "_q_lang" and set(odd.columns) <= set(got.columns)

@@ -13,9 +13,9 @@ slots, a slot holds a log probability (the mean where n-grams collide), and cont
 weights have ``SLOTS / 4``.  The number of slots bounds what is broadcast, whatever the corpus.
 Each task scores a distinct word once and looks up the rest.
 
-A language's band is ``[q1 - width, q3 + width]`` of its documents' log perplexity per character,
-``width = spread * max(q3 - q1, least_range)``; documents outside are rejected, as are those that
-break the base rules.
+A language's band is the median of its documents' log perplexity per character and ``spread`` robust
+deviations (the quartiles' distance over 1.349, ``least`` at least) on either side, so its width is the
+language's own; documents outside are rejected, as are those that break the base rules.
 
 Defined results: null and empty texts have no words and fail the base rules; null languages form
 one group; repeated rows each get a row; an empty table gives no rows; carried columns keep their
@@ -245,17 +245,17 @@ def score(docs: DataFrame, keep: list[str], text: str, lang: str, arrays, slots:
                        F.col(f"`{text}`").alias("_q_text")).mapInArrow(run, schema)
 
 
-def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", spread: float = 3.0,
-          least_range: float = 0.2, slots: int = SLOTS) -> DataFrame:
+def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", spread: float = 6.0,
+          least: float = 0.005, slots: int = SLOTS) -> DataFrame:
     """``keep`` columns, statistics, ``_q_logppl``, the band ``_q_low`` and ``_q_high``,
     ``_q_base_failed`` and ``_q_kept`` of every row."""
     probabilities, weights = kneser_ney(count_grams(docs, text, lang))
     arrays = hash_array(probabilities, slots), hash_array(weights, slots // 4)
     scored = written(score(docs, keep, text, lang, arrays, slots), "quality")
-    q = F.percentile_approx("_q_logppl", [0.25, 0.75], 10000)
+    q = F.percentile_approx("_q_logppl", [0.25, 0.5, 0.75], 10000)
     bands = scored.groupBy("_q_lang").agg(F.count("*").alias("_q_n"), q.alias("_q_q"))
-    width = spread * F.greatest(F.col("_q_q")[1] - F.col("_q_q")[0], F.lit(least_range))
-    bands = written(bands.select("_q_lang", "_q_n", (F.col("_q_q")[0] - width).alias("_q_low"), (F.col("_q_q")[1] + width).alias("_q_high")), "bands")
+    width = spread * F.greatest((F.col("_q_q")[2] - F.col("_q_q")[0]) / 1.349, F.lit(least))
+    bands = written(bands.select("_q_lang", "_q_n", (F.col("_q_q")[1] - width).alias("_q_low"), (F.col("_q_q")[1] + width).alias("_q_high")), "bands")
     total = bands.agg(F.coalesce(F.sum("_q_n"), F.lit(0))).first()[0]
     failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
     inside = F.coalesce(F.col("_q_logppl").between(F.col("_q_low"), F.col("_q_high")), F.lit(False))
