@@ -78,7 +78,7 @@ def test_statistics_and_perplexity_equal_brute_force(documents):
         assert r._q_base_failed == (r._q_n_words < 50 or 100 * r._q_n_repeat_words > 50 * r._q_n_words)
     lp = sorted(r._q_logppl for r in got)
     q1, middle, q3 = (lp[math.ceil(q * len(lp)) - 1] for q in (0.25, 0.5, 0.75))
-    width = 6 * max((q3 - q1) / 1.349, 0.005)
+    width = 8 * max((q3 - q1) / 1.349, 0.005)
     for r in got:
         assert r._q_kept == (not r._q_base_failed and middle - width <= r._q_logppl <= middle + width)
 
@@ -123,7 +123,7 @@ def test_graded_junk(spark):
     judged = quality.judge(both, ["kind"]).filter("not _q_base_failed")
     kept = {r.kind: r.share for r in judged.groupBy("kind").agg(F.avg(F.col("_q_kept").cast("int")).alias("share")).collect()}
     assert kept["clean"] >= 0.97 and kept["shuffled"] >= 0.8   # characters within words don't tell the order of words
-    assert kept["half"] == 0 and kept["quarter"] <= 0.1 and kept["mixed"] <= 0.2 and kept["tenth"] <= 0.7
+    assert kept["half"] == 0 and kept["quarter"] <= 0.1 and kept["mixed"] <= 0.2 and kept["tenth"] <= 0.9
 
 
 def test_odd_rows(odd):

@@ -245,7 +245,7 @@ def score(docs: DataFrame, keep: list[str], text: str, lang: str, arrays, slots:
                        F.col(f"`{text}`").alias("_q_text")).mapInArrow(run, schema)
 
 
-def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", spread: float = 6.0,
+def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", spread: float = 8.0,
           least: float = 0.005, slots: int = SLOTS) -> DataFrame:
     """``keep`` columns, statistics, ``_q_logppl``, the band ``_q_low`` and ``_q_high``,
     ``_q_base_failed`` and ``_q_kept`` of every row."""

@@ -13,8 +13,10 @@ vantage-point tree for each half, a metric space of its own in which balls are s
   ``block`` homes and queries at most (larger shards become a grid of blocks), and gives
   stars that connect what its links connect, never all pairs of a group.
 
-The depth follows the number of fingerprints, so shards stay small as data grow.  Equal texts
-fall together before the search: nodes are distinct fingerprints with their row counts.
+The depth follows the number of fingerprints up to ``sample / 16`` shards (16.8 million fingerprints
+with the defaults); beyond that shards grow with the data, in blocks of bounded size, and the work in a
+shard with its square, so ``sample`` has to be raised with them.  Equal texts fall together before the
+search: nodes are distinct fingerprints with their row counts.
 
 Defined results: null and empty texts have fingerprint zero, linked like any other; null doc_ids
 are kept and never become a component's id unless a component has no other; repeated rows each
