@@ -2,7 +2,6 @@
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from trendlens.streaming import running as S
@@ -83,8 +82,14 @@ def test_top_k_within_keys(spark):
     counts = spark.createDataFrame([("US", "a", 3), ("US", "b", 3), ("US", "c", 9), ("CA", "z", 1)], "region string, tag string, count long")
     got = [(r.region, r.tag, r["rank"]) for r in S.running_top_k(counts, "tag", 2, ["region"]).orderBy("region", "rank").collect()]
     assert got == [("CA", "z", 1), ("US", "c", 1), ("US", "a", 2)]
-    with pytest.raises(ValueError):
-        S.running_top_k(counts, "tag", S.MOST_PER_KEY + 1, ["region"])
+    many = spark.range(4000).select(F.when(F.col("id") % 3 > 0, "US").alias("region"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("tag"),
+                                    (F.col("id") % 50).alias("count"))
+    k = S.MOST_PER_KEY + 100
+    want = []
+    for region in (None, "US"):
+        rows = sorted(((r["count"], r.tag) for r in many.collect() if r.region == region), key=lambda x: (-x[0], x[1]))[:k]
+        want += [(region, tag, n, i) for i, (n, tag) in enumerate(rows, 1)]
+    assert {tuple(r) for r in S.running_top_k(many, "tag", k, ["region"]).collect()} == set(want) and len(want) == 1334 - 234 + 1100
 
 
 def test_stop_all_stops_a_running_query(spark, tmp_dir):

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.columns import decode_json, split_pipe
+from ..operators.rank import cumulative_before
 from ..session import ensure_checkpoint_dir, scratch_path
 
 # Payload of one event (15 nullable fields) and the topics' prefix: fixed values of the input.
@@ -143,13 +144,19 @@ def running_top_k(counts: DataFrame, key: str, k: int,
     """T4: top k of a snapshot of running counts, within each of ``keys`` if given.
 
     Without ``keys`` per-task heaps of k rows are merged; with keys each task
-    passes on its first k of each group (for k up to ``MOST_PER_KEY``).
+    passes on its first k of each group, for k up to ``MOST_PER_KEY``.  Beyond that
+    all rows are ranked in one distributed order, so no group meets in one task.
     """
     order = [F.col("count").desc(), F.col(key).asc()]
     if not keys:
         return counts.orderBy(*order).limit(k)
     if k > MOST_PER_KEY:
-        raise ValueError(f"k is {MOST_PER_KEY} at most with keys")
+        ranked = cumulative_before(counts, [*[F.asc_nulls_first(c) for c in keys], *order], out="_tl_ahead")
+        own = [f"_tl_k{i}" for i in range(len(keys))]
+        starts = ranked.groupBy(*[F.col(c).alias(o) for c, o in zip(keys, own)]).agg(F.min("_tl_ahead").alias("_tl_start"))
+        both = ranked.join(starts, [F.col(c).eqNullSafe(F.col(o)) for c, o in zip(keys, own)])
+        return both.withColumn("rank", (F.col("_tl_ahead") - F.col("_tl_start") + 1).cast("int")) \
+            .where(F.col("rank") <= k).select(*counts.columns, "rank")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return counts.withColumn("rank", rank).where(F.col("rank") <= k)
 
