@@ -57,6 +57,36 @@ def test_placement_takes_the_least_sum_of_squares():
         assert int((packer.count[1:16] ** 2).sum()) == best
 
 
+def test_only_the_emptiest_windows_are_cut_up():
+    """What stands in a window at the end stays together, but for windows emptied into the gaps."""
+    packer = packing.Packer(0)
+    rng = np.random.default_rng(2)
+    for i in range(3000):
+        packer.add(i, np.zeros(int(rng.integers(1, 1024)), np.uint32))
+    before = sorted((sorted((p[0], p[1]) for p in pieces) for level in reversed(packer.open) for pieces in level), key=str)
+    fills = sorted(h for h, level in enumerate(packer.open) for _ in level)
+    gaps, torn, k = sum(1024 - h for h in fills), 0, 0
+    while k < len(fills) and torn < gaps - 1024:
+        torn, gaps, k = torn + fills[k], gaps - (1024 - fills[k]), k + 1
+    packer.end()
+    where = defaultdict(set)
+    for r in packer.rows:
+        where[r[0], r[1]].add(r[5])
+    apart = [w for w in before if not set.intersection(*(where[p] for p in w))]
+    assert len(apart) <= k + 1 and packer.moved <= torn + 2 * 1024
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=80), st.integers(1, 12))
+def test_open_windows_stay_bounded(lengths, max_open):
+    packer = packing.Packer(0, window=32, max_open=max_open)
+    for i, n in enumerate(lengths):
+        packer.add(i, np.zeros(n, np.uint32))
+        levels = [sum(len(p[2]) for p in pieces) for level in packer.open for pieces in level]
+        assert packer.n_open == len(levels) <= max_open
+        assert levels == [h for h, c in enumerate(packer.count) for _ in range(c)]
+
+
 def test_ids_are_those_of_the_tokenizer_file(documents):
     tokens = packing.tokens_of(packing.default_tokenizer())
     for x in [r.text for r in documents.collect()] + ["", "a <|endoftext|> b", "<|endoftext|>", "  \n\t x’é中 \u0000"]:

@@ -4,10 +4,14 @@ A document's ids and an end id are cut into whole windows and a rest of ``r < wi
 rest goes to the fill level ``h`` (0 is a new window) that leaves the sum over all levels of
 squared counts of partially filled windows least; a level array holds those counts.  Each Spark
 partition packs its own documents in one pass without a shuffle: a window's number is
-(partition, window in it).  At the end of a partition, and whenever ``max_open`` windows are open
-(that bounds a task's memory), the ids in open windows are cut anew: they fill windows one after
-another, and what is left at the very end goes into windows of power-of-two length, which need no
-padding.  So the padding is zero whatever the lengths.
+(partition, window in it).  Of levels that leave an equal sum the fullest is taken, and there the
+window touched last.
+
+At the end of a partition open windows keep what was placed in them, and their gaps are filled,
+the fullest window's first, by cutting up the emptiest windows; the one that is left over goes into
+windows of power-of-two length, which need no padding.  Beyond ``max_open`` open windows (that
+bounds a task's memory) the same is done until half of them are left.  So the padding is zero
+whatever the lengths, and only the ids of the emptiest windows are placed twice (``moved``).
 
 Ids are those of the tokenizer file through the ``tokenizers`` library.  That library needs more
 CPU here than packing may take in all, so texts without the file's special-token strings go through
@@ -78,14 +82,15 @@ class Packer:
     """Sum-of-squares placement of one partition's documents.
 
     ``count[h]`` is the number of open windows with ``h`` ids, ``open[h]`` their content: lists of
-    (doc_id, start, ids, doc_tokens).  Closed windows' rows gather in ``rows``.
+    (doc_id, start, ids, doc_tokens).  Closed windows' rows gather in ``rows``; ``moved`` counts the
+    ids that were placed once more to fill a gap.
     """
 
     def __init__(self, first_id: int, window: int = WINDOW, max_open: int = MAX_OPEN):
         self.window, self.max_open = window, max_open
         self.count = np.zeros(window + 1, np.int64)
         self.open: list[list] = [[] for _ in range(window + 1)]
-        self.next_id, self.n_open = first_id, 0
+        self.next_id, self.n_open, self.moved = first_id, 0, 0
         self.rows: list[tuple] = []
 
     def add(self, doc_id, ids: np.ndarray) -> None:
@@ -119,7 +124,7 @@ class Packer:
         c[h + s] += 1
         self.n_open += 1
         if self.n_open > self.max_open:
-            self._recut(last=False)
+            self._fill(keep=self.max_open // 2)
 
     def _close(self, pieces: list[tuple]) -> None:
         offset = 0
@@ -128,33 +133,55 @@ class Packer:
             offset += len(ids)
         self.next_id += 1
 
-    def _recut(self, last: bool) -> None:
-        held = [p for level in reversed(self.open) for pieces in level for p in pieces]
+    def _fill(self, keep: int) -> None:
+        """Fill the fullest open windows with the ids of the emptiest until ``keep`` are left."""
+        held = [pieces for level in reversed(self.open) for pieces in level]  # the fullest first
         self.count[:] = 0
         self.open = [[] for _ in range(self.window + 1)]
-        self.n_open = 0
-        left = sum(len(p[2]) for p in held)
-        held.reverse()
-        while held:
-            if left < self.window and not last:
-                for p in reversed(held):
-                    self._place(p)
-                return
-            size = self.window if left >= self.window else 1 << (left.bit_length() - 1)
+        first, last, spare = 0, len(held), []
+        while first < last and (spare or last - first > keep):
+            pieces = held[first]
+            first += 1
+            gap = self.window - sum(len(p[2]) for p in pieces)
+            while gap and (spare or first < last):
+                if not spare:
+                    last -= 1
+                    spare = held[last][::-1]
+                doc_id, start, ids, n = spare.pop()
+                if len(ids) > gap:
+                    spare.append((doc_id, start + gap, ids[gap:], n))
+                    ids = ids[:gap]
+                pieces.append((doc_id, start, ids, n))
+                gap -= len(ids)
+                self.moved += len(ids)
+            if gap:
+                spare = pieces[::-1]
+            else:
+                self._close(pieces)
+        for pieces in [*held[first:last], *([spare[::-1]] if spare else [])]:
+            level = sum(len(p[2]) for p in pieces)
+            self.open[level].append(pieces)
+            self.count[level] += 1
+        self.n_open = int(self.count.sum())
+
+    def end(self) -> None:
+        self._fill(keep=0)
+        spare = [p for level in self.open for pieces in level for p in reversed(pieces)]  # one window's
+        left = sum(len(p[2]) for p in spare)
+        self.moved += left
+        while left:
+            size = 1 << (left.bit_length() - 1)
             left -= size
             pieces = []
             while size:
-                doc_id, start, ids, n = held.pop()
+                doc_id, start, ids, n = spare.pop()
                 if len(ids) > size:
-                    held.append((doc_id, start + size, ids[size:], n))
+                    spare.append((doc_id, start + size, ids[size:], n))
                     ids = ids[:size]
                 pieces.append((doc_id, start, ids, n))
                 size -= len(ids)
             self._close(pieces)
 
-    def end(self) -> None:
-        self._recut(last=True)
-
     def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
         names = [c.split()[0] for c in PIECES.split(", ")]
