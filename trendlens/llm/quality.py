@@ -1,17 +1,18 @@
 """Quality rules: text statistics and n-gram perplexity under a modified Kneser-Ney model.
 
-The model is over the characters inside words (order 5, a word begins anew): tables of word
-n-grams would outgrow the corpus on open vocabularies, while a word's characters have few
-contexts and every text is judged alike.  Spark counts the n-grams of every word of every text for
-each language; lower orders hold continuation counts; each order's three discounts come from its
-counts of counts.  Probabilities are interpolated from the lowest order up, as tables.  Where a
-count is 1, the text that is judged is all that speaks for the n-gram: it is left out and scored as
-unseen, by its context's back-off weight, or else unheard-of texts would look familiar.
-
-For scoring, the tables become sorted hash arrays: (language, n-gram) hashes to one of ``SLOTS``
-slots, a slot holds a log probability (the mean where n-grams collide), and contexts' back-off
-weights have ``SLOTS / 4``.  The number of slots bounds what is broadcast, whatever the corpus.
-Each task scores a distinct word once and looks up the rest.
+The model is over the characters of whole texts (order 5; a run of white space is one blank), so
+n-grams run on from word to word: tables of word n-grams would outgrow the corpus on open
+vocabularies, while characters have few contexts and every text is judged alike.  No two characters
+share a symbol: rarer scripts' code points are two symbols each.  Spark counts the n-grams of every
+text for each language; lower orders hold continuation counts; each language's order has three
+discounts from its own counts of counts.  Probabilities are interpolated from the lowest order up, as tables.
+Where a count is 1, the text that is judged is all that speaks for the n-gram: it is left out and
+scored as unseen, by its context's back-off weight, or else unheard-of texts would look familiar.
+
+Every n-gram of every text has been counted, so the tables end in one log probability for each
+(language, n-gram), back-off included.  For scoring they become sorted hash arrays: 64-bit hashes in
+order and their values, as many as were counted.  An array holds ``HELD`` entries at most; a larger
+model is dealt by hash into several arrays, each a pass over the texts, and a text's sums are added.
 
 A language's band is the median of its documents' log perplexity per character and ``spread`` robust
 deviations (the quartiles' distance over 1.349, ``least`` at least) on either side, so its width is the
@@ -19,7 +20,7 @@ language's own; documents outside are rejected, as are those that break the base
 
 Defined results: null and empty texts have no words and fail the base rules; null languages form
 one group; repeated rows each get a row; an empty table gives no rows; carried columns keep their
-names and the operator's own begin with ``_q_``, so names can't clash.
+names, which must not begin with ``_q_`` as the operator's own do.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from __future__ import annotations
 import functools
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,10 @@ from .common import join_hot, table, written
 
 ORDER = 5
 BITS = 12  # a symbol's bits in a packed n-gram
-SLOTS = 1 << 24
-WORDS_HELD = 300_000
+LEAD = 3800  # code points from here on are two symbols
+PIECE = 1 << 20  # characters worked on at once
+COUNTS_HELD = 1 << 22  # distinct n-grams of a piece that a task holds before it merges them
+HELD = 1 << 24  # entries of a hash array, 12 bytes each
 BLANK = "\x20\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -61,205 +65,225 @@ def text_stats(text: str, words: list[bytes]) -> tuple[int, int, int, int, int]:
     return len(words), chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated
 
 
-def packed_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Every n-gram that ends in a character or the end of a word, packed in 60 bits, and the
-    number of n-grams of each word.  Code points fold into 12 bits; 0 is the word's border."""
-    text = b"\n".join(words).decode("utf-8", "replace") + "\n"
-    cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    symbol = np.where(cp < 2048, cp, 2048 + cp % 2048).astype(np.uint64)
-    ends = np.nonzero(cp == 10)[0]
-    symbol[ends] = 0
-    size = np.diff(np.concatenate(([-1], ends)))
-    # How many symbols of the own word precede each position; beyond that stand borders.
-    place = np.arange(len(cp)) - np.repeat(ends - size + 1, size)
+def pieces(rows: Iterator[tuple]) -> Iterator[tuple[list, list[str]]]:
+    """(key, words) rows as lists of keys and pieces of about ``PIECE`` characters together: four borders or
+    the four characters before, then the text's characters, one border at its end."""
+    keys, parts, size = [], [], 0
+    for key, words in rows:
+        if not words:
+            continue
+        text = b" ".join(words).decode("utf-8", "replace") + "\n"
+        before = "\n" * (ORDER - 1)
+        for at in range(0, len(text), PIECE):
+            keys.append(key)
+            parts.append(before + text[at:at + PIECE])
+            before = text[at + PIECE - ORDER + 1:at + PIECE]
+            size += len(parts[-1])
+            if size >= PIECE:
+                yield keys, parts
+                keys, parts, size = [], [], 0
+    if keys:
+        yield keys, parts
+
+
+def packed_grams(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends in each character of each piece but for its first four, packed in 60
+    bits, and the number of n-grams of each piece.  Symbol 0 is a text's border."""
+    size = np.array([len(x) for x in parts])
+    cp = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    own = np.ones(len(cp), bool)
+    begins = np.cumsum(size) - size
+    for k in range(ORDER - 1):
+        own[begins + k] = False
+    piece = np.repeat(np.arange(len(size)), size)
+    symbol = np.where(cp == 10, 0, cp + 1)
+    wide = cp >= LEAD
+    if wide.any():
+        times = 1 + wide
+        first = np.cumsum(times) - times
+        symbol, own, piece = (np.repeat(x, times) for x in (symbol, own, piece))
+        symbol[first[wide]] = LEAD + 1 + (cp[wide] >> BITS)
+        symbol[first[wide] + 1] = cp[wide] & ((1 << BITS) - 1)
     gram = symbol.copy()
     for k in range(1, ORDER):
-        before = np.zeros_like(symbol)
-        before[k:] = symbol[:-k]
-        before[place < k] = 0
-        gram |= before << np.uint64(BITS * k)
-    return gram.view(np.int64), size
+        gram[k:] |= symbol[:-k] << (BITS * k)
+    return gram[own], np.bincount(piece[own], minlength=len(size))
 
 
-def slot_of(lang: int, order: int, gram: np.ndarray, slots: int) -> np.ndarray:
-    x = gram.view(np.uint64) * np.uint64(8) + np.uint64(order)
-    x ^= np.uint64(lang * 0x9E3779B97F4A7C15 % (1 << 64))
+def hashed(lang: np.ndarray | int, gram: np.ndarray) -> np.ndarray:
+    """64-bit hashes of (language, n-gram)."""
+    x = gram.astype(np.uint64) ^ (np.atleast_1d(lang).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x ^ (x >> np.uint64(31))) % np.uint64(slots)).astype(np.int32)
+    return x ^ (x >> np.uint64(31))
 
 
 def lang_id(lang: str | None) -> int:
     return zlib.crc32((lang or "").encode())
 
 
+def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    gram, n = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(gram)
+    gram = gram[order]
+    first = np.nonzero(np.concatenate(([True], gram[1:] != gram[:-1])))[0]
+    return gram[first], np.add.reduceat(n[order], first)
+
+
 def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(lang, gram, c): counts of the highest order over all words of all texts."""
+    """(lang, gram, c): counts of the highest order over all texts."""
     def run(batches):
-        words: dict[int, Counter] = defaultdict(Counter)
-
-        def flush():
-            for key, held in words.items():
-                gram, size = packed_grams(list(held))
-                n = np.repeat(np.fromiter(held.values(), np.int64, len(held)), size)
-                order = np.argsort(gram)
-                gram = gram[order]
-                first = np.nonzero(np.concatenate(([True], gram[1:] != gram[:-1])))[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(first), key)), pa.array(gram[first]), pa.array(np.add.reduceat(n[order], first))],
-                    ["lang", "gram", "c"])
-            words.clear()
-
-        for batch in batches:
-            for code, x in zip(batch.column("_lang").to_pylist(), batch.column("_text")):
-                words[lang_id(code)].update((x.as_py() or "").encode().split())
-                if sum(map(len, words.values())) > WORDS_HELD:
-                    yield from flush()
-        yield from ((x for x in flush() if x.num_rows) if any(words.values()) else ())
+        held: dict[int, list] = defaultdict(list)
+
+        def rows():
+            for batch in batches:
+                for code, x in zip(batch.column("_lang").to_pylist(), batch.column("_text")):
+                    yield lang_id(code), (x.as_py() or "").encode().split()
+
+        def flush(least: int):
+            """Merge what is held; give it out if it is still ``least`` or more."""
+            for key, counts in held.items():
+                held[key] = [merged(counts)]
+            if sum(len(x[0][0]) for x in held.values()) >= least:
+                for key, [(gram, n)] in held.items():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), key)), pa.array(gram), pa.array(n)], ["lang", "gram", "c"])
+                held.clear()
+
+        for keys, parts in pieces(rows()):
+            gram, size = packed_grams(parts)
+            code = np.repeat(np.array(keys), size)
+            for key in set(keys):
+                held[key].append(np.unique(gram[code == key], return_counts=True))
+            if sum(len(g) for x in held.values() for g, _ in x) > COUNTS_HELD:
+                yield from flush(COUNTS_HELD // 2)
+        yield from flush(1)
 
     return docs.select(F.col(f"`{lang}`").alias("_lang"), F.col(f"`{text}`").alias("_text")) \
         .mapInArrow(run, "lang long, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
 
 
-def kneser_ney(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, k, gram, logp) and (lang, k, gram = context, logg): interpolated log probabilities
-    of each order's n-grams and the log back-off weights of its contexts."""
+def discounts(counts: DataFrame) -> DataFrame:
+    """(lang, n, d): each language's number of n-grams and its three discounts."""
+    n = [F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]
+    y = F.when((n[0] > 0) & (n[1] > 0), F.try_divide(n[0], n[0] + 2 * n[1])).otherwise(0.5)
+    d = [F.least(F.greatest(i - (i + 1) * y * F.coalesce(F.try_divide(n[i], n[i - 1]), F.lit(1.0)), F.lit(0.1)), F.lit(i - 0.1)) for i in (1, 2, 3)]
+    return counts.groupBy("lang").agg(F.count("*").alias("n"), F.array(*d).alias("d"))
+
+
+def kneser_ney(grams: DataFrame) -> DataFrame:
+    """(lang, gram, v): the interpolated log probability of every n-gram of the highest order, or
+    the one it backs off to if it was counted once."""
     level = {ORDER: written(grams, "kn-counts")}
     for k in range(ORDER - 1, 0, -1):
         level[k] = written(level[k + 1].groupBy("lang", F.col("gram").bitwiseAND((1 << BITS * k) - 1).alias("gram")).agg(
             F.count("*").alias("c")), f"kn-counts-{k}")
-    below, probabilities, weights = None, [], []
+    below = None
     for k in range(1, ORDER + 1):
-        n = level[k].agg(*(F.count_if(F.col("c") == i) for i in (1, 2, 3, 4))).first()
-        y = n[0] / (n[0] + 2 * n[1]) if n[0] and n[1] else 0.5
-        d = [min(max(i - (i + 1) * y * (n[i] / n[i - 1] if n[i - 1] else 1.0), 0.1), i - 0.1) for i in (1, 2, 3)]
-        cut = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-        rows = level[k].withColumns({"context": F.shiftright("gram", BITS), "cut": cut})
-        context = written(rows.groupBy("lang", "context").agg(F.sum("c").alias("s"), (F.sum("cut") / F.sum("c")).alias("g")), f"kn-contexts-{k}")
+        own = written(discounts(level[k]), "kn-discounts")
+        total = own.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        rows = join_hot(level[k], own, "lang", "n", total).select(
+            "lang", "gram", "c", F.shiftright("gram", BITS).alias("context"), F.get("d", F.least("c", F.lit(3)).cast("int") - 1).alias("cut"))
+        rows = written(rows, f"kn-rows-{k}")
+        context = rows.groupBy("lang", "context").agg(F.sum("c").alias("s"), (F.sum("cut") / F.sum("c")).alias("g"))
         rows = rows.join(context, ["lang", "context"])
         if below is None:
-            rows = rows.withColumn("p0", F.lit(1.0 / (1 << BITS)))
+            rows = rows.withColumns({"p0": F.lit(1.0 / (1 << BITS)), "v0": F.log(F.lit(1.0 / (1 << BITS)))})
         else:
             rows = rows.withColumn("suffix", F.col("gram").bitwiseAND((1 << BITS * (k - 1)) - 1)).join(
-                below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("p0")), ["lang", "suffix"])
-        below = written(rows.select("lang", "gram", "c", ((F.col("c") - F.col("cut")) / F.col("s") + F.col("g") * F.col("p0")).alias("p")), f"kn-{k}")
-        probabilities.append(below.filter("c > 1").select("lang", F.lit(k).alias("k"), "gram", F.log("p").alias("v")))
-        weights.append(context.select("lang", F.lit(k).alias("k"), F.col("context").alias("gram"), F.log("g").alias("v")))
-    union = lambda x: functools.reduce(DataFrame.unionByName, x)
-    return union(probabilities), union(weights)
+                below.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("p0"), F.col("v").alias("v0")), ["lang", "suffix"])
+        p = (F.col("c") - F.col("cut")) / F.col("s") + F.col("g") * F.col("p0")
+        below = written(rows.select("lang", "gram", p.alias("p"), F.when(F.col("c") > 1, F.log(p)).otherwise(F.log("g") + F.col("v0")).alias("v")), f"kn-{k}")
+    return below.select("lang", "gram", "v")
 
 
-def hash_array(rows: DataFrame, slots: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted slots and their values: at most ``slots`` entries reach the driver."""
+def hash_array(rows: DataFrame, part: int = 0, parts: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and values of a model, or of the part of it that has this remainder."""
     def run(batches):
         for b in batches:
-            lang, k, gram = (b.column(c).to_numpy() for c in ("lang", "k", "gram"))
-            slot = np.zeros(len(gram), np.int32)
-            for key in np.unique(np.stack((lang, k), 1), axis=0).tolist():
-                own = (lang == key[0]) & (k == key[1])
-                slot[own] = slot_of(key[0], key[1], gram[own], slots)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), b.column("v")], ["slot", "v"])
-
-    got = rows.mapInArrow(run, "slot int, v double").groupBy("slot").agg(F.avg("v").cast("float").alias("v")).toArrow()
-    slot, v = got.column("slot").to_numpy(), got.column("v").to_numpy()
-    order = np.argsort(slot)
-    return slot[order], v[order]
-
-
-class Scorer:
-    """Log probabilities of words from the sorted hash arrays, each distinct word once."""
-
-    def __init__(self, arrays: tuple, slots: int):
-        (self.slot, self.logp), (self.cslot, self.logg) = arrays
-        self.slots = slots
-        self.known: dict[int, dict[bytes, float]] = defaultdict(dict)
-
-    def _find(self, keys: np.ndarray, values: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(keys):
-            return np.zeros(len(slot), bool), np.zeros(len(slot), np.float32)
-        at = np.minimum(np.searchsorted(keys, slot), len(keys) - 1)
-        return keys[at] == slot, values[at]
-
-    def gram_logp(self, lang: int, gram: np.ndarray) -> np.ndarray:
-        out, todo, back = np.zeros(len(gram)), np.arange(len(gram)), np.zeros(len(gram))
-        for k in range(ORDER, 0, -1):
-            own = gram[todo] & ((1 << BITS * k) - 1)
-            hit, v = self._find(self.slot, self.logp, slot_of(lang, k, own, self.slots))
-            out[todo[hit]] = v[hit] + back[todo[hit]]
-            todo, own = todo[~hit], own[~hit]
-            if not len(todo):
-                return out
-            seen, g = self._find(self.cslot, self.logg, slot_of(lang, k, own >> BITS, self.slots // 4))
-            back[todo] += np.where(seen, g, 0.0)
-        out[todo] = back[todo] - np.log(1 << BITS)
-        return out
-
-    def trim(self) -> None:
-        """Forget the words held once they are many, over all languages."""
-        if sum(map(len, self.known.values())) > WORDS_HELD:
-            self.known.clear()
+            key = hashed(b.column("lang").to_numpy(), b.column("gram").to_numpy())
+            own = key % np.uint64(parts) == part
+            yield pa.RecordBatch.from_arrays([pa.array(key[own].view(np.int64)), pa.array(b.column("v").to_numpy()[own].astype(np.float32))], ["key", "v"])
 
-    def learn(self, lang: int, words: set[bytes]) -> None:
-        known = self.known[lang]
-        new = [w for w in words if w not in known]
-        if new:
-            gram, size = packed_grams(new)
-            uniq, at = np.unique(gram, return_inverse=True)
-            total = np.add.reduceat(self.gram_logp(lang, uniq)[at], np.cumsum(size) - size)
-            known.update(zip(new, total.tolist()))
+    got = rows.mapInArrow(run, "key long, v float").toArrow()
+    key, v = got.column("key").to_numpy().view(np.uint64), got.column("v").to_numpy()
+    order = np.argsort(key)
+    return key[order], v[order]
 
 
-def score(docs: DataFrame, keep: list[str], text: str, lang: str, arrays, slots: int) -> DataFrame:
-    """``keep`` columns, ``_q_lang``, the statistics and ``_q_logppl`` (null without words)."""
-    names = [*(f"_q_{s}" for s in STATS)]
-    spread = docs.sparkSession.sparkContext.broadcast(arrays)
+def log_sums(array: tuple, codes: list[int], words: list[list[bytes]]) -> np.ndarray:
+    """For each text the sum of the log probabilities that the array holds of its n-grams."""
+    keys, values = array
+    out = np.zeros(len(words))
+    if not len(keys):
+        return out
+    for rows, parts in pieces(enumerate(words)):
+        gram, size = packed_grams(parts)
+        code = np.repeat(np.array([codes[r] for r in rows]), size)
+        found = np.zeros(len(gram))
+        for key in set(code.tolist()):
+            own = code == key
+            uniq, back = np.unique(gram[own], return_inverse=True)
+            h = hashed(key, uniq)
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            found[own] = np.where(keys[at] == h, values[at], 0.0)[back]
+        out += np.bincount(np.repeat(np.array(rows), size), found, len(out))
+    return out
+
+
+def score(docs: DataFrame, keep: list[str], spread, stats: bool = True) -> DataFrame:
+    """``keep`` columns, ``_q_logp``, the sum over the broadcast array, and ``_q_lang`` and the statistics if asked for."""
+    names = [f"_q_{s}" for s in STATS] if stats else []
+    keep = [*keep, "_q_lang"] if stats else keep
 
     def run(batches):
-        scorer = Scorer(spread.value, slots)
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
                 texts = [x or "" for x in part.column("_q_text").to_pylist()]
-                langs = [lang_id(x) for x in part.column("_q_lang").to_pylist()]
                 words = [x.encode().split() for x in texts]
-                scorer.trim()
-                by_lang: dict[int, set] = defaultdict(set)
-                for code, own in zip(langs, words):
-                    by_lang[code].update(own)
-                for code, own in by_lang.items():
-                    scorer.learn(code, own)
-                stats, ppl = [], []
-                for code, x, own in zip(langs, texts, words):
-                    stats.append(text_stats(x, own))
-                    known = scorer.known[code]
-                    n = stats[-1][1] + len(own)
-                    ppl.append(-sum([known[w] for w in own]) / n if own else None)
-                columns = list(zip(*stats))
+                sums = log_sums(spread.value, [lang_id(x) for x in part.column("_q_lang").to_pylist()], words)
+                columns = list(zip(*map(text_stats, texts, words))) if stats else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(k) for k in (*keep, "_q_lang")), *(pa.array(c, pa.int64()) for c in columns), pa.array(ppl, pa.float64())],
-                    [*keep, "_q_lang", *names, "_q_logppl"])
-
-    schema = T.StructType([docs.schema[k] for k in keep] + [T.StructField("_q_lang", T.StringType())]
-                          + [T.StructField(n, T.LongType()) for n in names] + [T.StructField("_q_logppl", T.DoubleType())])
-    return docs.select(*[F.col(f"`{k}`") for k in keep], F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("_q_lang"),
-                       F.col(f"`{text}`").alias("_q_text")).mapInArrow(run, schema)
-
-
-def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", spread: float = 8.0,
-          least: float = 0.005, slots: int = SLOTS) -> DataFrame:
-    """``keep`` columns, statistics, ``_q_logppl``, the band ``_q_low`` and ``_q_high``,
+                    [*(part.column(k) for k in keep), *(pa.array(c, pa.int64()) for c in columns), pa.array(sums)], [*keep, *names, "_q_logp"])
+
+    schema = T.StructType([docs.schema[k] for k in keep] + [T.StructField(n, T.LongType()) for n in names] + [T.StructField("_q_logp", T.DoubleType())])
+    return docs.mapInArrow(run, schema)
+
+
+def scored(docs: DataFrame, keep: list[str], model: DataFrame, held: int) -> DataFrame:
+    """``score`` under the whole model, one pass over the texts for each ``held`` of its entries."""
+    sc = docs.sparkSession.sparkContext
+    parts = max(1, -(-model.count() // held))
+    if parts > 1:
+        docs = written(docs.withColumn("_q_row", F.monotonically_increasing_id()), "quality-rows")
+    done = []
+    for i in range(parts):
+        spread = sc.broadcast(hash_array(model, i, parts))
+        done.append(written(score(docs, [*([] if i else keep), *(["_q_row"] if parts > 1 else [])], spread, not i), "quality"))
+        spread.unpersist()
+    if parts == 1:
+        return done[0]
+    sums = functools.reduce(DataFrame.unionByName, [x.select("_q_row", "_q_logp") for x in done]).groupBy("_q_row").agg(F.sum("_q_logp").alias("_q_logp"))
+    return written(done[0].drop("_q_logp").join(sums, "_q_row").drop("_q_row"), "quality")
+
+
+def judge(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", spread: float = 6.0,
+          least: float = 0.005, held: int = HELD) -> DataFrame:
+    """``keep`` columns, statistics, ``_q_logppl`` (null without words), the band ``_q_low`` and ``_q_high``,
     ``_q_base_failed`` and ``_q_kept`` of every row."""
-    probabilities, weights = kneser_ney(count_grams(docs, text, lang))
-    arrays = hash_array(probabilities, slots), hash_array(weights, slots // 4)
-    scored = written(score(docs, keep, text, lang, arrays, slots), "quality")
+    model = kneser_ney(count_grams(docs, text, lang))
+    rows = docs.select(*[F.col(f"`{k}`") for k in keep], F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("_q_lang"), F.col(f"`{text}`").alias("_q_text"))
+    rows = scored(rows, keep, model, held)
+    per_char = F.when(F.col("_q_n_words") > 0, -F.col("_q_logp") / (F.col("_q_word_chars") + F.col("_q_n_words")))
+    rows = rows.withColumn("_q_logppl", per_char).drop("_q_logp")
     q = F.percentile_approx("_q_logppl", [0.25, 0.5, 0.75], 10000)
-    bands = scored.groupBy("_q_lang").agg(F.count("*").alias("_q_n"), q.alias("_q_q"))
+    bands = rows.groupBy("_q_lang").agg(F.count("*").alias("_q_n"), q.alias("_q_q"))
     width = spread * F.greatest((F.col("_q_q")[2] - F.col("_q_q")[0]) / 1.349, F.lit(least))
     bands = written(bands.select("_q_lang", "_q_n", (F.col("_q_q")[1] - width).alias("_q_low"), (F.col("_q_q")[1] + width).alias("_q_high")), "bands")
     total = bands.agg(F.coalesce(F.sum("_q_n"), F.lit(0))).first()[0]
     failed = (F.col("_q_n_words") < 50) | (100 * F.col("_q_n_repeat_words") > 50 * F.col("_q_n_words"))
     inside = F.coalesce(F.col("_q_logppl").between(F.col("_q_low"), F.col("_q_high")), F.lit(False))
-    return join_hot(scored, bands, "_q_lang", "_q_n", total).withColumn("_q_base_failed", failed) \
+    return join_hot(rows, bands, "_q_lang", "_q_n", total).withColumn("_q_base_failed", failed) \
         .withColumn("_q_kept", ~F.col("_q_base_failed") & inside)
 
 
