@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from trendlens.plans import streams
 from trendlens.streaming import running as S
 
 from .conftest import SF_SMALL
@@ -191,3 +192,19 @@ def test_changes_between_two_looks(spark, tmp_dir):
     got = {(r.event_type, r.batch_id, r["count"]) for r in S.changes(spark, "", 1, checkpoint=chk).collect()}
     assert got == {("a", 1, 2)}
     assert {(r.event_type, r.batch_id) for r in S.changes(spark, "", 0, 0, checkpoint=chk).collect()} == {("a", 0), ("b", 0)}
+
+
+def _folder_tables(spark, tmp_dir):
+    """documents and events of eight rows each, as folders of two part files."""
+    docs = spark.createDataFrame([(i, "en" if i < 5 else None, f"s{i % 4}") for i in range(8)], "doc_id long, lang string, source string")
+    docs.repartition(2).write.parquet(os.path.join(tmp_dir, "documents.parquet"))
+    events = spark.createDataFrame([(i, f"t{i % 3}", '{"k": 1}') for i in range(8)], "event_id long, event_type string, props string")
+    events.repartition(2).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    return docs, events
+
+
+def test_running_counts_of_tables_that_are_folders(spark, tmp_dir):
+    docs, events = _folder_tables(spark, tmp_dir)
+    got = streams.q_running_counts_by_region(spark, tmp_dir).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in docs.groupBy("lang", "source").count().collect()} and len(got) == 7
+    assert {tuple(r) for r in streams.q_running_counts_by_type(spark, tmp_dir).collect()} == set(_batch_counts(events, "event_type").items())

@@ -20,7 +20,7 @@ from .registry import register
 
 def _events_stream(spark, sf_dir):
     schema = read_table(spark, sf_dir, "events").schema
-    ev = S.read_file_stream(spark, sf_dir, "events.parquet", schema)
+    ev = S.read_table_stream(spark, sf_dir, "events", schema)
     return ev.withColumn("tags", F.concat_ws("|", "event_type",
                                              F.get_json_object("props", "$.k")))
 
@@ -63,7 +63,7 @@ def q_running_top_k(spark, sf_dir):
 
 def _by_region(spark, sf_dir, prefix):
     schema = read_table(spark, sf_dir, "documents").schema
-    docs = S.read_file_stream(spark, sf_dir, "documents.parquet", schema)
+    docs = S.read_table_stream(spark, sf_dir, "documents", schema)
     events = docs.select(F.col("lang").alias("region"), F.col("source").alias("categoryTitle"))
     return _run(spark, S.running_counts_by_category(events), prefix)
 
