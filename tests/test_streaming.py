@@ -208,3 +208,9 @@ def test_running_counts_of_tables_that_are_folders(spark, tmp_dir):
     got = streams.q_running_counts_by_region(spark, tmp_dir).collect()
     assert {tuple(r) for r in got} == {tuple(r) for r in docs.groupBy("lang", "source").count().collect()} and len(got) == 7
     assert {tuple(r) for r in streams.q_running_counts_by_type(spark, tmp_dir).collect()} == set(_batch_counts(events, "event_type").items())
+
+
+def test_running_top_k_by_region_of_a_folder(spark, tmp_dir):
+    _folder_tables(spark, tmp_dir)
+    got = {tuple(r) for r in streams.q_running_top_k_by_region(spark, tmp_dir).collect()}
+    assert got == {("en", "s0", 2, 1), ("en", "s1", 1, 2), ("en", "s2", 1, 3), (None, "s1", 1, 1), (None, "s2", 1, 2), (None, "s3", 1, 3)}
