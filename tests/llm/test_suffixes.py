@@ -3,10 +3,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from trendlens.llm import suffixes
+from trendlens.llm import common, suffixes
 
 
 def brute(docs, length=200):
@@ -76,3 +77,19 @@ def test_matching_statistics_equal_brute_force(parts):
             own.append(best)
         expected.append(own)
     assert [x.tolist() for x in suffixes.matching_statistics(parts)] == expected
+
+
+def test_python_gets_bounded_batches(spark, documents):
+    """Rows of 20 kB: Spark's own batches would be of 40 MB."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    spark.conf.unset(common.BATCH_KEY)
+    suffixes.remove_repeats(documents.limit(2))
+    wide = spark.range(2000, numPartitions=1).selectExpr("repeat('text ', 4000) AS text")
+    assert 1 << 20 < wide.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0] < 1.1 * common.BATCH_BYTES
+    spark.conf.set(common.BATCH_KEY, 1 << 16)
+    common.small_batches(spark)
+    assert int(spark.conf.get(common.BATCH_KEY)) == 1 << 16  # a bound of the session's own stays
+    spark.conf.unset(common.BATCH_KEY)

@@ -14,6 +14,16 @@ from trendlens.session import new_scratch_path
 # HOT_SHARE keys are hot whatever the data: the broadcast in ``join_hot`` is bounded.
 HOT_SHARE = 1000
 
+# Bytes of rows that go to Python at once: Spark's 64 MB are held several times over in each task.
+BATCH_BYTES = 4 << 20
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on the session's Arrow batches hold ``BATCH_BYTES`` at most, unless it has a bound of its own."""
+    if spark.conf.get(BATCH_KEY, None) is None:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_hot, table, written
+from .common import join_hot, small_batches, table, written
 
 LENGTH = 200
 GRAM = 32  # a power of two
@@ -351,6 +351,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, sh
                    most: int = MOST) -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256) of every row: ``spans`` are the maximal removed byte
     ranges of the text, ``kept_sha256`` the digest of the bytes that stay."""
+    small_batches(docs.sparkSession)
     x = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), x.alias("text")).withColumn("key", F.xxhash64("text"))
     rows, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
