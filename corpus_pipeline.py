@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.llm import lines, packing, pii, quality, simhash
-from trendlens.llm.common import intermediates, table, written
+from trendlens.llm.common import intermediates, small_batches, table, written
 from trendlens.session import remove_path
 
 # By application: what the result of its last stage is made from.
@@ -42,6 +42,7 @@ def _stage(work: Callable) -> Callable:
     @functools.wraps(work)
     def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         _release(spark, docs)
+        small_batches(spark)
         with intermediates() as made:
             out = work(spark, docs, sf_dir)
         _made[spark.sparkContext.applicationId] = made

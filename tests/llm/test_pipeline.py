@@ -2,7 +2,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from trendlens.llm import lines, packing, pii, quality, simhash
-from trendlens.llm.common import written
+from trendlens.llm.common import BATCH_BYTES, BATCH_KEY, written
 
 from .test_lines import brute as brute_lines
 from .test_packing import verify
@@ -58,3 +58,11 @@ def test_run(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and {r.offset + r.length <= packing.WINDOW for r in rows} == {True}
     assert lines and simhash
+
+
+def test_every_stage_bounds_its_batches(spark, documents):
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset(BATCH_KEY)
+        stage(spark, documents.limit(3), "")
+        assert int(spark.conf.get(BATCH_KEY)) == BATCH_BYTES
+    spark.conf.unset(BATCH_KEY)
