@@ -2,7 +2,8 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import HashingTF, IDF, CountVectorizer, StringIndexer
+from pyspark.ml.feature import HashingTF, IDF, CountVectorizer, StringIndexer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from trendlens.ml import models as M
@@ -194,3 +195,39 @@ def test_vector_entries_of_sparse_dense_and_null(spark):
     df = spark.createDataFrame(rows, T.StructType([T.StructField("id", T.IntegerType()), T.StructField("v", VectorUDT())]))
     got = {r.id: r.e and [(e["index"], e["value"]) for e in r.e] for r in df.select("id", vector_entries("v").alias("e")).collect()}
     assert got == {1: [(2, 1.0), (5, 3.0)], 2: [(1, 4.0)], 3: None}
+
+
+def _rows_of_two_halves(spark, n=400):
+    rows = [(i, "ab"[i % 2] if i % 9 else None, f"c{i % 5}", ["t", f"t{i % 7}"], float(i % 10) + i % 3) for i in range(n)]
+    return spark.createDataFrame(rows, "video_id long, x string, y string, tags array<string>, likes double")
+
+
+def test_tree_fit_deals_wide_partitions(spark, monkeypatch):
+    """All rows in one partition: beyond the bound the learner gets them in several, with the same predictions."""
+    rows = _rows_of_two_halves(spark).coalesce(1)
+    data = VectorAssembler(inputCols=["video_id", "likes"], outputCol="features").transform(rows.withColumnRenamed("likes", "label").withColumn(
+        "likes", F.col("label") * 2))
+    assert M.dealt(rows, 100, 400 * 100) is rows
+    more = M.dealt(rows, 100, 40 * 100)
+    assert max(r["count"] for r in more.groupBy(F.spark_partition_id()).count().collect()) <= 60
+    assert more.exceptAll(rows).isEmpty() and more.count() == 400
+    fitted, fit = [], GBTRegressor.fit
+    monkeypatch.setattr(GBTRegressor, "fit", lambda self, d: fitted.append(d.select(F.spark_partition_id()).distinct().count()) or fit(self, d))
+    whole = M.train_gbt(data, max_iter=2, max_depth=3)
+    monkeypatch.setattr(M, "TASK_BYTES", 10 * 1000)
+    parts = M.train_gbt(data, max_iter=2, max_depth=3)
+    assert fitted[0] == 1 and fitted[1] > 4
+    got, want = ([r.prediction for r in m.transform(data).orderBy("video_id").collect()] for m in (parts, whole))
+    assert got == pytest.approx(want, rel=1e-9)
+
+
+def test_gbt_targets_deal_rows_before_they_are_held(spark, monkeypatch):
+    spec = FeatureSpec(num_features=64, categorical=("x",), tags_col="tags")
+    rows = _rows_of_two_halves(spark).coalesce(1)
+    plain = M.train_targets(rows, ["likes"], spec, kind="gbt").report.collect()
+    seen, dealt = [], M.dealt
+    monkeypatch.setattr(M, "TASK_BYTES", 50 * 1000)
+    monkeypatch.setattr(M, "dealt", lambda d, *a: seen.append(d.columns) or dealt(d, *a))
+    again = M.train_targets(rows, ["likes"], spec, kind="gbt").report.collect()
+    assert seen[0] == ["video_id", "x", "tags", "likes"] and len(seen) == 2
+    assert [r.n for r in again] == [r.n for r in plain] and again[0].rmse == pytest.approx(plain[0].rmse, rel=1e-9)

@@ -26,6 +26,21 @@ from .features import CATEGORICAL, FeatureSpec, Roles, build_features, fit_featu
 
 PAIR_TARGETS = ("comments_ratio", "likes_ratio")
 
+# What a task holds of the rows of a tree fit, and a row's bytes there beside four for each slot.
+TASK_BYTES = 256 << 20
+ROW_BYTES = 200
+
+
+def dealt(rows: DataFrame, row_bytes: int, task_bytes: int | None = None) -> DataFrame:
+    """``rows`` dealt anew in partitions of about ``task_bytes`` (default: ``TASK_BYTES``), if a row takes
+    ``row_bytes`` and one partition has more than that; else as they are.  Counts the rows, once."""
+    task_bytes = task_bytes or TASK_BYTES
+    counts = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = counts.agg(F.max("n"), F.sum("n")).first()
+    if not total or largest * row_bytes <= task_bytes:
+        return rows
+    return rows.repartition(max(-(-total * row_bytes // task_bytes), rows.sparkSession.sparkContext.defaultParallelism))
+
 
 # ----------------------------------------------------------------- training
 
@@ -40,10 +55,16 @@ def train_linear(train: DataFrame, label: str = "label", features: str = "featur
 
 def train_gbt(train: DataFrame, label: str = "label", features: str = "features",
               max_iter: int = 10, max_depth: int = 5, seed: int = 101):
-    """Gradient-boosted trees."""
+    """Gradient-boosted trees.
+
+    The learner holds every slot of a row as a number in its partition, so the rows are
+    dealt by the vectors' width: what one task reads does not grow with the rows.
+    """
     gbt = GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter,
                        maxDepth=max_depth, seed=seed)
-    return gbt.fit(train.where(F.col(label).isNotNull()))
+    rows = train.where(F.col(label).isNotNull()).select(features, label)
+    first = rows.first()
+    return gbt.fit(dealt(rows, ROW_BYTES + 4 * first[0].size) if first else rows)
 
 
 def rmse_r2(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -99,6 +120,8 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
     text = [spec.tags_col] if spec.text else []
     need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *targets])
     base = featurized.select(*need)
+    if kind == "gbt":  # before they are held: about as many rows a task as the learner will take
+        base = dealt(base, 5 * ROW_BYTES)
     if persist_input:  # the join and projections behind the features run once
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     train_raw, test_raw = split(base, split_key, 0.7, seed)
