@@ -379,7 +379,8 @@ def q_fold_sweep(spark, sf_dir):
 @register("gbt_means", "M10 A17", f"WITH {RECORDS_SQL}" + means_sql("likes", "l_extendedprice", "l_linenumber"))
 def q_gbt_means(spark, sf_dir):
     """Depth 5 parts all seven line numbers, so the first tree predicts their means."""
-    d = split_label(records(spark, sf_dir).select("video_id", "l_linenumber", F.col("likes").alias("label")), "video_id", 0.7, seed=101)
+    d = M.dealt(records(spark, sf_dir).select("video_id", "l_linenumber", F.col("likes").alias("label")), M.ROW_BYTES)
+    d = split_label(d, "video_id", 0.7, seed=101)
     d = VectorAssembler(inputCols=["l_linenumber"], outputCol="features").transform(d).persist()
     m = M.train_gbt(d.where(F.col("split") == "train"))
     out = M._materialize(M.model_report([("likes", M.rmse_r2(m.transform(d.where(F.col("split") == "test"))))]))
