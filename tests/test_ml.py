@@ -231,3 +231,18 @@ def test_gbt_targets_deal_rows_before_they_are_held(spark, monkeypatch):
     again = M.train_targets(rows, ["likes"], spec, kind="gbt").report.collect()
     assert seen[0] == ["video_id", "x", "tags", "likes"] and len(seen) == 2
     assert [r.n for r in again] == [r.n for r in plain] and again[0].rmse == pytest.approx(plain[0].rmse, rel=1e-9)
+
+
+def test_feature_sets_share_their_categoricals(spark, monkeypatch):
+    """The categoricals of all encodings are indexed once, and each report is that of the encoding alone."""
+    from trendlens.ml import features
+    rows = _rows_of_two_halves(spark)
+    base = FeatureSpec(num_features=64, categorical=("x", "y"), tags_col="tags")
+    specs = {"hashing": base, "count": base.with_(text="count"), "tfidf": base.with_(text="tfidf", min_df=2.0), "none": base.with_(text=None)}
+    alone = {n: M.train_targets(rows, ["likes"], s, reg_param=0.1).report.first() for n, s in specs.items()}
+    made, stages = [], features.index_stages
+    monkeypatch.setattr(features, "index_stages", lambda cats: made.append(tuple(cats)) or stages(cats))
+    got = {r.feature_set: r for r in M.compare_feature_sets(rows, "likes", specs, reg_params=dict.fromkeys(specs, 0.1)).collect()}
+    assert made == [("x", "y")] and got.keys() == alone.keys()
+    for n, r in alone.items():
+        assert got[n].n == r.n and got[n].rmse == pytest.approx(r.rmse, rel=1e-9) and got[n].r2 == pytest.approx(r.r2, rel=1e-9)

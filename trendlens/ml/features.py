@@ -99,6 +99,7 @@ class FeatureSpec:
     categorical: tuple = tuple(CATEGORICAL)
     tags_col: str = "tag_array_lower"
     by_join: bool = False            # labels and terms in tables, found by join (``JoinEncoder``)
+    encoded: str | None = None       # a vector column of the rows' own, behind the others
 
     def with_(self, **kw) -> "FeatureSpec":
         return replace(self, **kw)
@@ -163,8 +164,17 @@ def encoding_pipeline(spec: FeatureSpec = FeatureSpec(),
 
 def assembler(spec: FeatureSpec, text_col: str | None) -> VectorAssembler:
     """M7: tags first, then the one-hot blocks."""
-    return VectorAssembler(inputCols=([text_col] if text_col else []) + [c + "_ohe" for c in spec.categorical],
-                           outputCol="features", handleInvalid="keep")
+    blocks = [c + "_ohe" for c in spec.categorical] + ([spec.encoded] if spec.encoded else [])
+    return VectorAssembler(inputCols=([text_col] if text_col else []) + blocks, outputCol="features", handleInvalid="keep")
+
+
+ENCODED = "_encoded"
+
+
+def categorical_vectors(cats: tuple, train: DataFrame, out: str) -> PipelineModel:
+    """M2 and M3 of ``cats``, fitted on ``train``, with the one-hot blocks in one vector ``out``."""
+    blocks = VectorAssembler(inputCols=[c + "_ohe" for c in cats], outputCol=out, handleInvalid="keep")
+    return Pipeline(stages=index_stages(cats) + one_hot_stages(cats) + [blocks]).fit(train)
 
 
 def feature_pipeline(spec: FeatureSpec = FeatureSpec()) -> Pipeline:

@@ -22,7 +22,7 @@ from ..operators.joins import lookup_category_id
 from ..operators.sampling import random_split, split_by_key
 from ..session import ensure_checkpoint_dir, new_scratch_path, remove_path
 from .encoder import JoinEncoder
-from .features import CATEGORICAL, FeatureSpec, Roles, build_features, fit_features
+from .features import CATEGORICAL, ENCODED, FeatureSpec, Roles, build_features, categorical_vectors, fit_features
 
 PAIR_TARGETS = ("comments_ratio", "likes_ratio")
 
@@ -118,7 +118,7 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
     when the test half has no row, since nothing would be evaluated.
     """
     text = [spec.tags_col] if spec.text else []
-    need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *targets])
+    need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *([spec.encoded] if spec.encoded else []), *targets])
     base = featurized.select(*need)
     if kind == "gbt":  # before they are held: about as many rows a task as the learner will take
         base = dealt(base, 5 * ROW_BYTES)
@@ -126,7 +126,11 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
     train_raw, test_raw = split(base, split_key, 0.7, seed)
     pm, _, train = fit_features(spec, train_raw, keep=list(targets))
-    test = pm.transform(test_raw).select("features", *targets).persist(StorageLevel.MEMORY_AND_DISK)
+    test = pm.transform(test_raw).select("features", *targets)
+    if kind == "linear" and len(targets) == 1:  # read once: not worth holding
+        train.unpersist()
+    else:
+        test.persist(StorageLevel.MEMORY_AND_DISK)
     fitted = Fitted(pm)
 
     def fit_target(t):
@@ -165,7 +169,11 @@ def _materialize(df: DataFrame) -> DataFrame:
 def compare_feature_sets(featurized: DataFrame, target: str, specs: dict[str, FeatureSpec],
                          split_key: str | None = "video_id", reg_params: dict | None = None,
                          kind: str = "linear", parallel: int = 3, tol: float = 1e-6) -> DataFrame:
-    """Same target and split under several feature encodings -> report."""
+    """Same target and split under several feature encodings -> report.
+
+    Encodings of the same categoricals share them: indexed and one-hot encoded once, on the
+    same training rows as each would be, in one vector that every encoding takes behind its text.
+    """
     def one(item):
         name, spec = item
         f = train_targets(featurized, [target], spec, split_key, kind=kind,
@@ -175,7 +183,15 @@ def compare_feature_sets(featurized: DataFrame, target: str, specs: dict[str, Fe
     # the encodings are independent fits on one shared, persisted input of the columns they read
     need = dict.fromkeys([*([split_key] if split_key else []), target,
                           *(c for s in specs.values() for c in (*s.categorical, *([s.tags_col] if s.text else [])))])
-    shared = featurized = featurized.select(*need).persist(StorageLevel.MEMORY_AND_DISK)
+    featurized = featurized.select(*need)
+    cats = {s.categorical for s in specs.values()}
+    # a split by key halves the rows alike each time, a random one may not
+    if len(cats) == 1 and len(specs) > 1 and all(cats) and split_key and not any(s.by_join for s in specs.values()):
+        (cats,) = cats
+        encoded = categorical_vectors(cats, split(featurized, split_key)[0], ENCODED)
+        featurized = encoded.transform(featurized).select(*(c for c in need if c not in cats or c in (split_key, target)), ENCODED)
+        specs = {name: s.with_(categorical=(), encoded=ENCODED) for name, s in specs.items()}
+    shared = featurized = featurized.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
             rows = list(pool.map(one, specs.items()))
