@@ -79,6 +79,20 @@ def test_matching_statistics_equal_brute_force(parts):
     assert [x.tolist() for x in suffixes.matching_statistics(parts)] == expected
 
 
+def test_suffixes_sorted_in_few_rounds_and_short_matches_left_out(monkeypatch):
+    rng = random.Random(5)
+    base = bytes(rng.choice(b"abcdefgh ") for _ in range(300))
+    parts = [base, b"x" + base[:250], base[40:] + b"y", bytes(rng.choice(b"abcdefgh ") for _ in range(260))]
+    exact, sorts = suffixes.matching_statistics(parts), []
+    sort = np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x: sorts.append(len(x)) or sort(x))
+    for length in (0, 60, 200, 290):
+        got = suffixes.matching_statistics(parts, length)
+        assert all((np.where(a >= length, a, 0) == np.where(b >= length, b, 0)).all() and (b <= a).all() for a, b in zip(exact, got))
+    assert exact[0][0] == 250 and exact[0][40] == 260
+    assert len(sorts) <= 4 * 4  # prefixes of 17, 51, 153 and 459 symbols; by twice of 7 it took 7 rounds
+
+
 def test_python_gets_bounded_batches(spark, documents):
     """Rows of 20 kB: Spark's own batches would be of 40 MB."""
     def sizes(batches):

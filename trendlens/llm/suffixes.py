@@ -91,61 +91,88 @@ def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(keys).view(np.int64), content.view(np.int64), start, end
 
 
-def suffix_array(t: np.ndarray, packed: np.ndarray) -> np.ndarray:
-    """Suffixes of ``t`` in order, by prefix doubling; ``packed`` has the first seven symbols."""
-    n = len(t)
+def _packed(t: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first symbols of each suffix in one number, as many as fit there, and how many that are."""
+    base, width = max(2, int(t.max(initial=0)) + 1), 1
+    while base ** (width + 1) < 1 << 63:
+        width += 1
+    packed = t.astype(np.int64)
+    for k in range(1, width):
+        packed *= base
+        packed[:max(len(t) - k, 0)] += t[k:]
+    return packed, width
+
+
+def suffix_array(packed: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Suffixes in order, and of each a number of symbols that it has in common with the one before: it has
+    less than three times as many (none: less than ``width``).  By prefixes of ``width`` symbols (``packed``)
+    and then of three times as many in each round, as three ranks below 2^21 fit in one number; in longer
+    texts two, and all goes by twice.  The last value says which."""
+    n = len(packed)
+    times = 3 if n + 1 < 1 << 21 else 2
     sa = np.argsort(packed).astype(np.int32)
-    head = np.concatenate(([True], packed[sa][1:] != packed[sa][:-1]))
+    first = packed[sa]
+    head = np.concatenate(([True], first[1:] != first[:-1]))
+    common = np.where(head, 0, width).astype(np.int32)
     rank = np.empty(n + 1, np.int32)
     rank[n] = -1
-    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    done = 7
+    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), 0))
+    done = width
     while True:
         alone = head & np.concatenate((head[1:], [True]))
         slot = np.nonzero(~alone)[0]
         if not len(slot):
-            return sa
+            return sa, common, times
         at = sa[slot]
-        major, minor = rank[at].astype(np.int64), rank[np.minimum(at + done, n)]
-        both = major * np.int64(n + 1) + minor + 1
+        both = rank[at].astype(np.int64)
+        for k in range(1, times):
+            both *= n + 1
+            both += rank[np.minimum(at + k * done, n)]
+            both += 1
         order = np.argsort(both)
         at, both = at[order], both[order]
         sa[slot] = at
         new = np.concatenate(([True], both[1:] != both[:-1]))
+        done *= times
+        common[slot[~new]] = done
         head[slot] = new
         rank[at] = np.maximum.accumulate(np.where(new, slot, 0))
-        done *= 2
 
 
-def _common(packed: np.ndarray, t: np.ndarray, a: np.ndarray, b: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Length of the common prefix of the suffixes at ``a`` and ``b``, ``left`` at most."""
-    out, todo, n = np.zeros(len(a), np.int64), np.arange(len(a)), len(t)
+def _common(packed: np.ndarray, width: int, t: np.ndarray, a: np.ndarray, b: np.ndarray, left: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Length of the common prefix of the suffixes at ``a`` and ``b``, ``left`` at most; they have ``least`` in common."""
+    out, todo, n = least.astype(np.int64), np.arange(len(a)), len(t)
     while len(todo):
         x, y = a[todo] + out[todo], b[todo] + out[todo]
-        more = (out[todo] < left[todo]) & (np.maximum(x, y) + 7 <= n)
+        more = (out[todo] < left[todo]) & (np.maximum(x, y) + width <= n)
         more &= packed[np.minimum(x, n - 1)] == packed[np.minimum(y, n - 1)]
         todo = todo[more]
-        out[todo] += 7
-    for _ in range(7):
-        x, y = a + out, b + out
-        inside = (out < left) & (np.maximum(x, y) < n)
-        out += inside & (t[np.minimum(x, n - 1)] == t[np.minimum(y, n - 1)])
+        out[todo] += width
+    todo = np.arange(len(a))
+    for _ in range(width):
+        x, y = a[todo] + out[todo], b[todo] + out[todo]
+        more = (out[todo] < left[todo]) & (np.maximum(x, y) < n)
+        more &= t[np.minimum(x, n - 1)] == t[np.minimum(y, n - 1)]
+        todo = todo[more]
+        out[todo] += 1
     return np.minimum(out, left)
 
 
-def matching_statistics(parts: list[bytes]) -> list[np.ndarray]:
+def matching_statistics(parts: list[bytes], length: int = 0) -> list[np.ndarray]:
     """For each byte of each part the longest match that starts anywhere else in the parts, not
-    longer than what is left of its part, from the run-compressed BWT of all parts."""
+    longer than what is left of its part, from the run-compressed BWT of all parts.
+
+    Matches of fewer than ``length`` bytes may be given as shorter than they are."""
     sizes = np.array([len(p) for p in parts])
     starts = np.cumsum(sizes + 1) - sizes - 1  # a separator (0) stands before each part
-    t = np.frombuffer(b"\x00" + b"\x00".join(parts), np.uint8).astype(np.int64) + 1
+    t = np.frombuffer(b"\x00" + b"\x00".join(parts), np.uint8).astype(np.int16) + np.int16(1)
     t[starts] = 0
     n = len(t)
-    packed = np.zeros(n, np.int64)
-    for k in range(7):
-        packed *= 257
-        packed[:max(n - k, 0)] += t[k:]
-    sa = suffix_array(t, packed)
+    # Only symbols that occur, in their order, so that a number has more of them.
+    occurs = np.bincount(t, minlength=1) > 0
+    t = (np.cumsum(occurs) - 1).astype(np.int16)[t]
+    packed, width = _packed(t)
+    sa, common, times = suffix_array(packed, width)
     bwt = t[sa - 1]
     bwt[sa == 0] = -1  # nothing stands before the first
     change = bwt[1:] != bwt[:-1]
@@ -163,7 +190,10 @@ def matching_statistics(parts: list[bytes]) -> list[np.ndarray]:
         sample = np.nonzero(sampled)[0]
         near = slot[sample] + step
         other = sa[np.clip(near, 0, n - 1)]
-        value = _common(packed, t, sample, other, left[sample])
+        value = np.minimum(common[np.clip(np.maximum(slot[sample], near), 0, n - 1)].astype(np.int64), left[sample])
+        # What may reach ``length``, there or at a byte that follows, which has one less.
+        may = np.nonzero((np.maximum(times * value, width) >= length) & (left[sample] >= length))[0]
+        value[may] = _common(packed, width, t, sample[may], other[may], left[sample[may]], value[may])
         value[(near < 0) | (near >= n)] = 0
         # From one sample to the next the statistic falls by one a byte.
         best = np.maximum(best, (value + sample)[np.cumsum(sampled) - 1] - place)
@@ -311,7 +341,7 @@ def _indexed(pieces: DataFrame, shards: int, length: int) -> DataFrame:
     """(key, spans): what each shard's index marks of its texts' pieces."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates(["h", "bytes", "own", "key", "at"])
-        stats = matching_statistics(pdf["bytes"].tolist())
+        stats = matching_statistics(pdf["bytes"].tolist(), length)
         keys, found = [], []
         for key, at, own, ms in zip(pdf["key"], pdf["at"], pdf["own"], stats):
             if own and len(hits := np.nonzero(ms >= length)[0]):
