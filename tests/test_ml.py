@@ -246,3 +246,24 @@ def test_feature_sets_share_their_categoricals(spark, monkeypatch):
     assert made == [("x", "y")] and got.keys() == alone.keys()
     for n, r in alone.items():
         assert got[n].n == r.n and got[n].rmse == pytest.approx(r.rmse, rel=1e-9) and got[n].r2 == pytest.approx(r.r2, rel=1e-9)
+
+
+def test_test_half_is_read_once_for_all_targets(spark, monkeypatch):
+    """Metrics as one by one, with nulls in labels; nothing of the test half is held, and both halves come from their own folders."""
+    rows = [(i, f"t{i % 3}", None if i % 7 == 0 else float(i % 3), float(i % 5), "a" if i % 2 else "b") for i in range(400)]
+    recs = spark.createDataFrame(rows, "video_id long, word_count_str string, likes double, view_count double, region string")
+    spec, key = FeatureSpec(text=None, categorical=("word_count_str",)), "video_id"
+    held, persist = [], type(recs).persist
+    monkeypatch.setattr(type(recs), "persist", lambda self, *a: held.append(self.columns) or persist(self, *a))
+    fitted = M.train_targets(recs, ["likes", "view_count"], spec, key, persist_input=False)
+    assert len(held) == 1
+    test = M.split(recs, key)[1]
+    got = [tuple(r) for r in fitted.report.collect()]
+    assert [r[0] for r in got] == ["likes", "view_count"] and got[0][3] < got[1][3] == test.count()
+    for t, rmse, r2, n in got:
+        one = M.rmse_r2(fitted.models[t].transform(fitted.pipeline.transform(test)), t).first()
+        assert (rmse, r2, n) == (pytest.approx(one.rmse, abs=1e-9), pytest.approx(one.r2, abs=1e-9), one.n)
+    monkeypatch.setattr(M, "build_features", lambda df, *a, **k: df)
+    monkeypatch.setattr(M, "split", lambda *a, **k: pytest.fail("split again"))
+    jobs = M.train_job(recs, M.Roles(), spec, ["likes", "view_count"])
+    assert sum(r.n for r in M.job_report(jobs).where("target = 'view_count'").collect()) == test.count()

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import parse_publish_time
 from ..operators.clean import rename_target
 from ..operators.joins import lookup_category_id
-from ..operators.sampling import random_split, split_by_key
+from ..operators.sampling import random_split, split_by_key, split_label
 from ..session import ensure_checkpoint_dir, new_scratch_path, remove_path
 from .encoder import JoinEncoder
 from .features import CATEGORICAL, ENCODED, FeatureSpec, Roles, build_features, categorical_vectors, fit_features
@@ -80,6 +80,22 @@ def rmse_r2(pred: DataFrame, label: str = "label", prediction: str = "prediction
                  F.count(F.lit(1)).alias("n")))
 
 
+def metrics_by_target(test: DataFrame, models: dict, labels: dict) -> DataFrame:
+    """A17 and A18 of several models at once: the rows of ``rmse_r2`` of each (``labels``: its label), in one pass over ``test``."""
+    found = []
+    for i, (t, m) in enumerate(models.items()):
+        m = m.copy()
+        m.setPredictionCol(f"_pred{i}")
+        test = m.transform(test)
+        y, p = labels[t].cast("double"), F.col(f"_pred{i}")
+        both = y.isNotNull() & p.isNotNull()
+        y, e = F.when(both, y), F.when(both, y - p)
+        found.append(F.struct(
+            F.lit(t).alias("target"), F.sqrt(F.avg(e * e)).alias("rmse"),
+            (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(y) * F.count(y))).alias("r2"), F.count(y).alias("n")))
+    return test.agg(F.array(*found).alias("found")).select(F.inline("found"))
+
+
 def model_report(results: list[tuple[str, DataFrame]], name_col: str = "target") -> DataFrame:
     """One row per (name, rmse, r2, n)."""
     frames = [m.select(F.lit(n).alias(name_col), "rmse", "r2", "n") for n, m in results]
@@ -108,14 +124,15 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
                   split_key: str | None = "video_id", kind: str = "linear",
                   reg_param: float = 0.0, label_fn=None, seed: int = 101,
                   persist_input: bool = True, parallel: int = 4, solver: str = "auto",
-                  tol: float = 1e-6) -> Fitted:
+                  tol: float = 1e-6, halves: tuple[DataFrame, DataFrame] | None = None) -> Fitted:
     """Fit the feature pipeline once on train rows, then one model per target.
 
     ``label_fn`` maps a target column to the label expression (e.g. log1p, M12).
     ``solver`` is Spark's: ``auto`` solves the normal equations in one pass while
     the (compact) vector has at most 4096 columns, and iterates beyond.  Only the
     columns that the fit reads are persisted, and released at the end.  Raises
-    when the test half has no row, since nothing would be evaluated.
+    when the test half has no row, since nothing would be evaluated.  The test half is
+    read once, for all targets.  ``halves``: ``featurized`` as it was split before.
     """
     text = [spec.tags_col] if spec.text else []
     need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *([spec.encoded] if spec.encoded else []), *targets])
@@ -124,37 +141,34 @@ def train_targets(featurized: DataFrame, targets, spec: FeatureSpec = FeatureSpe
         base = dealt(base, 5 * ROW_BYTES)
     if persist_input:  # the join and projections behind the features run once
         base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    train_raw, test_raw = split(base, split_key, 0.7, seed)
+    train_raw, test_raw = [h.select(*need) for h in halves] if halves else split(base, split_key, 0.7, seed)
     pm, _, train = fit_features(spec, train_raw, keep=list(targets))
     test = pm.transform(test_raw).select("features", *targets)
     if kind == "linear" and len(targets) == 1:  # read once: not worth holding
         train.unpersist()
-    else:
-        test.persist(StorageLevel.MEMORY_AND_DISK)
     fitted = Fitted(pm)
 
     def fit_target(t):
-        tr, te = (d.withColumn("label", label_fn(F.col(t))) if label_fn else rename_target(d, t) for d in (train, test))
+        tr = train.withColumn("label", label_fn(F.col(t))) if label_fn else rename_target(train, t)
         if kind == "linear":
             m = train_linear(tr, reg_param=reg_param, solver=solver, tol=tol)
         elif kind == "gbt":
             m = train_gbt(tr, seed=seed)
         else:
             raise ValueError(kind)
-        return t, m, rmse_r2(m.transform(te))
+        return t, m
 
     try:
-        if test.isEmpty():
+        if test_raw.isEmpty():
             raise ValueError("the test half of the split is empty: nothing to evaluate on")
         # targets share the cached rows read-only; their fits are independent
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(targets)))) as pool:
-            done = list(pool.map(fit_target, targets))
-        fitted.models = {t: m for t, m, _ in done}
+            fitted.models = dict(pool.map(fit_target, targets))
         # metrics are computed now so the cached rows can be released
-        fitted.report = _materialize(model_report([(t, met) for t, _, met in done]))
+        labels = {t: label_fn(F.col(t)) if label_fn else F.col(t) for t in targets}
+        fitted.report = _materialize(metrics_by_target(test, fitted.models, labels))
     finally:
         train.unpersist()
-        test.unpersist()
         if persist_input:
             base.unpersist()
     return fitted
@@ -226,20 +240,22 @@ def train_job(records: DataFrame, roles: Roles = Roles(), spec: FeatureSpec = Fe
     path = new_scratch_path(spark, "train-features")
     text = [spec.tags_col] if spec.text else []
     need = dict.fromkeys([*([split_key] if split_key else []), *spec.categorical, *text, *targets])
+    region = F.lit("ALL") if region_col is None else F.col(region_col).cast("string")
+    feats = feats.select(*need, region.alias("_region")).where(F.col("_region").isNotNull())
+    if split_key:  # by key, the halves are the same wherever a row is
+        feats = split_label(feats, split_key, 0.7, seed, out="_half")
+    feats.write.partitionBy("_region", *(["_half"] if split_key else [])).parquet(path)
+    landed = spark.read.schema(feats.schema).parquet(path)
     if region_col is None:
-        feats.select(*need).write.parquet(path)
-        parts = {"ALL": spark.read.parquet(path)}
-    else:
-        feats = feats.select(*need, F.col(region_col).cast("string").alias("_region")).where(F.col("_region").isNotNull())
-        feats.write.partitionBy("_region").parquet(path)
-        landed = spark.read.schema(feats.schema).parquet(path)
-        if regions is None:
-            regions = [r[0] for r in landed.select("_region").distinct().orderBy("_region").collect()]
-        parts = {r: landed.where(F.col("_region") == r) for r in regions}
+        regions = ["ALL"]
+    elif regions is None:
+        regions = [r[0] for r in landed.select("_region").distinct().orderBy("_region").collect()]
+    parts = {r: landed.where(F.col("_region") == r) for r in regions}
 
     def fit_region(item):
         r, part = item
-        fitted = train_targets(part, list(targets), spec, split_key, persist_input=False, seed=seed, tol=tol)
+        halves = tuple(part.where(F.col("_half") == h) for h in ("train", "test")) if split_key else None
+        fitted = train_targets(part, list(targets), spec, split_key, persist_input=False, seed=seed, tol=tol, halves=halves)
         if out_path:
             save_models(fitted, f"{out_path}/{r}")
         return r, fitted
